@@ -1,5 +1,5 @@
 """All registered queries: name -> (query, SQL or None)."""
 
-from checks import curation
+from checks import curation, drift, sampling
 
-QUERIES = {**curation.QUERIES}
+QUERIES = {**curation.QUERIES, **sampling.QUERIES, **drift.QUERIES}
