@@ -1,5 +1,7 @@
 """All registered queries: name -> (query, SQL or None)."""
 
-from checks import curation, drift, sampling
+from checks import curation, drift, evaluation, sampling
 
-QUERIES = {**curation.QUERIES, **sampling.QUERIES, **drift.QUERIES}
+QUERIES = {
+    **curation.QUERIES, **sampling.QUERIES, **drift.QUERIES, **evaluation.QUERIES,
+}

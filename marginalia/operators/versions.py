@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HASH_PATTERN = r"^[0-9a-f]{32}$"
@@ -26,17 +26,18 @@ def version_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     ).drop("__copy")
 
 
-def dataset_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def dataset_fingerprint(df: DataFrame, columns: Sequence[str], *, by: Sequence[str] = ()) -> DataFrame:
     """Order-free content fingerprint: row count, XOR and sum of 60-bit row hashes.
 
-    Every partition folds to three numbers, so no row leaves the scan.
+    Every partition folds to three numbers (per group of ``by``), so no row leaves the scan.
     """
     row = F.concat_ws(
         "\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns]
     )
     value = F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("bigint")
     return (
-        df.select(value.alias("h"))
+        df.select(*by, value.alias("h"))
+        .groupBy(*by)
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.coalesce(F.bit_xor("h"), F.lit(0)).alias("hash_xor"),
@@ -45,12 +46,56 @@ def dataset_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def fingerprint_digest(fingerprint: DataFrame) -> DataFrame:
+def content_hash(fingerprint: DataFrame) -> DataFrame:
     """The fingerprint as one 32-digit content hash."""
-    return fingerprint.select(
-        "n_rows", F.md5(F.concat_ws(":", "n_rows", "hash_xor", "hash_sum")).alias("content_hash")
-    )
+    return fingerprint.withColumn(
+        "content_hash", F.md5(F.concat_ws(":", "n_rows", "hash_xor", "hash_sum"))
+    ).drop("hash_xor", "hash_sum")
 
 
-def valid_content_hash(column: str) -> DataFrame:
+def valid_content_hash(column: str) -> Column:
     return F.coalesce(F.col(column).rlike(HASH_PATTERN), F.lit(False))
+
+
+VERSION_SCHEMA = (
+    "name string, version string, path string, n_rows bigint, content_hash string, "
+    "code_revision string, created_at timestamp"
+)
+
+
+def version_record(df: DataFrame, name: str, version: str, path: str, code_revision: str) -> DataFrame:
+    """The version-table row of a stored dataset."""
+    return content_hash(dataset_fingerprint(df, df.columns)).select(
+        F.lit(name).alias("name"),
+        F.lit(version).alias("version"),
+        F.lit(path).alias("path"),
+        "n_rows",
+        "content_hash",
+        F.lit(code_revision).alias("code_revision"),
+        F.current_timestamp().alias("created_at"),
+    )
+
+
+def register_version(versions: DataFrame | None, record: DataFrame) -> DataFrame:
+    """Rows to append: the record, unless its name and hash are registered already."""
+    if versions is None:
+        return record
+    known = versions.select("name", "content_hash").distinct()
+    return record.join(known, ["name", "content_hash"], "left_anti").select(*record.columns)
+
+
+def version_lookup(versions: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Registered versions whose content hash is among the wanted ones."""
+    return versions.join(wanted.select("content_hash").distinct(), "content_hash", "left_semi")
+
+
+def roll_back(versions: DataFrame, name: str, version: str) -> str:
+    """Path of an older version, checked against its recorded hash before it is used."""
+    row = versions.where((F.col("name") == name) & (F.col("version") == version)).first()
+    if row is None:
+        raise ValueError(f"{name} has no version {version}")
+    stored = versions.sparkSession.read.parquet(row["path"])
+    found = content_hash(dataset_fingerprint(stored, stored.columns)).first()["content_hash"]
+    if found != row["content_hash"]:
+        raise RuntimeError(f"{row['path']} does not match the hash of {name} {version}")
+    return row["path"]
