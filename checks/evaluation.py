@@ -115,7 +115,11 @@ def quality_gate(spark, sf_dir):
     return rounded(gates.quality_gate(_supplier_metrics(spark, sf_dir), baselines), "score", "baseline")
 
 
-SHARE = "lpad(CAST(CAST(floor(999 * avg(CASE WHEN {test} THEN 1.0 ELSE 0.0 END)) AS BIGINT) AS STRING), 3, '0')"
+# Per mille in whole numbers, so that both engines write the same digits.
+THOUSANDTHS = "999 * count(CASE WHEN {test} THEN 1 END)"
+SHARE = (
+    f"lpad(CAST(CAST(({THOUSANDTHS} - ({THOUSANDTHS}) % count(*)) / count(*) AS BIGINT) AS STRING), 3, '0')"
+)
 DOCUMENTS = f"""SELECT model, CASE model % 9
     WHEN 0 THEN '{{"validation": {{"f1_macro": 0.' || v || '}}}}'
     WHEN 1 THEN '{{"validation": {{"f1_macro": 0.' || v || '}}, "test": {{"f1_macro": "0.' || t || '"}}}}'

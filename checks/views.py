@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginalia.sources.tables import read_table
+
 WS = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]+"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
@@ -75,8 +77,11 @@ def with_views(*names: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(SQL_VIEWS[n] for n in names)
 
 
+SPREAD_BY = {"documents": "doc_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread_by=SPREAD_BY.get(name))
 
 
 def _view(spark, sf_dir, source, view, where=None) -> DataFrame:

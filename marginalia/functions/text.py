@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 # Every character Python counts as white space, spelt so that Java and RE2 agree on it.
 WHITESPACE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]+"
+NOT_WHITESPACE = r"[^\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]"
+# The same characters one by one, for trimming without a pattern.
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 # A word character is a letter, a number or an underscore; marks end a token.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
@@ -18,11 +21,16 @@ def clean_text(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Trim white space of any kind from both ends; null stays null."""
-    return F.regexp_replace(text, f"^{WHITESPACE}|{WHITESPACE}$", "")
+    return F.trim(text, F.lit(SPACES))
+
+
+def has_text(text: Column) -> Column:
+    """True when cleaning would leave something; stops at the first such character."""
+    return F.coalesce(text.rlike(NOT_WHITESPACE), F.lit(False))
 
 
 def is_blank(text: Column) -> Column:
-    return clean_text(text) == ""
+    return ~has_text(text)
 
 
 def digest(text: Column) -> Column:

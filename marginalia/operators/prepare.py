@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marginalia.functions import ratings
 from marginalia.functions.labels import is_conflicting, label_bit
-from marginalia.functions.text import clean_text, digest
+from marginalia.functions.text import clean_text, digest, has_text
 from marginalia.operators.groups import count_where
 from marginalia.schemas import ROW_NUMBER, require_in
 
@@ -35,7 +35,7 @@ def tag_reviews(raw: DataFrame) -> DataFrame:
             "text_digest": digest(F.col("normalized")),
             "sentiment": ratings.two_class_label(F.col("rating_value")),
         }
-    ).withColumn("usable", F.col("sentiment").isNotNull() & (F.col("normalized") != ""))
+    ).withColumn("usable", F.col("sentiment").isNotNull() & has_text(F.col("review")))
 
 
 def prepare_reviews(raw: DataFrame) -> DataFrame:
@@ -59,7 +59,8 @@ def preparation_stats(raw: DataFrame) -> DataFrame:
     Partial aggregation collapses copies of a text before the shuffle.
     """
     tagged = tag_reviews(raw)
-    quality, review, empty = F.col("quality"), F.col("review"), F.col("normalized") == ""
+    quality, review = F.col("quality"), F.col("review")
+    empty = ~has_text(review)
     groups = tagged.groupBy("text_digest").agg(
         F.count(F.lit(1)).alias("n"),
         F.max(empty).alias("is_empty"),

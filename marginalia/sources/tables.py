@@ -1,0 +1,18 @@
+"""Reading Parquet tables with enough tasks to use the cluster."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def read_table(spark: SparkSession, path: str, *, spread_by: str | None = None) -> DataFrame:
+    """A Parquet table; with ``spread_by``, a scan of fewer splits than cores is spread out.
+
+    Text work costs far more than the exchange of a table that small. A table with at
+    least one split per core is left as it is.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by is not None and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, spread_by)
+    return df
