@@ -1,7 +1,12 @@
 """All registered queries: name -> (query, SQL or None)."""
 
-from checks import curation, drift, evaluation, sampling
+from checks import curation, drift, evaluation, features, sampling, streams
 
 QUERIES = {
-    **curation.QUERIES, **sampling.QUERIES, **drift.QUERIES, **evaluation.QUERIES,
+    **curation.QUERIES,
+    **sampling.QUERIES,
+    **drift.QUERIES,
+    **evaluation.QUERIES,
+    **features.QUERIES,
+    **streams.QUERIES,
 }

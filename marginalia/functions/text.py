@@ -47,18 +47,21 @@ def tokens(text: Column) -> Column:
 
 
 def ngrams(words: Column, low: int = 1, high: int = 2) -> Column:
-    """All n-grams of ``low`` to ``high`` words, each joined by one space."""
+    """All n-grams of ``low`` to ``high`` words, each joined by one space.
+
+    Longer n-grams pair the ones before with the word that follows, element by element, so
+    the word array is read once per length and never once per n-gram.
+    """
     if low < 1 or high < low:
         raise ValueError("n-gram bounds must satisfy 1 <= low <= high")
-    parts = []
-    for n in range(low, high + 1):
-        if n == 1:
-            parts.append(words)
-            continue
-        starts = F.when(
-            F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        parts.append(
-            F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " "))
-        )
+    grams, parts = words, []
+    for n in range(1, high + 1):
+        if n > 1:
+            length = F.greatest(F.size(words) - (n - 1), F.lit(0))
+            grams = F.zip_with(
+                F.slice(grams, 1, length), F.slice(words, n, length),
+                lambda head, word: F.concat(head, F.lit(" "), word),
+            )
+        if n >= low:
+            parts.append(grams)
     return parts[0] if len(parts) == 1 else F.concat(*parts)
