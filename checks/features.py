@@ -11,6 +11,7 @@ from checks.views import labelled_text_v, reviews_v, table, with_views
 from marginalia.operators import features, model, scoring, split
 from marginalia.operators.scoring import LexiconPredictor
 from marginalia.schemas import ROW_NUMBER
+from marginalia.session import materialize
 from marginalia.sources.manifest import file_manifest as manifest
 from marginalia.sources.reviews import assign_row_ids as assign
 
@@ -82,7 +83,8 @@ def subset_evaluation(spark, sf_dir):
 
 
 def _split_rows(spark, sf_dir):
-    return split.grouped_split(prepared(spark, sf_dir))
+    """The split as a stored table, which training reads more than once."""
+    return materialize(split.grouped_split(prepared(spark, sf_dir)), "split-rows")
 
 
 PARAMS = model.ModelParams(max_features=K, max_iter=50)

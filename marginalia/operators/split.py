@@ -78,7 +78,11 @@ def _cheapest(size, placed, targets) -> int:
 def _by_threshold(size, groups, placed, targets) -> list[int]:
     """Most of the groups at once: the j-th group of one signature costs a split
     ``start + j * step``, so the cheapest ones are those under a common cost level."""
-    starts = [_cost(size, placed[k], targets[k]) for k in range(len(targets))]
+    # The difference of squares factored, which stays exact for billions of groups.
+    starts = [
+        sum(size[c] * (2 * (placed[k][c] - t[c]) + size[c]) / max(t[c], 1) for c in (0, 1))
+        for k, t in enumerate(targets)
+    ]
     steps = [sum(2.0 * size[c] ** 2 / max(t[c], 1) for c in (0, 1)) for t in targets]
 
     def taken(level):
