@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from checks.curation import prepared
@@ -21,8 +23,8 @@ NEGATIVE = ("of", "de", "to", "in", "en", "was", "die")
 SUBSET = 200
 
 
-def lexicon() -> LexiconPredictor:
-    return LexiconPredictor(POSITIVE, NEGATIVE)
+# A factory the workers can build from the shipped package alone.
+lexicon = partial(LexiconPredictor, POSITIVE, NEGATIVE)
 
 
 def token_ngrams(spark, sf_dir):

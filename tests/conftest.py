@@ -7,6 +7,10 @@ import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
+# The predictors of the tests are importable in Python workers too.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [str(ROOT / "tests"), str(ROOT), os.environ.get("PYTHONPATH", "")]
+).rstrip(os.pathsep)
 
 SMALL = "/root/testdata/sf0.001"
 

@@ -8,6 +8,7 @@ from marginalia.functions.sizes import percent, used_size_bytes
 from marginalia.operators import curate, prepare, profile
 from marginalia.operators.groups import attach_group_facts
 from marginalia.schemas import ROW_NUMBER
+from tests_data import THREE11, V2
 
 RAW8 = [
     (1, "1", "  سيء   جدا "), (2, "2", "سيء جدا"), (3, "4", "جيد!"), (4, "5", "ممتاز"),
@@ -17,13 +18,6 @@ CONFLICT5 = [
     (1, "1", "  نص   متعارض "), (2, "4", "نص متعارض"), (3, "1", "نص مكرر ثابت"),
     (4, "2", " نص   مكرر ثابت "), (5, "5", "إقامة رائعة"),
 ]
-THREE11 = [
-    (1, "1", "source conflict"), (2, "4", " source   conflict "), (3, "1", "consistent duplicate"),
-    (4, "2", " consistent   duplicate "), (5, "3", "neutral unique"), (6, "4", "same V2 positive"),
-    (7, "3", "same V2 negative"), (8, "", "missing rating"), (9, "invalid", "malformed rating"),
-    (10, "3", "   "), (11, "5", "positive unique"),
-]
-V2 = [(101, "5", "same V2 positive"), (102, "1", "same V2 negative")]
 
 
 def one(spark, column, *values):
