@@ -20,7 +20,7 @@ from marginalia.sources.reviews import assign_row_ids as assign
 K = 2_000
 POSITIVE = ("the", "and", "la", "der", "is", "that", "for")
 NEGATIVE = ("of", "de", "to", "in", "en", "was", "die")
-SUBSET = 200
+SUBSET = 64
 
 
 # A factory the workers can build from the shipped package alone.

@@ -7,23 +7,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.functions.text import digest
+from marginalia.operators.groups import attach_group_facts
+from marginalia.session import materialize
+
 HASH_PATTERN = r"^[0-9a-f]{32}$"
 
 
-def version_diff(before: DataFrame, after: DataFrame) -> DataFrame:
+def version_diff(before: DataFrame, after: DataFrame, **join_options) -> DataFrame:
     """Rows ``removed`` from and ``added`` to a version, counting copies.
 
-    One aggregate over both versions instead of two set differences: a row's copies are
-    counted per side and only an unbalanced row is reported, once per missing copy.
+    Copies are balanced on row digests, so only digests are shuffled. Rows are then looked
+    up for the unbalanced digests alone, once per missing copy.
     """
     columns = before.columns
-    sides = before.withColumn("__side", F.lit(1)).unionByName(after.withColumn("__side", F.lit(-1)))
-    balance = sides.groupBy(*columns).agg(F.sum("__side").alias("__side"))
-    return balance.where(F.col("__side") != 0).select(
-        F.when(F.col("__side") > 0, "removed").otherwise("added").alias("change"),
-        *columns,
-        F.explode(F.array_repeat(F.lit(1), F.abs("__side").cast("int"))).alias("__copy"),
-    ).drop("__copy")
+    row_key = digest(F.to_json(F.struct(*columns)))
+    sides = [
+        df.select(row_key.alias("__key"), F.lit(sign).alias("__side"))
+        for df, sign in ((before, 1), (after, -1))
+    ]
+    changed = (
+        sides[0].unionByName(sides[1]).groupBy("__key")
+        .agg(F.count(F.lit(1)).alias("__n"), F.sum("__side").alias("__balance"))
+        .where(F.col("__balance") != 0)
+    )
+    changed = materialize(changed, "changed-rows")
+    parts = []
+    for df, name, sign in ((before, "removed", 1), (after, "added", -1)):
+        wanted = changed.where(F.col("__balance") * sign > 0)
+        found = attach_group_facts(df.withColumn("__key", row_key), wanted, "__key", "__n", **join_options)
+        # Rows with one key are equal in every column: any of them stands for all.
+        single = found.where(F.col("__n").isNotNull()).dropDuplicates(["__key"])
+        copies = F.array_repeat(F.lit(1), F.abs("__balance").cast("int"))
+        parts.append(
+            single.select(F.lit(name).alias("change"), *columns, F.explode(copies).alias("__copy")).drop("__copy")
+        )
+    return parts[0].unionByName(parts[1])
 
 
 def dataset_fingerprint(df: DataFrame, columns: Sequence[str], *, by: Sequence[str] = ()) -> DataFrame:

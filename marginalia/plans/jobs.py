@@ -6,6 +6,7 @@ the written result passed.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -13,10 +14,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginalia.operators import curate, drift, gates, prepare, profile, scoring, split
+from marginalia.functions.labels import encode_label
+from marginalia.operators import curate, drift, gates, metrics, prepare, profile, scoring, split
 from marginalia.operators.model import ModelParams, evaluate_splits, metrics_document, train_classifier
+from marginalia.operators.sample import stratified_subset
 from marginalia.operators.versions import version_record
-from marginalia.schemas import RAW_COLUMNS
+from marginalia.schemas import RAW_COLUMNS, ROW_NUMBER
 from marginalia.session import materialize
 from marginalia.sources import files, reviews, sinks
 
@@ -170,3 +173,38 @@ def compare_confidences(spark: SparkSession, reference: str, current: str, repor
     found = materialize(drift.drift_report(sides["reference"], sides["current"]), "drift-report")
     sinks.write_report(found, report)
     return found
+
+
+def evaluate_settings(
+    rows: DataFrame,
+    count: int,
+    scorers: dict[str, Callable[[DataFrame], DataFrame]],
+    *,
+    seed: int = 42,
+) -> list[dict]:
+    """Compare scorer settings on one seeded subset: metrics, loss, time and sample digest.
+
+    The subset is stored first, so every setting is timed on the same rows and none pays
+    for drawing them.
+    """
+    subset = materialize(stratified_subset(rows, count, seed=seed), "subset")
+    sample = metrics.sample_digest(
+        subset.withColumn("label_id", encode_label(F.col("sentiment"))), [ROW_NUMBER]
+    ).first()["sample_sha256"]
+    results = []
+    for name, score in scorers.items():
+        started = time.perf_counter()
+        scored = materialize(score(subset), "subset-scores")
+        elapsed = time.perf_counter() - started
+        measured = scoring.subset_metrics(scored, rows).first().asDict()
+        results.append(
+            {
+                "setting": name,
+                "seed": seed,
+                "sample_sha256": sample,
+                "evaluation_seconds": elapsed,
+                "samples_per_second": measured["n_rows"] / elapsed,
+                **measured,
+            }
+        )
+    return results

@@ -93,6 +93,13 @@ def test_subset_evaluation(spark):
     ).first()
     assert (found["n_rows"], found["f1_macro"], found["available_rows"]) == (10, 1.0, 40)
     assert found["loss"] == pytest.approx(-math.log(2 / 3))
+    scorers = {
+        name: lambda d, words=words: d.withColumns(scoring.lexicon_columns(F.col("review"), *words))
+        for name, words in {"right": (["good"], ["bad"]), "wrong": (["bad"], ["good"])}.items()
+    }
+    right, wrong = jobs.evaluate_settings(labelled, 10, scorers)
+    assert right["accuracy"] == 1.0 and wrong["accuracy"] == 0.0
+    assert right["sample_sha256"] == wrong["sample_sha256"] and right["samples_per_second"] > 0
 
 
 # --- features and model ---

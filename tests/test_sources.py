@@ -157,3 +157,26 @@ def test_splits_audit_report_and_manifest(spark, tmp_path):
 
     assert listed["sha256"] == hashlib.sha256(part.read_bytes()).hexdigest()
     assert listed["bytes"] == part.stat().st_size
+
+
+def test_load_test_folder(spark, tmp_path):
+    from marginalia.operators.loadtest import load_test_rollup
+    from marginalia.sources import loadtests
+
+    head = "Type,Name,Request Count,Failure Count,Requests/s,50%,95%,99%\n"
+    for run, (count, rps) in enumerate([(495, 8.37), (498, 8.41)], start=1):
+        (tmp_path / f"web-u1-r{run}_stats.csv").write_text(
+            head + f"POST,/predict,{count},0,{rps},1,1,1\n,Aggregated,{count},0,{rps},110,180,220\n"
+        )
+        (tmp_path / f"web-u1-r{run}_docker_stats.csv").write_text(
+            "timestamp_utc,cpu_percent,memory_usage,memory_bytes,memory_percent\n"
+            f"t,{run * 100},349.6MiB / 2GiB,366582169,17.07\nt,--,x,y,z\n"
+        )
+    (tmp_path / "smoke-web_stats.csv").write_text(head + ",Aggregated,9999,9,1,1,1,1\n")
+    requests = loadtests.read_requests(spark, str(tmp_path))
+    row = load_test_rollup(requests, loadtests.read_samples(spark, str(tmp_path))).first()
+    assert (row["service"], row["runs"], row["requests"], row["failures"]) == ("web", 2, 993, 0)
+    assert row["mean_rps"] == pytest.approx(8.39) and row["peak_cpu_percent"] == 200
+    (tmp_path / "web-u1-r3_stats.csv").write_text(head + "POST,/predict,1,0,1,1,1,1\n")
+    with pytest.raises(RuntimeError, match="run 3 is missing"):
+        loadtests.read_requests(spark, str(tmp_path))
