@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginalia.sources.files import data_files
+
 RUN_NAME = r"([^/]+)-u(\d+)-r(\d+)_(?:docker_)?stats\.csv$"
+REQUEST_FILE, SAMPLE_FILE = r"-u\d+-r\d+_stats\.csv$", r"-u\d+-r\d+_docker_stats\.csv$"
 # Column of the statistics file -> column of the table.
 REQUEST_FIELDS = {
     "Request Count": ("requests", "bigint"), "Failure Count": ("failures", "bigint"),
@@ -24,6 +29,13 @@ def _run_columns() -> list[Column]:
     ]
 
 
+def _files(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    found = [f for f in data_files(spark, folder) if re.search(pattern, f)]
+    if not found:
+        raise FileNotFoundError(f"no measured runs in {folder}")
+    return found
+
+
 def _fields(fields: dict) -> list[Column]:
     return [F.col(f"`{c}`").try_cast(kind).alias(name) for c, (name, kind) in fields.items()]
 
@@ -34,11 +46,10 @@ def read_requests(spark: SparkSession, folder: str) -> DataFrame:
     Runs are named ``service-uN-rN``; trial runs with other names are not read. A run
     without the line is refused.
     """
-    path = f"{folder.rstrip('/')}/*-u[0-9]*-r[0-9]*_stats.csv"
-    rows = spark.read.csv(path, header=True, inferSchema=False).select(
+    files = _files(spark, folder, REQUEST_FILE)
+    rows = spark.read.csv(files, header=True, inferSchema=False).select(
         *_run_columns(), "Name", *_fields(REQUEST_FIELDS)
     )
-    rows = rows.where(F.col("service") != "")
     without = (
         rows.groupBy("service", "users", "run")
         .agg(F.count_if(F.col("Name") == "Aggregated").alias("n"))
@@ -52,9 +63,9 @@ def read_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_samples(spark: SparkSession, folder: str) -> DataFrame:
     """Container samples of the measured runs."""
-    path = f"{folder.rstrip('/')}/*-u[0-9]*-r[0-9]*_docker_stats.csv"
+    files = _files(spark, folder, SAMPLE_FILE)
     return (
-        spark.read.csv(path, header=True, inferSchema=False)
+        spark.read.csv(files, header=True, inferSchema=False)
         .select(*_run_columns(), *_fields(SAMPLE_FIELDS))
         .where(F.col("cpu_percent").isNotNull() & F.col("memory_bytes").isNotNull())
     )
