@@ -45,7 +45,9 @@ def attach_group_facts(
 
     hot_named = hot.select(key, *[F.col(c).alias(f"__hot_{c}") for c in fact_columns])
     tagged = rows.join(F.broadcast(hot_named), key, "left")
-    spread = F.concat(F.lit("~"), F.monotonically_increasing_id().cast("string"))
+    # The same key again when a lost task is rerun: it depends on the row and its input
+    # partition, not on the order rows arrive in.
+    spread = F.concat_ws("-", F.lit("~"), F.spark_partition_id(), F.xxhash64(*rows.columns))
     tagged = tagged.withColumn(
         "__key", F.when(F.col(f"__hot_{weight}").isNull(), F.col(key)).otherwise(spread)
     )

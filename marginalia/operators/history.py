@@ -45,7 +45,8 @@ def promotion_checks(runs: DataFrame, versions: DataFrame, aliases: DataFrame, p
     """Six checks and their conjunction for every registered version.
 
     ``probes`` holds one trial prediction ``(version, label, confidence)`` per version.
-    Joins are on run id and version, unique keys; the historical reference is one row.
+    Joins are on the version, a unique key; of the historical reference only its two
+    floors are read.
     """
     official = latest_run(
         run_search(runs, tags={"run_kind": OFFICIAL}), F.col("tags")["model_version"]
@@ -55,11 +56,10 @@ def promotion_checks(runs: DataFrame, versions: DataFrame, aliases: DataFrame, p
         F.col("metrics")["validation_f1"].alias("validation_f1"),
         F.col("metrics")["test_f1"].alias("test_f1"),
     )
-    historical = latest_run(run_search(runs, tags={"run_kind": REFERENCE})).select(
-        F.lit(OFFICIAL).alias("kind"),
-        F.col("metrics")["validation_f1"].alias("validation_floor"),
-        F.col("metrics")["test_f1"].alias("test_floor"),
-    )
+    floors = latest_run(run_search(runs, tags={"run_kind": REFERENCE})).select(
+        F.col("metrics")["validation_f1"].alias("validation_f1"), F.col("metrics")["test_f1"].alias("test_f1")
+    ).first()
+    validation_floor, test_floor = (F.lit(floors[n]).cast("double") for n in ("validation_f1", "test_f1"))
     candidate = aliases.where(F.col("alias") == "candidate").select(
         "version", F.lit(True).alias("is_candidate")
     ).distinct()
@@ -68,15 +68,13 @@ def promotion_checks(runs: DataFrame, versions: DataFrame, aliases: DataFrame, p
         .join(official, "version")
         .join(candidate, "version", "left")
         .join(probes, "version", "left")
-        .withColumn("kind", F.lit(OFFICIAL))
-        .join(F.broadcast(historical), "kind", "left")
     )
     checks = {
         "version_ready": F.col("status") == "READY",
         "run_matches": F.col("run_id") == F.col("official_run_id"),
         "alias_matches": F.col("is_candidate"),
-        "validation_f1_ok": F.col("validation_f1") >= F.col("validation_floor"),
-        "test_f1_ok": F.col("test_f1") >= F.col("test_floor"),
+        "validation_f1_ok": F.col("validation_f1") >= validation_floor,
+        "test_f1_ok": F.col("test_f1") >= test_floor,
         "probe_valid": F.col("label").isin("negative", "positive") & F.col("confidence").between(0.0, 1.0),
     }
     checked = joined.select(

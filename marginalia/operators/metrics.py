@@ -26,14 +26,23 @@ def confusion(expected: Column, predicted: Column) -> list[Column]:
 
 
 def classification_metrics(
-    df: DataFrame, *, by: Sequence[str] = (), expected: str = "expected", predicted: str = "predicted"
+    df: DataFrame,
+    *,
+    by: Sequence[str] = (),
+    expected: str = "expected",
+    predicted: str = "predicted",
+    also: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Accuracy, precision, recall, F1 and macro-F1 per group; 0 where a denominator is 0.
 
-    Every partition folds to four counters per group before anything is shuffled.
+    Every partition folds to four counters per group before anything is shuffled. ``also``
+    names further aggregates to take in the same pass.
     """
+    also = also or {}
     counts = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_rows"), *confusion(F.col(expected), F.col(predicted))
+        F.count(F.lit(1)).alias("n_rows"),
+        *confusion(F.col(expected), F.col(predicted)),
+        *[aggregate.alias(name) for name, aggregate in also.items()],
     )
     tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
     f1 = _ratio(2 * tp, 2 * tp + fp + fn)
@@ -46,6 +55,7 @@ def classification_metrics(
         _ratio(tp, tp + fn).alias("recall"),
         f1.alias("f1"),
         ((f1 + negative_f1) / 2).alias("f1_macro"),
+        *also,
     )
 
 

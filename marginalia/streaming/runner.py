@@ -48,9 +48,19 @@ def start_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkp
 
 
 def drain(df: DataFrame, purpose: str) -> DataFrame:
-    """Run a stream over everything available now and return its result table."""
+    """Run a stream over everything available now and return its result table.
+
+    State partitions are fixed when a stream starts and are not coalesced, so a one-off run
+    asks for no more of them than there are cores.
+    """
     spark = df.sparkSession
     folder = shared_path(spark, purpose)
-    query = start(df, f"{folder}/table", f"{folder}/state")
-    query.awaitTermination()
+    setting = "spark.sql.shuffle.partitions"
+    partitions = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(int(partitions), spark.sparkContext.defaultParallelism)))
+    try:
+        query = start(df, f"{folder}/table", f"{folder}/state")
+        query.awaitTermination()
+    finally:
+        spark.conf.set(setting, partitions)
     return spark.read.schema(df.schema).parquet(f"{folder}/table")
