@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from marginalia.llm import chat, mixing, token_output, topk
+from marginalia.llm import chat, decontaminate, licenses, mixing, token_output, topk
 from marginalia.llm.common import table
 from marginalia.session import materialize, shared_path
 
@@ -53,6 +53,34 @@ def op4_source_mix(spark, sf_dir):
     )
 
 
+def op5_decontamination(spark, sf_dir):
+    """All documents against all benchmark items."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.find_hits(docs, items, keep=["doc_id"]).drop("spans")
+
+
+WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP5_SQL = f"""
+WITH i AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+g AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM i WHERE len(w) > 0)),
+d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+c AS (SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS gram
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM g))),
+h AS (SELECT c.doc_id, c.s, c.n, g.item_id FROM c JOIN g ON c.n = g.n AND c.gram = g.gram),
+x AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN x USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+
+def op9_license_scan(spark, sf_dir):
+    """All documents against all templates."""
+    return licenses.find_licences(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op10_exact_topk(spark, sf_dir):
     """Vectors with an id divisible by 100 against all vectors."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -71,5 +99,7 @@ QUERIES = {
     "op1_token_output": (op1_token_output, None),
     "op2_chat_format": (op2_chat_format, OP2_SQL),
     "op4_source_mix": (op4_source_mix, None),
+    "op5_decontamination": (op5_decontamination, OP5_SQL),
+    "op9_license_scan": (op9_license_scan, None),
     "op10_exact_topk": (op10_exact_topk, OP10_SQL),
 }
