@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from marginalia.llm import chat, decontaminate, licenses, mixing, token_output, topk
+from marginalia.llm import chat, decontaminate, licenses, mixing, secrets, token_output, topk, toxicity
 from marginalia.llm.common import table
 from marginalia.session import materialize, shared_path
 
@@ -41,6 +41,13 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM o GROUP BY conv_id"""
 
 
+def op3_toxicity(spark, sf_dir):
+    """All documents through a chain fitted on labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.with_probabilities(docs, chain).drop("text")
+
+
 def op4_source_mix(spark, sf_dir):
     """All documents with what the mix takes of each."""
     docs = mixing.with_sizes(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), seed=7)
@@ -76,6 +83,12 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN x USING (doc_id) LEFT JOIN t USING (doc_id)"""
 
 
+def op8_secret_scan(spark, sf_dir):
+    """All documents, with a network fitted on findings of a bounded sample of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.find_secrets(docs, secrets.train(docs))
+
+
 def op9_license_scan(spark, sf_dir):
     """All documents against all templates."""
     return licenses.find_licences(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -98,8 +111,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 QUERIES = {
     "op1_token_output": (op1_token_output, None),
     "op2_chat_format": (op2_chat_format, OP2_SQL),
+    "op3_toxicity": (op3_toxicity, None),
     "op4_source_mix": (op4_source_mix, None),
     "op5_decontamination": (op5_decontamination, OP5_SQL),
+    "op8_secret_scan": (op8_secret_scan, None),
     "op9_license_scan": (op9_license_scan, None),
     "op10_exact_topk": (op10_exact_topk, OP10_SQL),
 }
