@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from marginalia.llm import chat, decontaminate, jaccard, licenses, mixing, secrets, token_output, topk, toxicity
+from marginalia.llm import chat, decontaminate, jaccard, language_model, licenses, mixing, secrets, token_output, topk, toxicity
 from marginalia.llm.common import table
 from marginalia.session import materialize, shared_path
 
@@ -83,6 +83,11 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN x USING (doc_id) LEFT JOIN t USING (doc_id)"""
 
 
+def op6_lm_score(spark, sf_dir):
+    """All documents, by a model of those outside the held-out fold."""
+    return language_model.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark, sf_dir):
     """All documents: components of texts with a similarity of 0.9 or more on three-word shingles."""
     return jaccard.similar_components(table(spark, sf_dir, "documents"))
@@ -119,6 +124,7 @@ QUERIES = {
     "op3_toxicity": (op3_toxicity, None),
     "op4_source_mix": (op4_source_mix, None),
     "op5_decontamination": (op5_decontamination, OP5_SQL),
+    "op6_lm_score": (op6_lm_score, None),
     "op7_jaccard_join": (op7_jaccard_join, None),
     "op8_secret_scan": (op8_secret_scan, None),
     "op9_license_scan": (op9_license_scan, None),
