@@ -6,9 +6,10 @@ each fragment. At a Jaccard similarity of ``t`` two sets differ in at most
 ``d = (1 - t) / t * min(|x|, |y|)`` elements. Cut into more than ``d`` fragments, at least one
 fragment is the same in both, so sharing a whole fragment makes a candidate pair, and none is
 lost. How fine the cut is depends on the size class; a set is cut for its own class and for
-the next smaller one, whose sets it may match. Since the cut is one fragment finer than needed,
-an empty shared fragment is not enough, but for the few sets with two or more empty ones, which
-then also go by those.
+the next smaller one, whose sets it may match. N-grams in a large share of all documents (common
+passages) are left out of the cut wherever what is left fills more than ``d`` fragments; a set
+that is little else adds fragments of all its n-grams. So no link is lost, and a common passage alone makes
+no candidates.
 
 Equal sets are one node from the start. Within a fragment that many sets share, not all
 pairs are looked at: each set is compared with the smallest one it shares a fragment with
@@ -29,13 +30,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import byte_tokens
+from marginalia.llm.common import bounded_sample, byte_tokens
 from marginalia.llm.components import connected_components, merged_components
 from marginalia.session import materialize
 
@@ -43,9 +45,14 @@ NGRAM = 3
 THRESHOLD = 90  # of 100
 PARTS = 8  # fragments of the verification
 FIRST_HUBS = 16
+COMMON_SAMPLE, COMMON_SHARE = 4_000, 0.005
 BROADCAST_IDS = 1_000_000
 
 
+# Odd multipliers for the places of an n-gram.
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -68,15 +75,18 @@ def ngram_set(text: str | None, known: dict, n: int = NGRAM) -> np.ndarray:
     words = byte_tokens(text)
     if not words:
         return np.empty(0, np.uint64)
-    h = np.fromiter((known[w] for w in words), np.uint64, len(words))
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     size = min(n, len(h))
     with np.errstate(over="ignore"):
-        out = h[: len(h) - size + 1] + np.uint64(size)
+        out = h[: len(h) - size + 1] * _FACTORS[0]
         for i in range(1, size):
-            out = _mix(out) + h[i : len(h) - size + 1 + i]
-    return np.unique(_mix(out))
+            out += h[i : len(h) - size + 1 + i] * _FACTORS[i % len(_FACTORS)] + np.uint64(i)
+    out = _mix(out)
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
+@lru_cache(None)
 def size_class(n: int, threshold: int = THRESHOLD) -> int:
     """Classes so wide that a set matches sets of its own and the neighbouring classes only."""
     bound, k = 1, 0
@@ -85,6 +95,7 @@ def size_class(n: int, threshold: int = THRESHOLD) -> int:
     return k
 
 
+@lru_cache(None)
 def class_top(k: int, threshold: int = THRESHOLD) -> int:
     bound = 1
     for _ in range(k):
@@ -92,39 +103,72 @@ def class_top(k: int, threshold: int = THRESHOLD) -> int:
     return bound
 
 
-def cut_count(top: int, threshold: int = THRESHOLD) -> int:
-    """Fragments for sets of which the smaller has at most ``top`` elements: one more than needed."""
-    return top * (100 - threshold) // threshold + 2
+def _cut(own: np.ndarray, mixed: np.ndarray, cuts: int, tag: int) -> tuple[np.ndarray, np.ndarray]:
+    """Non-empty fragments of a set by ranges of the hash order, and a digest of each."""
+    part = ((own >> np.uint64(32)) * np.uint64(cuts)) >> np.uint64(32)
+    held, first = np.unique(part, return_index=True)
+    with np.errstate(over="ignore"):
+        sums = np.add.reduceat(mixed, first) if len(held) else np.zeros(0, np.uint64)
+        return held, _mix(sums + _mix(held + np.uint64(tag) * np.uint64(0x100000001B3) + np.uint64(1)))
+
 
+def signatures(own: np.ndarray, common: np.ndarray | None = None, threshold: int = THRESHOLD) -> np.ndarray:
+    """Digests of the set's fragments, for its size class and the one below.
 
-def signatures(own: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
-    """Digests of the set's fragments, for its size class and the one below."""
+    ``common`` holds n-grams, sorted, that are left out of the cut as long as the rest fills more
+    fragments than two similar sets can differ in. Sets where it does not add fragments of the
+    whole set, and their empty ones if need be. Any choice of ``common`` gives the same links.
+    """
     n = len(own)
     if n == 0:
         return np.empty(0, np.int64)
     k, out = size_class(n, threshold), []
-    mixed = _mix(own ^ np.uint64(0x9E3779B97F4A7C15))
+    with np.errstate(over="ignore"):
+        mixed = (own ^ (own >> np.uint64(29))) * _FACTORS[1]
+    rare = np.ones(n, bool)
+    if common is not None and len(common):
+        rare = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] != own
     for level in (k, k - 1):
-        if level < 0:
-            continue
-        top = class_top(level, threshold)
-        if top * (100 - threshold) // threshold == 0:
+        differ = class_top(level, threshold) * (100 - threshold) // threshold if level >= 0 else 0
+        if differ == 0:
             continue  # no two different sets this small are similar
-        cuts = cut_count(top, threshold)
-        # Fragments by range of the hash order: its upper 32 bits, scaled.
-        part = ((own >> np.uint64(32)) * np.uint64(cuts)) >> np.uint64(32)
-        held, first = np.unique(part, return_index=True)
-        with np.errstate(over="ignore"):
-            sums = np.add.reduceat(mixed, first)
-            if cuts - len(held) >= 2:
+        # More fragments than can differ, with room for those that stay empty.
+        room = max(0.05, 16 * np.exp(-threshold / (100 - threshold)))
+        cuts = differ + 2 + int(differ * room)
+        held, marks = _cut(own[rare], mixed[rare], cuts, 4 * level)
+        out.append(marks)
+        if len(held) <= differ:
+            held, marks = _cut(own, mixed, cuts, 4 * level + 1)
+            out.append(marks)
+            if len(held) <= differ:
                 empty = np.setdiff1d(np.arange(cuts, dtype=np.uint64), held)
-                held, sums = np.concatenate([held, empty]), np.concatenate([sums, np.zeros(len(empty), np.uint64)])
-            tag = _mix(held + np.uint64(level) * np.uint64(0x100000001B3) + np.uint64(1))
-            out.append(_mix(sums + tag).view(np.int64))
-    return np.concatenate(out) if out else np.empty(0, np.int64)
+                out.append(_mix(_mix(empty) + np.uint64(4 * level + 2)))
+    return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
+
+
+def bucket(own: np.ndarray) -> np.ndarray:
+    return (_mix(own) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def common_ngrams(docs: DataFrame, n: int) -> np.ndarray:
+    """N-grams in at least ``COMMON_SHARE`` of a sample of ``COMMON_SAMPLE`` documents, sorted.
+
+    They only steer which fragments are compared, so a bounded sample will do: links do not depend
+    on them. There are at most as many as ``1 / COMMON_SHARE`` mean sets.
+    """
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Words()
+        for batch in batches:
+            for text in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(ngram_set(text.as_py(), known, n).view(np.int64))], names=["x"])
+
+    sample = bounded_sample(docs, "doc_id", COMMON_SAMPLE).select("text")
+    counts = sample.mapInArrow(sets, "x long").groupBy("x").agg(F.count("*").alias("k"))
+    found = counts.where(F.col("k") >= int(COMMON_SAMPLE * COMMON_SHARE)).select("x").toPandas()["x"]
+    return np.sort(found.to_numpy(dtype=np.int64).view(np.uint64))
 
 
-def _describe(n: int, threshold: int):
+def _describe(n: int, threshold: int, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
         for batch in batches:
@@ -133,7 +177,7 @@ def _describe(n: int, threshold: int):
                 own = ngram_set(text.as_py(), known, n)
                 sizes.append(len(own))
                 sets.append(hashlib.md5(own.tobytes()).digest())
-                marks.append(signatures(own, threshold))
+                marks.append(signatures(own, common.value, threshold))
             offsets = np.concatenate([[0], np.cumsum([len(m) for m in marks])]).astype(np.int32)
             flat = np.concatenate(marks) if marks else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -195,7 +239,8 @@ def _near(a: Column, b: Column, threshold: int) -> Column:
 def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = materialize(docs.mapInArrow(_describe(n, threshold), "doc_id long, n long, same binary, marks array<long>"), "ngram-sets")
+    common = docs.sparkSession.sparkContext.broadcast(common_ngrams(docs, n))
+    described = materialize(docs.mapInArrow(_describe(n, threshold, common), "doc_id long, n long, same binary, marks array<long>"), "ngram-sets")
     usable = described.where("n > 0 and doc_id is not null")
     classes = materialize(usable.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "set-classes")
     reps = usable.join(classes.select("same", F.col("rep").alias("doc_id")), ["same", "doc_id"], "left_semi")
