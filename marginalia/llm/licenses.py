@@ -7,7 +7,7 @@ of licence words. The weight of a word is its inverse document frequency, counte
 documents. Each document then looks up its ``RAREST`` highest-weighted licence words, and the
 postings are intersected by relative position: matches of one template at one offset
 (document position less template position) count together. An offset that holds
-``MIN_SHARE`` of the template's weight is a candidate, and the template's label is given if
+``MIN_SHARE`` of the weight of the template's own rarest words is a candidate, and the template's label is given if
 every mandatory phrase stands in the text. Phrases of ``BASE`` give their labels wherever their
 words stand consecutively, whatever the index says.
 
@@ -123,7 +123,8 @@ def find_licences(docs: DataFrame, *, keep: list[str]) -> DataFrame:
     hits = looked.select(ROW, F.explode(chosen).alias("x")).select(ROW, "x.*")
     at = hits.join(F.broadcast(index), "word").withColumn("offset", F.col("at") - F.col("place"))
     shares = at.groupBy(ROW, "template", "offset").agg(F.sum("weight").alias("held"))
-    full = {t: sum(weights[w] for w in text.split()) for t, (_, text, _) in enumerate(TEMPLATES)}
+    # A document looks up ``RAREST`` words, so a template counts by its own rarest ones.
+    full = {t: sum(sorted((weights[w] for w in set(text.split())), reverse=True)[:RAREST]) for t, (_, text, _) in enumerate(TEMPLATES)}
     rules = spark.createDataFrame(
         [(t, label, list(must), full[t]) for t, (label, _, must) in enumerate(TEMPLATES)],
         "template int, label string, must array<string>, weight_of double",
