@@ -92,7 +92,9 @@ def confidence_gate(rows: DataFrame, *, id_column: str = "source_row_id",
                     score: str = "confidence_score") -> DataFrame:
     """Counts and verdict for a confidence table whose scores are still text."""
     require_in(rows, id_column, score)
-    parsed = strip(F.col(score).cast("string")).try_cast("double")
+    text = strip(F.col(score).cast("string"))
+    # The cast alone would take a type suffix, as in 0.5d, for part of a number.
+    parsed = F.when(~text.rlike(r"[0-9.][dDfF]$"), text.try_cast("double"))
     per_id = rows.groupBy(strip(F.col(id_column).cast("string")).alias("id")).agg(
         F.count(F.lit(1)).alias("n"), count_where(parsed.isNull()).alias("unparsed"),
         count_where(parsed.isNotNull() & ~is_valid_score(parsed)).alias("invalid"),
@@ -139,7 +141,8 @@ def quality_gate(candidates: DataFrame, baselines: DataFrame, *, by: str = "mode
     """Verdict per candidate from long metrics ``(by, split, metric, value)``.
 
     ``baselines`` holds ``(metric, split, value)``. Equality passes. A candidate without
-    exactly the validation and test splits, or with an unusable score, is an error.
+    exactly the validation and test splits, with more than one score for a split, or with an
+    unusable score, is an error; so is anything but one baseline.
     """
     value, split = F.col("value"), F.col("split")
     gated = F.col("metric") == GATED_METRIC
@@ -149,16 +152,21 @@ def quality_gate(candidates: DataFrame, baselines: DataFrame, *, by: str = "mode
             F.max(F.when(gated & (split == s), F.struct(value.alias("v")))).alias(s)
             for s in GATED_SPLITS
         ],
+        *[count_where(gated & (split == s)).alias(f"{s}_rows") for s in GATED_SPLITS],
     )
-    # One number: the highest bar where several are set.
-    bar = baselines.where((F.col("metric") == GATED_METRIC) & (split == GATED_SPLIT)).agg(F.max("value")).first()[0]
-    baseline = F.lit(bar).cast("double")
+    # Always one row, whatever the table holds.
+    bar = baselines.where((F.col("metric") == GATED_METRIC) & (split == GATED_SPLIT)).agg(
+        F.max("value").cast("double").alias("__bar"), F.count(F.lit(1)).alias("__bars")
+    )
+    scores = scores.join(F.broadcast(bar))
+    baseline = F.col("__bar")
     test, validation = F.col("test.v"), F.col("validation.v")
     reason = _first_reason(
         (~F.col("known_splits"), "unexpected_split"),
         (F.col("validation").isNull() | F.col("test").isNull(), "missing_score"),
+        (F.greatest(*(F.col(f"{s}_rows") for s in GATED_SPLITS)) > 1, "repeated_score"),
         (~is_valid_score(validation) | ~is_valid_score(test), "invalid_score"),
-        (~is_valid_score(baseline), "invalid_baseline"),
+        ((F.col("__bars") != 1) | ~is_valid_score(baseline), "invalid_baseline"),
     )
     return scores.select(
         by,

@@ -314,3 +314,22 @@ def test_load_test_rollup(spark):
     row = loadtest.load_test_rollup(requests, loadtest.parse_samples(samples)).first()
     assert row["requests"] == 1499 and row["mean_rps"] == pytest.approx(8.4466, abs=1e-3)
     assert row["mean_p99"] == pytest.approx(213.33, abs=0.01) and row["mean_cpu_percent"] == 145 and row["peak_cpu_percent"] == 200
+
+
+def test_gates_refuse_type_suffixes_and_repeated_scores(spark):
+    from marginalia.operators import gates
+
+    for text, passed in (("0.5", True), ("5e-1", True), ("0.5d", False), ("0.25f", False), ("1.D", False)):
+        rows = spark.createDataFrame([("a", text)], "source_row_id string, confidence_score string")
+        assert gates.confidence_gate(rows).first()["passed"] is passed
+    metrics = "model string, split string, metric string, value double"
+    good = [("m", "validation", "f1_macro", 0.9), ("m", "test", "f1_macro", 0.9)]
+    bar = spark.createDataFrame([("f1_macro", "test", 0.8)], "metric string, split string, value double")
+
+    def verdict(rows, baselines):
+        return gates.quality_gate(spark.createDataFrame(rows, metrics), baselines).first()["verdict"]
+
+    assert verdict(good, bar) == "pass"
+    assert verdict([*good, ("m", "test", "f1_macro", 0.1)], bar) == "error"
+    assert verdict(good, bar.unionAll(bar)) == "error"
+    assert verdict(good, bar.limit(0)) == "error"
