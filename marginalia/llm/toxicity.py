@@ -20,12 +20,12 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +36,8 @@ MIN_ROWS = 4
 ODDS_LIMIT = 12.0
 # Weak labels of the earlier categories among texts labelled toxic.
 CATEGORIES = {
-    "insult": ("idiot", "moron", "clown", "loser", "scum", "fool", "imbecile", "jerk", "dumb"),
-    "contempt": ("pathetic", "worthless", "disgusting", "stupid", "trash", "garbage", "useless", "ugly"),
+    "insult": frozenset(("idiot", "moron", "clown", "loser", "scum", "fool", "imbecile", "jerk", "dumb")),
+    "contempt": frozenset(("pathetic", "worthless", "disgusting", "stupid", "trash", "garbage", "useless", "ugly")),
 }
 FINAL = "toxic"
 _WORDS = re.compile(r"\w+")
@@ -79,13 +79,18 @@ class Table:
     n: int
 
     @staticmethod
-    def of(rows: list[set[str]]) -> Table:
-        counts = Counter(f for found in rows for f in found)
-        names = sorted(f for f, c in counts.items() if c >= MIN_ROWS)
-        place = {f: i for i, f in enumerate(names)}
-        hits = [sorted(place[f] for f in found if f in place) for found in rows]
-        row = np.repeat(np.arange(len(rows)), [len(h) for h in hits])
-        return Table(names, row, np.array([c for h in hits for c in h], np.int64), len(rows))
+    def of(found: pa.ListArray) -> Table:
+        """``found`` lists each row's distinct features; they stay in Arrow, only names that are kept become Python text."""
+        pairs = found.flatten().dictionary_encode()
+        place = pairs.indices.to_numpy()
+        row = np.repeat(np.arange(len(found), dtype=np.int32), np.diff(found.offsets.to_numpy()))
+        kept = np.flatnonzero(np.bincount(place, minlength=len(pairs.dictionary)) >= MIN_ROWS)
+        names = pairs.dictionary.take(pa.array(kept)).to_pylist()
+        order = sorted(range(len(names)), key=names.__getitem__)
+        number = np.full(len(pairs.dictionary), -1, np.int32)
+        number[kept[order]] = np.arange(len(order))
+        col = number[place]
+        return Table([names[i] for i in order], row[col >= 0], col[col >= 0], len(found))
 
 
 def select_features(data: Table, inside: np.ndarray, y: np.ndarray, limit: int) -> np.ndarray:
@@ -145,12 +150,12 @@ class Chain:
         return [float(_sigmoid(o)) for o in odds]
 
 
-def fit_chain(rows: list[set[str]], labels: dict[str, np.ndarray], folds: np.ndarray) -> Chain:
+def fit_chain(data: Table, labels: dict[str, np.ndarray], folds: np.ndarray) -> Chain:
     """Fit the links in the order of ``labels``; ``folds`` gives each row's fold."""
-    names, links, data = list(labels), [], Table.of(rows)
-    odds, every = np.zeros((len(rows), 0)), np.ones(len(rows), bool)
+    names, links = list(labels), []
+    odds, every = np.zeros((data.n, 0)), np.ones(data.n, bool)
     for name in names:
-        y, own = labels[name].astype(bool), np.zeros(len(rows))
+        y, own = labels[name].astype(bool), np.zeros(data.n)
         for fold in np.unique(folds):
             own[folds == fold] = fit_link(data, folds != fold, y, odds)[1][folds == fold]
         links.append(fit_link(data, every, y, odds)[0])
@@ -179,18 +184,24 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Chain:
     chosen = ids.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(sample)
 
+    weak_names = list(CATEGORIES)
+
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "found": [sorted(features(t)) for t in batch["text"]]})
-
-    data = rows.mapInPandas(extract, "doc_id long, toxic long, found array<string>").toPandas()
-    data = data.assign(key=[" ".join(f) for f in data["found"]]).sort_values(["doc_id", "key"], kind="stable")
-    found = [set(f) for f in data["found"]]
-    toxic = data["toxic"].to_numpy() > 0
-    weak = {name: np.array([bool(t and not f.isdisjoint(terms)) for t, f in zip(toxic, found)], bool) for name, terms in CATEGORIES.items()}
+            found = [sorted(features(t)) for t in batch["text"]]
+            weak = [[y > 0 and not CATEGORIES[name].isdisjoint(f) for name in weak_names] for y, f in zip(batch["toxic"], found)]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"] > 0, "weak": weak, "found": found,
+                                "key": [zlib.crc32(" ".join(f).encode("utf-8", "surrogatepass")) for f in found]})
+
+    data = rows.mapInPandas(extract, "doc_id long, toxic boolean, weak array<boolean>, found array<string>, key long").toArrow()
+    data = data.sort_by([("doc_id", "ascending"), ("key", "ascending")]).combine_chunks()
+    toxic = data["toxic"].to_numpy().astype(bool)
+    flags = np.array(data["weak"].to_pylist(), bool).reshape(-1, len(weak_names))
+    weak = {name: flags[:, i] for i, name in enumerate(weak_names)}
     # Copies of a text fall into one fold.
-    folds = np.array([zlib.crc32(k.encode()) % FOLDS for k in data["key"]], dtype=np.int64)
-    return fit_chain(found, {**weak, FINAL: toxic}, folds)
+    folds = data["key"].to_numpy() % FOLDS
+    found = data["found"].combine_chunks() if data.num_rows else pa.array([], pa.list_(pa.string()))
+    return fit_chain(Table.of(found), {**weak, FINAL: toxic}, folds)
 
 
 def scores(text: Column, chain: Chain) -> Column:
