@@ -18,6 +18,12 @@ finished. In what is left over, further hubs are taken, four times as many in ea
 every pair of differing components in every fragment has been compared. So the components
 are those of all links.
 
+The rounds after the first keep, of the pairs that share a fragment, those whose parity sketches
+agree well enough: a sketch has one bit per bucket of hashes, set when the set holds an odd number
+of them, so two sketches never differ in more bits than the sets differ in n-grams. A pair over the
+bound of the threshold cannot be linked, and is not made. Near copies that differ in more than
+that are told apart inside the join in this way, without a row for each pair.
+
 Pairs are verified exactly: overlaps are counted fragment by fragment and summed per pair.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing.
@@ -47,6 +53,8 @@ PARTS = 8  # fragments of the verification
 FIRST_HUBS = 16
 COMMON_SAMPLE, COMMON_SHARE = 4_000, 0.005
 BROADCAST_IDS = 1_000_000
+SKETCH_WORDS = 8  # of 64 bits
+SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 
 
 # Odd multipliers for the places of an n-gram.
@@ -146,8 +154,11 @@ def signatures(own: np.ndarray, common: np.ndarray | None = None, threshold: int
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
-def bucket(own: np.ndarray) -> np.ndarray:
-    return (_mix(own) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+def parity_sketch(own: np.ndarray) -> np.ndarray:
+    """Per bucket of hashes, whether the set holds an odd number of them, as 64-bit words."""
+    bits = SKETCH_WORDS * 64
+    odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def common_ngrams(docs: DataFrame, n: int) -> np.ndarray:
@@ -172,18 +183,21 @@ def _describe(n: int, threshold: int, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
         for batch in batches:
-            ids, sizes, sets, marks = batch.column(0).to_pylist(), [], [], []
+            ids, sizes, sets, marks, sketches = batch.column(0).to_pylist(), [], [], [], []
             for text in batch.column(1):
                 own = ngram_set(text.as_py(), known, n)
                 sizes.append(len(own))
                 sets.append(hashlib.md5(own.tobytes()).digest())
                 marks.append(signatures(own, common.value, threshold))
+                sketches.append(parity_sketch(own))
+            words = np.array(sketches, np.int64).reshape(-1, SKETCH_WORDS)
             offsets = np.concatenate([[0], np.cumsum([len(m) for m in marks])]).astype(np.int32)
             flat = np.concatenate(marks) if marks else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["doc_id", "n", "same", "marks"],
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                 *[pa.array(words[:, i]) for i in range(SKETCH_WORDS)]],
+                names=["doc_id", "n", "same", "marks", *SKETCH],
             )
 
     return run
@@ -232,6 +246,12 @@ def verify(pairs: DataFrame, docs: DataFrame, *, n: int = NGRAM, threshold: int
     return counted.where(_linked(F.col("overlap"), F.col("nu"), F.col("nv"), threshold)).select("u", "v")
 
 
+def _may_link(threshold: int) -> Column:
+    """Whether the sketches of a hub (``h`` in front) and of a set leave room for the threshold."""
+    differ = sum((F.bit_count(F.col(f"h{c}").bitwiseXOR(F.col(c))) for c in SKETCH), F.lit(0))
+    return differ * (100 + threshold) <= (F.col("hn") + F.col("n")) * (100 - threshold)
+
+
 def _near(a: Column, b: Column, threshold: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * threshold
 
@@ -240,13 +260,18 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     common = docs.sparkSession.sparkContext.broadcast(common_ngrams(docs, n))
-    described = materialize(docs.mapInArrow(_describe(n, threshold, common), "doc_id long, n long, same binary, marks array<long>"), "ngram-sets")
+    fields = "doc_id long, n long, same binary, marks array<long>, " + ", ".join(f"{c} long" for c in SKETCH)
+    described = materialize(docs.mapInArrow(_describe(n, threshold, common), fields), "ngram-sets")
     usable = described.where("n > 0 and doc_id is not null")
     classes = materialize(usable.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "set-classes")
     reps = usable.join(classes.select("same", F.col("rep").alias("doc_id")), ["same", "doc_id"], "left_semi")
     marks = reps.select(F.col("doc_id").alias("id"), F.col("n"), F.explode("marks").alias("mark"))
     shared = marks.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("mark")
     members = materialize(marks.join(shared, "mark").distinct(), "fragment-members")
+    sketches = materialize(
+        reps.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), *SKETCH),
+        "sketches",
+    )
     texts = docs.where("doc_id is not null")
     if not described.groupBy("doc_id").count().where("count > 1").isEmpty():
         texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
@@ -265,7 +290,7 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
         # Fragments in which sets of different components meet.
         labelled = members.join(nodes.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
         open_ = labelled.groupBy("mark").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("mark")
-        left = materialize(labelled.join(open_, "mark"), "open-fragments")
+        left = materialize(labelled.join(open_, "mark").join(sketches, "id"), "open-fragments")
         counts = left.groupBy("mark").agg(F.count("*").alias("m"))
         largest = counts.agg(F.max("m")).first()[0]
         if largest is None or done >= largest:
@@ -273,8 +298,8 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
         # The next hubs: a share of the fragment's sets by the hash of their ids, about ``many`` of them.
         place = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(2**53)) * F.col("m")
         hubs = left.join(counts, "mark").where((place >= done) & (place < done + many)).select(
-            "mark", F.col("id").alias("h"), F.col("n").alias("hn"), F.col("component").alias("hc"))
-        met = left.join(hubs, "mark").where("hc <> component")
+            "mark", F.col("id").alias("h"), F.col("n").alias("hn"), F.col("component").alias("hc"), *[F.col(c).alias(f"h{c}") for c in SKETCH])
+        met = left.join(hubs, "mark").where((F.col("hc") != F.col("component")) & _may_link(threshold) & _near(F.col("hn"), F.col("n"), threshold))
         new = met.select(
             F.least("h", "id").alias("u"), F.greatest("h", "id").alias("v"),
             F.when(F.col("h") < F.col("id"), F.col("hn")).otherwise(F.col("n")).alias("nu"),

@@ -272,6 +272,32 @@ def test_similar_sets_share_a_fragment():
                     assert np.intersect1d(jaccard.signatures(a, common, threshold), jaccard.signatures(b, common, threshold)).size
 
 
+def test_sketch_never_hides_a_link():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 2**63, rng.integers(1, 900)).astype(np.uint64))
+        keep = rng.random(len(a)) > rng.choice([0.02, 0.05, 0.2])
+        b = np.unique(np.concatenate([a[keep], rng.integers(0, 2**63, rng.integers(0, 9)).astype(np.uint64)]))
+        bits = sum(int(x).bit_count() for x in (jaccard.parity_sketch(a) ^ jaccard.parity_sketch(b)).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b))
+
+
+def test_unlinked_near_copies_make_few_pairs(spark, monkeypatch):
+    """Copies of one text that all differ too much: next to none of their pairs is verified."""
+    rng, docs = np.random.default_rng(5), []
+    base = [f"w{i}" for i in range(150)]
+    for i in range(120):
+        words = list(base)
+        for place in rng.choice(150, 9, replace=False):
+            words[place] = f"x{i}_{place}"
+        docs.append((i, " ".join(words)))
+    seen, verify = [], jaccard.verify
+    monkeypatch.setattr(jaccard, "verify", lambda pairs, *a, **k: (seen.append(pairs.count()), verify(pairs, *a, **k))[1])
+    found = jaccard.similar_components(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {(r["doc_id"], r["component_id"]) for r in found.collect()} == {(i, i) for i in range(120)}
+    assert sum(seen) < 4 * 120
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 102), (102, 101), (7, 7)], "u long, v long")
     got = {r.node: r.component for r in components.connected_components(links).collect()}
