@@ -53,7 +53,7 @@ def best_epoch(spark, sf_dir):
 def sample_digest(spark, sf_dir):
     rows = sample.stratified_sample(prepared(spark, sf_dir), 100)
     return metrics.sample_digest(
-        rows.withColumn("label_id", encode_label(F.col("sentiment"))), [ROW_NUMBER]
+        rows.withColumn("label_id", encode_label(F.col("sentiment"))), ROW_NUMBER
     )
 
 
@@ -83,9 +83,9 @@ def confidence_gate(spark, sf_dir):
     text = (
         F.when(F.col("event_id") % 101 == 0, "high")
         .when(F.col("event_id") % 103 == 0, "1.5")
-        .otherwise(F.col("value").cast("string"))
+        .otherwise((F.least("value", F.lit(500.0)) / 500.0).cast("string"))
     )
-    rows = table(spark, sf_dir, "events").where("value < 1 OR event_id % 101 = 0 OR event_id % 103 = 0")
+    rows = table(spark, sf_dir, "events")
     return gates.confidence_gate(rows.select(F.col("event_id").alias("source_row_id"), text.alias("confidence_score")))
 
 
@@ -307,22 +307,24 @@ def parse_sizes(spark, sf_dir):
 
 UNITS = ("B", "KiB", "MiB", "GiB", "kB", "MB", "GB", "parsec")
 UNIT_FACTORS = (1, 1024, 1024**2, 1024**3, 1000, 1000**2, 1000**3)
-LOAD_REQUESTS = """SELECT event_type AS service, user_id % 3 AS run, count(*) AS requests,
+LOAD_REQUESTS = """SELECT event_type AS service, user_id % 2 + 1 AS users, user_id % 3 AS run, count(*) AS requests,
     count(CASE WHEN value > 400 THEN 1 END) AS failures, count(*) / 60.0 AS rps,
-    min(value) AS p50, avg(value) AS p95, max(value) AS p99 FROM {events} GROUP BY event_type, user_id % 3"""
+    min(value) AS p50, avg(value) AS p95, max(value) AS p99 FROM {events} GROUP BY event_type, user_id % 2, user_id % 3"""
 
 
 def load_test_rollup(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    requests = events.groupBy(F.col("event_type").alias("service"), (F.col("user_id") % 3).alias("run")).agg(
+    keys = [
+        F.col("event_type").alias("service"), (F.col("user_id") % 2 + 1).alias("users"), (F.col("user_id") % 3).alias("run"),
+    ]
+    requests = events.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("requests"),
         F.count_if(F.col("value") > 400).alias("failures"),
         (F.count(F.lit(1)) / 60.0).alias("rps"),
         F.min("value").alias("p50"), F.avg("value").alias("p95"), F.max("value").alias("p99"),
     )
     samples = events.select(
-        F.col("event_type").alias("service"),
-        (F.col("user_id") % 3).alias("run"),
+        *keys,
         F.when(F.col("event_id") % 50 == 0, "n/a")
         .otherwise(F.concat(F.floor("value").cast("string"), F.lit("%"))).alias("cpu"),
         F.concat(F.floor("value").cast("string"), F.lit("MiB / 2GiB")).alias("usage"),
@@ -423,7 +425,7 @@ SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS blank_ids, (SELECT count(*) FROM
              count(*) FILTER (event_id % 101 = 0) AS unparsed_scores,
              count(*) FILTER (event_id % 101 <> 0 AND event_id % 103 = 0) AS invalid_scores,
              'score_not_a_number' AS reason, false AS passed
-           FROM events WHERE value < 1 OR event_id % 101 = 0 OR event_id % 103 = 0""",
+           FROM events""",
     ),
     "validate_requests": (
         validate_requests,
@@ -535,14 +537,14 @@ g AS (SELECT version, run_id FROM valid WHERE kind = 'production_promotion_quali
     "load_test_rollup": (
         load_test_rollup,
         f"""WITH r AS ({LOAD_REQUESTS.format(events='events')}),
-s AS (SELECT event_type AS service, user_id % 3 AS run, avg(floor(value)) AS cpu_mean, max(floor(value)) AS cpu_peak,
+s AS (SELECT event_type AS service, user_id % 2 + 1 AS users, user_id % 3 AS run, avg(floor(value)) AS cpu_mean, max(floor(value)) AS cpu_peak,
   avg(floor(value) * 1048576) AS memory_mean, max(floor(value) * 1048576) AS memory_peak FROM events
-  WHERE event_id % 50 <> 0 GROUP BY 1, 2)
-SELECT service, count(*) AS runs, CAST(sum(requests) AS BIGINT) AS requests, CAST(sum(failures) AS BIGINT) AS failures,
+  WHERE event_id % 50 <> 0 GROUP BY 1, 2, 3)
+SELECT service, users, count(*) AS runs, CAST(sum(requests) AS BIGINT) AS requests, CAST(sum(failures) AS BIGINT) AS failures,
   round(avg(rps), 9) AS mean_rps, round(avg(p50), 9) AS mean_p50, round(avg(p95), 9) AS mean_p95, round(avg(p99), 9) AS mean_p99,
   round(avg(cpu_mean), 9) AS mean_cpu_percent, max(cpu_peak) AS peak_cpu_percent,
   round(avg(memory_mean), 3) AS mean_memory_bytes, CAST(max(memory_peak) AS BIGINT) AS peak_memory_bytes
-FROM r LEFT JOIN s USING (service, run) GROUP BY service""",
+FROM r LEFT JOIN s USING (service, users, run) GROUP BY service, users""",
     ),
 }
 
@@ -552,13 +554,16 @@ def _sample_digest_sql() -> str:
 
     query = sampled["stratified_sample"][1]
     start = query.rindex("SELECT source_row_number, review, rating, sentiment FROM (")
-    return (
-        query[:start]
-        + "SELECT count(*) AS n_rows, sha256(string_agg(review || chr(9) || CASE sentiment WHEN 'negative'"
-        + " THEN '0' ELSE '1' END, chr(10) ORDER BY source_row_number)) AS sample_sha256 FROM ("
-        + query[start:]
-        + ")"
+    lines = (
+        "SELECT source_row_number AS pos, 1 AS n, sha256(review || chr(9) || CASE sentiment WHEN 'negative'"
+        + f" THEN '0' ELSE '1' END) AS digest FROM ({query[start:]})"
     )
+    for _ in range(metrics.DIGEST_LEVELS):
+        lines = (
+            f"SELECT pos // {metrics.DIGEST_BLOCK} AS pos, sum(n) AS n, sha256(string_agg(digest, ',' ORDER BY pos)) AS digest"
+            + f" FROM ({lines}) AS t GROUP BY pos // {metrics.DIGEST_BLOCK}"
+        )
+    return query[:start] + f"SELECT CAST(sum(n) AS BIGINT) AS n_rows, max(digest) AS sample_sha256 FROM ({lines})"
 
 
 QUERIES["sample_digest"] = (sample_digest, _sample_digest_sql())

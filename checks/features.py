@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks.curation import prepared
 from checks.sql import PREPARED, tokens
 from checks.sampling import SPLIT
-from checks.views import labelled_text_v, reviews_v, table, with_views
+from checks.views import reviews_v, table, with_views
 from marginalia.operators import features, model, scoring, split
 from marginalia.operators.scoring import LexiconPredictor
 from marginalia.schemas import ROW_NUMBER
@@ -28,27 +28,27 @@ lexicon = partial(LexiconPredictor, POSITIVE, NEGATIVE)
 
 
 def token_ngrams(spark, sf_dir):
-    return features.with_terms(labelled_text_v(spark, sf_dir)).select(
+    return features.with_terms(table(spark, sf_dir, "documents")).select(
         "doc_id", F.array_join("terms", "|").alias("terms")
     )
 
 
 def vocabulary_topk(spark, sf_dir):
-    return features.vocabulary_topk(labelled_text_v(spark, sf_dir), K)
+    return features.vocabulary_topk(table(spark, sf_dir, "documents"), K)
 
 
 def term_counts(spark, sf_dir):
-    docs = labelled_text_v(spark, sf_dir)
-    return features.term_counts(docs, ngram_range=(1, 1))
+    docs = table(spark, sf_dir, "documents")
+    return features.term_counts(docs, features.vocabulary_topk(docs, K))
 
 
 def idf_weights(spark, sf_dir):
-    docs = labelled_text_v(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents")
     return features.idf_weights(docs, features.vocabulary_topk(docs, K)).withColumn("idf", F.round("idf", 9))
 
 
 def tfidf_weights(spark, sf_dir):
-    return features.tfidf_weights(labelled_text_v(spark, sf_dir), K).withColumn("weight", F.round("weight", 9))
+    return features.tfidf_weights(table(spark, sf_dir, "documents"), K).withColumn("weight", F.round("weight", 9))
 
 
 def assign_row_ids(spark, sf_dir):
@@ -111,13 +111,13 @@ def file_manifest(spark, sf_dir):
     return manifest(spark, f"{sf_dir.rstrip('/')}/*.parquet")
 
 
-TERMS = with_views("labelled_text_v") + f""",
-w AS (SELECT doc_id, {tokens('text')} AS words FROM labelled_text_v),
+TERMS = f"""WITH
+w AS (SELECT doc_id, {tokens('text')} AS words FROM documents),
 g AS (SELECT doc_id, list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS terms FROM w),
 e AS (SELECT doc_id, unnest(terms) AS term FROM g),
 v AS (SELECT term, count(*) AS term_count FROM e GROUP BY term ORDER BY term_count DESC, term LIMIT {K}),
 d AS (SELECT term, count(DISTINCT doc_id) AS document_count FROM e WHERE term IN (SELECT term FROM v) GROUP BY term),
-i AS (SELECT *, ln((1 + (SELECT count(*) FROM labelled_text_v)) / (1 + document_count)::DOUBLE) + 1 AS idf FROM d),
+i AS (SELECT *, ln((1 + (SELECT count(*) FROM documents)) / (1 + document_count)::DOUBLE) + 1 AS idf FROM d),
 x AS (SELECT doc_id, term, count(*) * any_value(idf) AS w FROM e JOIN i USING (term) GROUP BY doc_id, term)"""
 
 
@@ -137,7 +137,7 @@ QUERIES = {
     "vocabulary_topk": (vocabulary_topk, TERMS + " SELECT term, term_count FROM v"),
     "term_counts": (
         term_counts,
-        TERMS + """ SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(words) AS term FROM w)
+        TERMS + """ SELECT doc_id, term, count(*) AS n FROM e WHERE term IN (SELECT term FROM v)
           GROUP BY doc_id, term""",
     ),
     "idf_weights": (idf_weights, TERMS + " SELECT term, document_count, round(idf, 9) AS idf FROM i"),

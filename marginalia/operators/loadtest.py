@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from marginalia.functions.sizes import percent, used_size_bytes
 
 # Columns of the two inputs after naming: one request row per run, many samples per run.
-REQUEST_COLUMNS = ("service", "run", "requests", "failures", "rps", "p50", "p95", "p99")
-SAMPLE_COLUMNS = ("service", "run", "cpu_percent", "memory_bytes")
+REQUEST_COLUMNS = ("service", "users", "run", "requests", "failures", "rps", "p50", "p95", "p99")
+SAMPLE_COLUMNS = ("service", "users", "run", "cpu_percent", "memory_bytes")
 
 
 def parse_samples(samples: DataFrame) -> DataFrame:
@@ -20,19 +20,19 @@ def parse_samples(samples: DataFrame) -> DataFrame:
 
 
 def load_test_rollup(requests: DataFrame, samples: DataFrame) -> DataFrame:
-    """Per service: means over runs of rate and latencies, totals, mean and peak resources.
+    """Per service and number of users: means over runs of rate and latencies, totals, mean and peak resources.
 
     Samples are averaged within a run first, so a longer run does not weigh more.
     """
-    per_run = samples.groupBy("service", "run").agg(
+    per_run = samples.groupBy("service", "users", "run").agg(
         F.avg("cpu_percent").alias("cpu_mean"),
         F.max("cpu_percent").alias("cpu_peak"),
         F.avg("memory_bytes").alias("memory_mean"),
         F.max("memory_bytes").alias("memory_peak"),
     )
     return (
-        requests.join(per_run, ["service", "run"], "left")
-        .groupBy("service")
+        requests.join(per_run, ["service", "users", "run"], "left")
+        .groupBy("service", "users")
         .agg(
             F.count(F.lit(1)).alias("runs"),
             F.sum("requests").alias("requests"),

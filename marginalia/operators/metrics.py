@@ -84,19 +84,26 @@ def long_metrics(metrics: DataFrame, keys: Sequence[str], names: Sequence[str])
     return metrics.unpivot(list(keys), list(names), "metric", "value")
 
 
-def sample_digest(sample: DataFrame, order: Sequence[str], text: str = "review", label: str = "label_id",
-                  max_rows: int = 100_000) -> DataFrame:
-    """SHA-256 over the ``text<TAB>label`` lines of a small ordered sample, joined by newlines.
+DIGEST_BLOCK, DIGEST_LEVELS = 4_096, 6  # 4,096 ** 6 is beyond any row number
 
-    The hash of ordered lines cannot be split, so it is for samples only and refuses more
-    than ``max_rows``; ``versions.dataset_fingerprint`` identifies tables of any size.
+
+def sample_digest(sample: DataFrame, row_number: str, text: str = "review", label: str = "label_id") -> DataFrame:
+    """SHA-256 over the ``text<TAB>label`` lines in the order of their row numbers, for any number of rows.
+
+    Lines are hashed, then the hashes of each block of 4,096 row numbers in their order, then those of
+    4,096 blocks, and so on, always six times: no task ever holds more than one block. Row
+    numbers are unique and not negative. An empty sample has no digest.
     """
-    n = sample.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows are too many for an ordered digest; use dataset_fingerprint")
     line = F.concat_ws("\t", F.col(text), F.col(label).cast("string"))
-    ordered = F.array_sort(F.collect_list(F.struct(*order, line.alias("line"))))
-    return sample.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sha2(F.array_join(F.transform(ordered, lambda r: r["line"]), "\n"), 256).alias("sample_sha256"),
+    level = sample.select(
+        F.col(row_number).cast("bigint").alias("at"), F.lit(1).cast("bigint").alias("n"), F.sha2(line, 256).alias("digest")
+    )
+    for _ in range(DIGEST_LEVELS):
+        inside = F.array_sort(F.collect_list(F.struct("at", "digest")))
+        level = level.groupBy(F.floor(F.col("at") / DIGEST_BLOCK).alias("block")).agg(
+            F.sum("n").alias("n"),
+            F.sha2(F.array_join(F.transform(inside, lambda r: r["digest"]), ","), 256).alias("digest"),
+        ).withColumnRenamed("block", "at")
+    return level.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.max("digest").alias("sample_sha256")
     )

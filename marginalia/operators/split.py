@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +22,6 @@ from marginalia.session import materialize
 
 DEFAULT_SEED = 42
 DEFAULT_RATIOS = (0.8, 0.1, 0.1)
-# Signatures with more groups than this are allocated by threshold instead of one by one.
-UNIT_GROUPS = 100_000
 
 
 def check_ratios(ratios: Sequence[float]) -> None:
@@ -39,67 +38,46 @@ def allocate(
     deviation from the class targets most, the first split winning ties.
     """
     totals = [sum(s[c] * s[2] for s in signatures) for c in (0, 1)]
-    targets = [[ratio * total for total in totals] for ratio in ratios]
+    targets = [[Fraction(str(ratio)) * total for total in totals] for ratio in ratios]
     placed = [[0, 0] for _ in ratios]
     quotas: dict[tuple[int, int], list[int]] = {}
     for negative, positive, groups in sorted(signatures, key=lambda s: (-(s[0] + s[1]), s[0], s[1])):
         size = (negative, positive)
-        quota = [0] * len(ratios)
-        remaining = groups
-        if groups > UNIT_GROUPS:
-            quota = _by_threshold(size, groups, placed, targets)
-            remaining -= sum(quota)
-            for k, n in enumerate(quota):
-                for c in (0, 1):
-                    placed[k][c] += n * size[c]
-        for _ in range(remaining):
-            k = _cheapest(size, placed, targets)
-            quota[k] += 1
+        quotas[size] = _shares(size, groups, placed, targets)
+        for k, n in enumerate(quotas[size]):
             for c in (0, 1):
-                placed[k][c] += size[c]
-        quotas[size] = quota
+                placed[k][c] += n * size[c]
     return quotas
 
 
-def _cost(size, placed, target) -> float:
-    cost = 0.0
-    for c in (0, 1):
-        before = placed[c] - target[c]
-        after = placed[c] + size[c] - target[c]
-        cost += (after**2 - before**2) / max(target[c], 1)
-    return cost
+def _shares(size, groups, placed, targets) -> list[int]:
+    """How many of the equal groups every split takes.
 
-
-def _cheapest(size, placed, targets) -> int:
-    costs = [_cost(size, placed[k], targets[k]) for k in range(len(targets))]
-    return costs.index(min(costs))
-
-
-def _by_threshold(size, groups, placed, targets) -> list[int]:
-    """Most of the groups at once: the j-th group of one signature costs a split
-    ``start + j * step``, so the cheapest ones are those under a common cost level."""
-    # The difference of squares factored, which stays exact for billions of groups.
-    starts = [
-        sum(size[c] * (2 * (placed[k][c] - t[c]) + size[c]) / max(t[c], 1) for c in (0, 1))
-        for k, t in enumerate(targets)
-    ]
-    steps = [sum(2.0 * size[c] ** 2 / max(t[c], 1) for c in (0, 1)) for t in targets]
+    A further group of one size costs a split ``start + j * step`` when it has taken ``j`` of them, so
+    one-by-one assignment takes the ``groups`` smallest of these values, equal ones in the order
+    of the splits. The value of the last one is found by halving. Whole numbers over a
+    common denominator keep every comparison exact.
+    """
+    starts, steps = [], []
+    for (a, b), target in zip(placed, targets):
+        weights = [Fraction(n) / max(t, 1) for n, t in zip(size, target)]
+        starts.append(sum(w * (2 * (p - t) + n) for w, p, t, n in zip(weights, (a, b), target, size)))
+        steps.append(sum(2 * w * n for w, n in zip(weights, size)))
+    scale = math.lcm(*(f.denominator for f in [*starts, *steps]))
+    starts, steps = [int(f * scale) for f in starts], [int(f * scale) for f in steps]
 
     def taken(level):
-        return [max(0, math.floor((level - b) / s) + 1) for b, s in zip(starts, steps)]
-
-    low, high = min(starts), max(starts) + groups * max(steps)
-    for _ in range(200):
-        middle = (low + high) / 2
-        if middle in (low, high):
-            break
-        if sum(taken(middle)) <= groups:
-            low = middle
-        else:
-            high = middle
+        return [max(0, (level - b) // s + 1) for b, s in zip(starts, steps)]
+
+    low, high = min(starts) - 1, max(starts) + groups * max(steps)
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if sum(taken(middle)) <= groups else (low, middle)
     counts = taken(low)
-    # Leave the last few groups to the one-by-one rule.
-    return [max(0, n - 2) for n in counts] if sum(counts) <= groups else [0] * len(counts)
+    for k, (b, s) in enumerate(zip(starts, steps)):
+        if sum(counts) < groups and high >= b and (high - b) % s == 0:
+            counts[k] += 1
+    return counts
 
 
 def grouped_split(

@@ -110,9 +110,13 @@ def version_lookup(versions: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def roll_back(versions: DataFrame, name: str, version: str) -> str:
     """Path of an older version, checked against its recorded hash before it is used."""
-    row = versions.where((F.col("name") == name) & (F.col("version") == version)).first()
+    rows = versions.where((F.col("name") == name) & (F.col("version") == version))
+    row = rows.first()
     if row is None:
         raise ValueError(f"{name} has no version {version}")
+    contents = rows.select("content_hash").distinct().count()
+    if contents > 1:
+        raise ValueError(f"version {version} of {name} stands for {contents} contents")
     stored = versions.sparkSession.read.parquet(row["path"])
     found = content_hash(dataset_fingerprint(stored, stored.columns)).first()["content_hash"]
     if found != row["content_hash"]:

@@ -6,6 +6,7 @@ the written result passed.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -134,7 +135,10 @@ def train_and_evaluate(spark: SparkSession, job: TrainParams) -> dict[str, dict[
 def gate_candidate(spark: SparkSession, metrics_path: str, config: dict) -> int:
     """0 when the candidate reaches the configured baseline, 1 when not, 2 on any error."""
     try:
-        baseline = gates.baseline_from_config(config)
+        configured = spark.createDataFrame([("candidate", json.dumps(config))], "model string, config string")
+        baseline = gates.configured_baselines(configured).first()["baseline"]
+        if baseline is None:
+            return gates.EXIT_STATUS["error"]
         documents = spark.read.text(metrics_path, wholetext=True).select(
             F.lit("candidate").alias("model"), F.col("value").alias("metrics")
         )
@@ -188,7 +192,7 @@ def evaluate_settings(
     """
     subset = materialize(stratified_subset(rows, count, seed=seed), "subset")
     sample = metrics.sample_digest(
-        subset.withColumn("label_id", encode_label(F.col("sentiment"))), [ROW_NUMBER]
+        subset.withColumn("label_id", encode_label(F.col("sentiment"))), ROW_NUMBER
     ).first()["sample_sha256"]
     results = []
     for name, score in scorers.items():

@@ -40,10 +40,22 @@ def test_sample_digest(spark):
     import hashlib
 
     rows = spark.createDataFrame([(2, "b", 1), (1, "a", 0)], "o int, review string, label_id int").repartition(2)
-    found = metrics.sample_digest(rows, ["o"]).first()["sample_sha256"]
-    assert found == hashlib.sha256("a\t0\nb\t1".encode()).hexdigest()
-    with pytest.raises(ValueError, match="dataset_fingerprint"):
-        metrics.sample_digest(rows, ["o"], max_rows=1)
+    def sha(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    found = metrics.sample_digest(rows, "o").first()
+    level = sha(",".join([sha("a\t0"), sha("b\t1")]))
+    for _ in range(metrics.DIGEST_LEVELS - 1):
+        level = sha(level)
+    assert tuple(found) == (2, level)
+    many = spark.range(10_000).select(F.col("id").alias("o"), F.lit("t").alias("review"), F.lit(1).alias("label_id"))
+    line = sha("t\t1")
+    blocks = [sha(",".join([line] * n)) for n in (4096, 4096, 1808)]
+    level = sha(",".join(blocks))
+    for _ in range(metrics.DIGEST_LEVELS - 2):
+        level = sha(level)
+    assert tuple(metrics.sample_digest(many, "o").first()) == (10_000, level)
+    assert tuple(metrics.sample_digest(many.limit(0), "o").first()) == (0, None)
 
 
 def test_score_problems(spark):
@@ -299,6 +311,8 @@ def test_versions(spark, tmp_path):
     table = versions.version_record(spark.read.parquet(path), "reviews", "1", path, "abc")
     assert versions.roll_back(table, "reviews", "1") == path
     assert versions.register_version(table, table).isEmpty()
+    with pytest.raises(ValueError, match="2 contents"):
+        versions.roll_back(table.unionAll(table.withColumn("content_hash", F.lit("0" * 32))), "reviews", "1")
     spark.range(1).select(F.lit(9).alias("i"), F.lit("z").alias("t")).write.mode("append").parquet(path)
     with pytest.raises(RuntimeError, match="does not match"):
         versions.roll_back(table.withColumn("content_hash", F.lit(content(rows))), "reviews", "1")
@@ -306,11 +320,11 @@ def test_versions(spark, tmp_path):
 
 def test_load_test_rollup(spark):
     requests = spark.createDataFrame(
-        [("f", 1, 495, 0, 8.37, 110.0, 190.0, 220.0), ("f", 2, 498, 0, 8.41, 110.0, 180.0, 210.0), ("f", 3, 506, 0, 8.56, 110.0, 170.0, 210.0)],
-        "service string, run int, requests int, failures int, rps double, p50 double, p95 double, p99 double")
+        [("f", 1, 1, 495, 0, 8.37, 110.0, 190.0, 220.0), ("f", 1, 2, 498, 0, 8.41, 110.0, 180.0, 210.0), ("f", 1, 3, 506, 0, 8.56, 110.0, 170.0, 210.0)],
+        "service string, users int, run int, requests int, failures int, rps double, p50 double, p95 double, p99 double")
     samples = spark.createDataFrame(
-        [("f", 1, "180%", "349.6MiB / 2GiB"), ("f", 1, "200%", "349.6MiB / 2GiB"), ("f", 2, "100%", "1GiB / 2GiB"), ("f", 3, "bad", "1GiB / 2GiB")],
-        "service string, run int, cpu string, usage string")
+        [("f", 1, 1, "180%", "349.6MiB / 2GiB"), ("f", 1, 1, "200%", "349.6MiB / 2GiB"), ("f", 1, 2, "100%", "1GiB / 2GiB"), ("f", 1, 3, "bad", "1GiB / 2GiB")],
+        "service string, users int, run int, cpu string, usage string")
     row = loadtest.load_test_rollup(requests, loadtest.parse_samples(samples)).first()
     assert row["requests"] == 1499 and row["mean_rps"] == pytest.approx(8.4466, abs=1e-3)
     assert row["mean_p99"] == pytest.approx(213.33, abs=0.01) and row["mean_cpu_percent"] == 145 and row["peak_cpu_percent"] == 200
@@ -333,3 +347,30 @@ def test_gates_refuse_type_suffixes_and_repeated_scores(spark):
     assert verdict([*good, ("m", "test", "f1_macro", 0.1)], bar) == "error"
     assert verdict(good, bar.unionAll(bar)) == "error"
     assert verdict(good, bar.limit(0)) == "error"
+
+
+def test_load_tests_keep_user_levels_apart(spark):
+    requests = spark.createDataFrame(
+        [("f", 1, 1, 10, 0, 1.0, 1.0, 1.0, 1.0), ("f", 5, 1, 30, 2, 3.0, 9.0, 9.0, 9.0)],
+        "service string, users int, run int, requests int, failures int, rps double, p50 double, p95 double, p99 double")
+    samples = spark.createDataFrame(
+        [("f", 1, 1, "10%", "1MiB / 2GiB"), ("f", 5, 1, "90%", "3MiB / 2GiB")],
+        "service string, users int, run int, cpu string, usage string")
+    rolled = loadtest.load_test_rollup(requests, loadtest.parse_samples(samples)).orderBy("users").collect()
+    assert [(r["users"], r["requests"], r["mean_rps"], r["mean_cpu_percent"]) for r in rolled] == [(1, 10, 1.0, 10.0), (5, 30, 3.0, 90.0)]
+
+
+def test_gate_configurations(spark):
+    from marginalia.operators import gates
+
+    good = {"schema_version": 1, "metric": "f1_macro", "split": "test", "baseline": {"value": 0.8, "source": "s", "model": "m"}}
+    odd = [
+        good | {"schema_version": True}, good | {"schema_version": 2}, good | {"metric": "f1"}, good | {"split": "train"},
+        good | {"more": 1}, good | {"baseline": {"value": 0.8, "source": "s"}}, good | {"baseline": 0.8},
+        *[good | {"baseline": good["baseline"] | change} for change in (
+            {"value": 1.5}, {"value": -0.1}, {"value": "0.8"}, {"value": True}, {"source": "  "}, {"model": 3}, {"x": 1})],
+    ]
+    texts = [json.dumps(c) for c in [good, good | {"baseline": good["baseline"] | {"value": 1}}, *odd]] + ["[]", "{", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "model int, config string")
+    found = [r["baseline"] for r in gates.configured_baselines(rows).orderBy("model").collect()]
+    assert found == [0.8, 1.0] + [None] * (len(texts) - 2)

@@ -1,6 +1,7 @@
 """Splits and samples: exact sizes, no leakage, determinism."""
 
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,16 +93,37 @@ def test_quotas_match_group_by_group_assignment():
         assert placed == sequential(groups, split.DEFAULT_RATIOS)
 
 
-def test_threshold_allocation_is_close_to_one_by_one(monkeypatch):
-    signatures = [(1, 0, 150_001), (0, 1, 120_000), (0, 2, 9_000), (3, 1, 10)]
-    exact = split.allocate(signatures[:], (0.7, 0.2, 0.1))
-    monkeypatch.setattr(split, "UNIT_GROUPS", 10**9)
-    slow = split.allocate(signatures[:], (0.7, 0.2, 0.1))
-    for signature, quota in slow.items():
-        assert sum(exact[signature]) == sum(quota)
-        assert all(abs(a - b) <= 1 for a, b in zip(exact[signature], quota))
+def exact_one_by_one(signatures, ratios):
+    """Every group on its own, in exact arithmetic, the first split winning ties."""
+    ratios = [Fraction(str(r)) for r in ratios]
+    totals = [sum(s[c] * s[2] for s in signatures) for c in (0, 1)]
+    weight = [[1 / max(r * t, Fraction(1)) for t in totals] for r in ratios]
+    over = [[-r * t for t in totals] for r in ratios]
+    quotas = {}
+    for *size, groups in sorted(signatures, key=lambda s: (-(s[0] + s[1]), s[0], s[1])):
+        quota = quotas[tuple(size)] = [0] * len(ratios)
+        for _ in range(groups):
+            costs = [sum(w * ((o + n) ** 2 - o**2) for w, o, n in zip(weight[k], over[k], size)) for k in range(len(ratios))]
+            k = costs.index(min(costs))
+            quota[k] += 1
+            over[k] = [o + n for o, n in zip(over[k], size)]
+    return quotas
+
+
+@pytest.mark.parametrize("ratios", [(0.7, 0.2, 0.1), (0.8, 0.1, 0.1)])
+def test_allocation_equals_one_by_one(ratios):
+    random.seed(4)
+    for _ in range(10):
+        kinds = {(random.randint(0, 4), random.randint(1, 4)): random.randint(1, 60) for _ in range(5)}
+        signatures = [(*k, n) for k, n in kinds.items()]
+        assert split.allocate(signatures, ratios) == exact_one_by_one(signatures, ratios)
+    many = [(1, 0, 100_001), (0, 1, 300), (3, 1, 10)]
+    assert split.allocate(many, ratios) == exact_one_by_one(many, ratios)
+
+
+def test_allocation_of_very_many_groups():
     huge = split.allocate([(1, 0, 10**11), (0, 1, 10**11)], split.DEFAULT_RATIOS)
-    assert all(abs(q - 0.8 * 10**11) <= 10 and sum([q, *r]) == 10**11 for q, *r in huge.values())
+    assert all(q == [8 * 10**10, 10**10, 10**10] for q in huge.values())
 
 
 def test_leaks_are_found(spark):
