@@ -4,10 +4,11 @@ Templates are short, distinctive passages of well-known licences, with a label a
 phrases. The index holds one posting (word, template, position) for each of their words; it is
 bounded by the templates, so it is broadcast. A scan keeps, of every whole text, only places
 of licence words. The weight of a word is its inverse document frequency, counted over all
-documents. Each document then looks up its ``RAREST`` highest-weighted licence words, and the
-postings are intersected by relative position: matches of one template at one offset
-(document position less template position) count together. An offset that holds
-``MIN_SHARE`` of the weight of the template's own rarest words is a candidate, and the template's label is given if
+documents, smoothed so that it stays above 0. Each template is indexed by its own ``RAREST``
+highest-weighted words; a document looks up all its licence words, however many licences it
+holds, and the postings are intersected by relative position: matches of one template at one
+offset (document position less template position) count together. An offset that holds
+``MIN_SHARE`` of the weight of the template's indexed words is a candidate, and the template's label is given if
 every mandatory phrase stands in the text. Phrases of ``BASE`` give their labels wherever their
 words stand consecutively, whatever the index says.
 
@@ -51,10 +52,14 @@ MIN_SHARE = 0.6
 ROW = "__doc_row"
 
 
-def postings(spark: SparkSession) -> DataFrame:
-    """(word, template, place): one row for each word of each template."""
-    rows = [(w, t, i) for t, (_, text, _) in enumerate(TEMPLATES) for i, w in enumerate(text.split())]
-    return spark.createDataFrame(rows, "word string, template int, place int")
+def postings(weights: dict[str, float]) -> list[tuple[str, int, int, float]]:
+    """(word, template, place, weight): the places of each template's ``RAREST`` words, ties by word."""
+    rows = []
+    for t, (_, text, _) in enumerate(TEMPLATES):
+        own = text.split()
+        rare = sorted(set(own), key=lambda w: (-weights[w], w))[:RAREST]
+        rows += [(w, t, i, weights[w]) for i, w in enumerate(own) if w in rare]
+    return rows
 
 
 def vocabulary() -> list[str]:
@@ -106,7 +111,7 @@ def word_weights(scanned: DataFrame) -> DataFrame:
     every = spark.createDataFrame([(w,) for w in vocabulary()], "word string")
     # Both are bounded: one row, and one row for each word of the templates.
     joined = every.join(F.broadcast(counts), "word", "left").join(F.broadcast(total))
-    return joined.select("word", F.log((F.col("total") + 1) / (F.coalesce("df", F.lit(0)) + 1)).alias("weight"))
+    return joined.select("word", F.log1p((F.col("total") + 1) / (F.coalesce("df", F.lit(0)) + 1)).alias("weight"))
 
 
 def find_licences(docs: DataFrame, *, keep: list[str]) -> DataFrame:
@@ -115,23 +120,21 @@ def find_licences(docs: DataFrame, *, keep: list[str]) -> DataFrame:
     scanned = scan(docs.select(*dict.fromkeys([*keep, "text"])), keep)
     scanned = materialize(scanned.withColumn(ROW, F.monotonically_increasing_id()), "licence-scan")
     weights = {r.word: r.weight for r in word_weights(scanned).collect()}
-    index = postings(spark).join(spark.createDataFrame(list(weights.items()), "word string, weight double"), "word")
-    weighed = F.create_map(*(F.lit(x) for pair in weights.items() for x in pair))
-    rare = F.slice(F.array_sort(F.transform("own", lambda w: F.struct((-F.element_at(weighed, w)).alias("k"), w.alias("w")))), 1, RAREST)
-    chosen = F.filter("licence", lambda x: F.array_contains(F.transform("rare", lambda r: r["w"]), x["word"]))
-    looked = scanned.where(F.size("stands") > 0).withColumn("rare", rare)
-    hits = looked.select(ROW, F.explode(chosen).alias("x")).select(ROW, "x.*")
-    at = hits.join(F.broadcast(index), "word").withColumn("offset", F.col("at") - F.col("place"))
+    rows = postings(weights)
+    index = spark.createDataFrame(rows, "word string, template int, place int, weight double")
+    full = {t: sum(w for _, own, _, w in rows if own == t) for t in range(len(TEMPLATES))}
+    # A template whose mandatory phrases do not all stand in a text cannot give its label: it is not looked up there.
+    may = F.array_compact(F.array(*(
+        F.when(F.forall(F.array(*map(F.lit, must)), lambda p: F.array_contains("stands", p)), F.lit(t))
+        for t, (_, _, must) in enumerate(TEMPLATES))))
+    looked = scanned.where(F.size("stands") > 0).select(ROW, may.alias("may"), F.explode("licence").alias("x"))
+    at = looked.select(ROW, "may", "x.*").join(F.broadcast(index), "word").where(F.array_contains("may", F.col("template")))
+    at = at.withColumn("offset", F.col("at") - F.col("place"))
     shares = at.groupBy(ROW, "template", "offset").agg(F.sum("weight").alias("held"))
-    # A document looks up ``RAREST`` words, so a template counts by its own rarest ones.
-    full = {t: sum(sorted((weights[w] for w in set(text.split())), reverse=True)[:RAREST]) for t, (_, text, _) in enumerate(TEMPLATES)}
     rules = spark.createDataFrame(
-        [(t, label, list(must), full[t]) for t, (label, _, must) in enumerate(TEMPLATES)],
-        "template int, label string, must array<string>, weight_of double",
-    )
-    share = F.when(F.col("weight_of") > 0, F.least(F.lit(1.0), F.col("held") / F.col("weight_of"))).otherwise(F.lit(0.0))
-    best = shares.join(F.broadcast(rules), "template").withColumn("share", share).where(F.col("share") >= MIN_SHARE)
-    found = best.join(looked.select(ROW, "stands"), ROW).where(F.forall("must", lambda p: F.array_contains("stands", p)))
+        [(t, label, full[t]) for t, (label, _, _) in enumerate(TEMPLATES)], "template int, label string, weight_of double")
+    share = F.least(F.lit(1.0), F.col("held") / F.col("weight_of"))
+    found = shares.join(F.broadcast(rules), "template").withColumn("share", share).where(F.col("share") >= MIN_SHARE)
     each = found.groupBy(ROW).agg(F.collect_set("label").alias("own_labels"), F.max("share").alias("share"))
     out = scanned.join(each, ROW, "left")
     all_labels = F.array_sort(F.array_union("base", F.coalesce("own_labels", F.array().cast("array<string>"))))

@@ -337,6 +337,26 @@ def test_licences(spark):
     assert licenses.find_licences(docs_of(spark, rows).limit(0), keep=["doc_id"]).count() == 0
 
 
+def test_verbatim_licences_side_by_side(spark):
+    """Several licences in one text, long texts of licence words, and a table of one document."""
+    sole = [(t, label) for t, (label, _, _) in enumerate(licenses.TEMPLATES)]
+    text = lambda *ts: " filler ".join(licenses.TEMPLATES[t][1] for t in ts)
+    rng = random.Random(9)
+    groups = [(a, b) for a, _ in sole for b, _ in sole if a < b] + [tuple(t for t, _ in sole)]
+    rows = [(i, text(*g), "s") for i, g in enumerate(groups)]
+    noise = " ".join(rng.choice(licenses.vocabulary()) for _ in range(3000))
+    rows.append((len(rows), noise + " " + text(7, 9) + " " + noise, "s"))
+    groups.append((7, 9))
+    rows += [(10_000 + i, "plain words of another kind", "s") for i in range(300)]
+    got = {r.doc_id: r for r in licenses.find_licences(docs_of(spark, rows), keep=["doc_id"]).collect()}
+    for i, g in enumerate(groups):
+        assert {licenses.TEMPLATES[t][0] for t in g} <= set(got[i].labels.split(",")), g
+        assert got[i].score == pytest.approx(1.0)
+    alone = licenses.find_licences(docs_of(spark, [(1, text(7, 9), "s")]), keep=["doc_id"]).first()
+    assert alone.labels == "bsd,isc" and alone.score == pytest.approx(1.0)
+    assert got[10_000].labels == "" and got[10_000].score == 0
+
+
 def test_topk_matches_brute_force(spark):
     rng = np.random.default_rng(0)
     data = rng.normal(0, 0.2, (700, 40)).astype(np.float32)
