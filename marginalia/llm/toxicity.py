@@ -7,13 +7,20 @@ decides. Each model picks its own features from its own training rows.
 
 Features are presences of words and of word beginnings of four and five letters, so inflected
 and compound forms of a term count. Models are fitted on the driver from at most
-``SAMPLE`` labelled rows (those with the smallest id hashes, whatever the size of the input),
-and travel to the tasks as small tables; every text is then scored whole.
+``SAMPLE`` labelled ids (those with the smallest id hashes, whatever the size of the input; half
+of them of either class if there are so many, weighted back to the classes' shares of all
+labelled ids), and travel to the tasks as small tables; every text is then scored whole.
+
+The decision threshold is set from all labelled rows: each is scored in the tasks by the models of
+its fold, which did not see it or a copy of it, and the rows are counted by log-odds and label. It is the cut
+with the best F1 among those with a precision of ``MIN_PRECISION`` that reject at most
+``MAX_FALSE`` of the clean rows. If no cut does so, the classes are not told apart and nothing is toxic.
 
 Defined cases: a null or empty text has no features and gets the models' intercept. Labels that
 are null count as missing; an id labelled twice is toxic if any label says so. With no labelled
 row, or a category of one class only, that category's probability is the share of positives (0
-without rows). Repeated rows get the same result. Extra columns are passed on.
+without rows); if that is the last category, nothing is toxic. An id with several texts is fitted by
+the one with the smallest hash, and each of its rows counts for the threshold. Repeated rows get the same result. Extra columns are passed on.
 """
 
 from __future__ import annotations
@@ -29,11 +36,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.session import materialize
+
 SAMPLE = 8_000
 FOLDS = 3
 FEATURES = 1_500
 MIN_ROWS = 4
 ODDS_LIMIT = 12.0
+MIN_PRECISION = 0.5
+MAX_FALSE = 0.05
+CELLS = 1_000  # cells of log-odds per unit
 # Weak labels of the earlier categories among texts labelled toxic.
 CATEGORIES = {
     "insult": frozenset(("idiot", "moron", "clown", "loser", "scum", "fool", "imbecile", "jerk", "dumb")),
@@ -49,6 +61,11 @@ def features(text: str | None) -> set[str]:
     return found | {w[:5] + "*" for w in found if len(w) > 5} | {w[:4] + "*" for w in found if len(w) > 4}
 
 
+def text_fold(found: set[str]) -> int:
+    """Copies of a text fall into one fold."""
+    return zlib.crc32(" ".join(sorted(found)).encode("utf-8", "surrogatepass")) % FOLDS
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -105,11 +122,14 @@ def select_features(data: Table, inside: np.ndarray, y: np.ndarray, limit: int)
     return best[value[best] > 10]
 
 
-def fit_link(data: Table, inside: np.ndarray, y: np.ndarray, before: np.ndarray, *, steps: int = 120, ridge: float = 1e-4) -> tuple[Link, np.ndarray]:
-    """A model fitted on the ``inside`` rows, and its log-odds for all rows."""
+def fit_link(
+    data: Table, inside: np.ndarray, y: np.ndarray, before: np.ndarray, counts: np.ndarray, *, steps: int = 120, ridge: float = 1e-4,
+) -> tuple[Link, np.ndarray]:
+    """A model fitted on the ``inside`` rows, each standing for ``counts`` rows, and its log-odds for all rows."""
     n = int(inside.sum())
+    share = float(np.average(y[inside], weights=counts[inside])) if n else 0.0
     if n == 0 or y[inside].sum() in (0, n):
-        share = float(np.clip(y[inside].mean() if n else 0.0, 6e-6, 1 - 6e-6))
+        share = float(np.clip(share, 6e-6, 1 - 6e-6))
         bias = float(np.log(share / (1 - share)))
         return Link({}, [0.0] * before.shape[1], bias), np.full(data.n, bias)
     chosen = select_features(data, inside, y, FEATURES)
@@ -119,9 +139,9 @@ def fit_link(data: Table, inside: np.ndarray, y: np.ndarray, before: np.ndarray,
     all_row, all_col = data.row[used], place[data.col[used]]
     own = inside[all_row]
     row, col, k, scaled = all_row[own], all_col[own], len(chosen), before / 4.0
-    weight = inside / n
+    weight = inside * counts / counts[inside].sum()
     theta = np.zeros(k + before.shape[1] + 1)
-    theta[-1] = np.log(y[inside].mean() / (1 - y[inside].mean()))
+    theta[-1] = np.log(share / (1 - share))
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
         odds = np.bincount(row, weights=theta[col], minlength=data.n) + scaled @ theta[k:-1] + theta[-1]
@@ -143,65 +163,100 @@ class Chain:
     threshold: float
     held_out: dict[str, float]
 
-    def probabilities(self, text: str | None) -> list[float]:
-        found, odds = features(text), []
+    def odds(self, found: set[str]) -> list[float]:
+        odds = []
         for link in self.links:
             odds.append(link.odds(found, odds))
-        return [float(_sigmoid(o)) for o in odds]
+        return odds
 
+    def probabilities(self, text: str | None) -> list[float]:
+        return [float(_sigmoid(o)) for o in self.odds(features(text))]
+
+
+def fit_chain(data: Table, labels: dict[str, np.ndarray], folds: np.ndarray, counts: np.ndarray) -> tuple[Chain, list[Chain]]:
+    """Fit the links in the order of ``labels``; ``folds`` gives each row's fold.
 
-def fit_chain(data: Table, labels: dict[str, np.ndarray], folds: np.ndarray) -> Chain:
-    """Fit the links in the order of ``labels``; ``folds`` gives each row's fold."""
-    names, links = list(labels), []
+    The chain of all rows, whose threshold rejects nothing yet, and for each fold the one that did not see it.
+    """
+    names, links, others = list(labels), [], [[] for _ in range(FOLDS)]
     odds, every = np.zeros((data.n, 0)), np.ones(data.n, bool)
     for name in names:
         y, own = labels[name].astype(bool), np.zeros(data.n)
-        for fold in np.unique(folds):
-            own[folds == fold] = fit_link(data, folds != fold, y, odds)[1][folds == fold]
-        links.append(fit_link(data, every, y, odds)[0])
+        for fold in range(FOLDS):
+            link, all_odds = fit_link(data, folds != fold, y, odds, counts)
+            others[fold].append(link)
+            own[folds == fold] = all_odds[folds == fold]
+        links.append(fit_link(data, every, y, odds, counts)[0])
         odds = np.column_stack([odds, own])
-    threshold, quality = best_threshold(_sigmoid(odds[:, -1]), labels[names[-1]].astype(bool))
-    return Chain(names, links, threshold, quality)
-
+    return Chain(names, links, 1.0, {}), [Chain(names, own, 1.0, {}) for own in others]
+
+
+def best_threshold(cells: dict[int, tuple[int, int]]) -> tuple[float, dict[str, float]]:
+    """The cut with the best F1, in the middle of the gap it lies in; 1, which nothing reaches, if no cut is good enough.
+
+    ``cells`` has the numbers of clean and toxic rows by cell of log-odds.
+    """
+    places = sorted(cells, reverse=True)
+    clean, toxic = np.cumsum(np.array([cells[c] for c in places], dtype=np.int64).reshape(-1, 2), axis=0).T
+    if not len(places) or not clean[-1] or not toxic[-1]:
+        return 1.0, {"precision": 1.0, "recall": 0.0}
+    good = (toxic >= MIN_PRECISION * (clean + toxic)) & (clean <= MAX_FALSE * clean[-1]) & (toxic > 0)
+    if not good.any():
+        return 1.0, {"precision": 1.0, "recall": 0.0}
+    at = int(np.argmax(np.where(good, 2 * toxic / (clean + toxic + toxic[-1]), -1.0)))
+    # A cell holds log-odds from its number on, below the next number.
+    cut = (places[at] + places[at + 1] + 1) / 2 / CELLS
+    return float(_sigmoid(cut)), {"precision": float(toxic[at] / (clean[at] + toxic[at])), "recall": float(toxic[at] / toxic[-1])}
+
+
+def held_out_cells(docs: DataFrame, known: DataFrame, others: list[Chain]) -> dict[int, tuple[int, int]]:
+    """Clean and toxic rows by cell of log-odds, over all labelled rows of ``docs``, each by the chain of its fold."""
+    @F.pandas_udf("int")
+    def cell(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            found = [features(t) for t in batch]
+            yield pd.Series([int(np.floor(others[text_fold(f)].odds(f)[-1] * CELLS)) for f in found], dtype="int32")
 
-def best_threshold(p: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, float]]:
-    """The cut with the best F1 out of fold, in the middle of the gap it lies in; 1 without positives."""
-    order = np.argsort(-p, kind="stable")
-    hits, n = np.cumsum(y[order]), np.arange(1, len(y) + 1)
-    if not y.any():
-        return 1.0, {"precision": 1.0, "recall": 1.0}
-    ends = np.flatnonzero(np.append(np.diff(p[order]) != 0, True))
-    score = 2 * hits[ends] / (n[ends] + y.sum())
-    at = ends[int(np.argmax(score))]
-    low = p[order][at + 1] if at + 1 < len(y) else 0.0
-    return float((p[order][at] + low) / 2), {"precision": float(hits[at] / n[at]), "recall": float(hits[at] / y.sum())}
+    scored = docs.where("doc_id is not null").select("doc_id", cell("text").alias("cell"))
+    # Counted first, so that an id with many rows is no hot key of the join.
+    met = scored.groupBy("doc_id", "cell").agg(F.count("*").alias("n")).join(known, "doc_id")
+    seen = met.groupBy("cell").agg(
+        F.sum(F.when(F.col("toxic") > 0, 0).otherwise(F.col("n"))).alias("clean"), F.sum(F.when(F.col("toxic") > 0, F.col("n")).otherwise(0)).alias("toxic"))
+    return {r.cell: (r.clean, r.toxic) for r in seen.collect()}
 
 
 def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Chain:
-    """Fit from at most ``sample`` rows of ``docs`` whose id is labelled."""
-    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ids = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
-    chosen = ids.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(sample)
+    """Fit from at most ``sample`` ids of ``docs`` that are labelled; the threshold is of all labelled rows."""
+    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    known = materialize(known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "toxicity-labels")
+    sizes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+    n_clean, n_toxic = sizes.get(0, 0), sizes.get(1, 0)
+    take_toxic = min(n_toxic, max(sample // 2, sample - n_clean))
+    take = {1: take_toxic, 0: min(n_clean, sample - take_toxic)}
+    first = lambda y: known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(take[y])
+    own = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).join(F.broadcast(first(1).unionAll(first(0))), "doc_id")
+    rows = own.groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.min_by("text", "h").alias("text"))
 
     weak_names = list(CATEGORIES)
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [sorted(features(t)) for t in batch["text"]]
+            found = [features(t) for t in batch["text"]]
             weak = [[y > 0 and not CATEGORIES[name].isdisjoint(f) for name in weak_names] for y, f in zip(batch["toxic"], found)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"] > 0, "weak": weak, "found": found,
-                                "key": [zlib.crc32(" ".join(f).encode("utf-8", "surrogatepass")) for f in found]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"] > 0, "weak": weak, "found": [sorted(f) for f in found],
+                                "fold": [text_fold(f) for f in found]})
 
-    data = rows.mapInPandas(extract, "doc_id long, toxic boolean, weak array<boolean>, found array<string>, key long").toArrow()
-    data = data.sort_by([("doc_id", "ascending"), ("key", "ascending")]).combine_chunks()
+    data = rows.mapInPandas(extract, "doc_id long, toxic boolean, weak array<boolean>, found array<string>, fold int").toArrow()
+    data = data.sort_by("doc_id").combine_chunks()
     toxic = data["toxic"].to_numpy().astype(bool)
     flags = np.array(data["weak"].to_pylist(), bool).reshape(-1, len(weak_names))
     weak = {name: flags[:, i] for i, name in enumerate(weak_names)}
-    # Copies of a text fall into one fold.
-    folds = data["key"].to_numpy() % FOLDS
     found = data["found"].combine_chunks() if data.num_rows else pa.array([], pa.list_(pa.string()))
-    return fit_chain(Table.of(found), {**weak, FINAL: toxic}, folds)
+    counts = np.where(toxic, n_toxic / max(1, take[1]), n_clean / max(1, take[0]))
+    chain, others = fit_chain(Table.of(found), {**weak, FINAL: toxic}, data["fold"].to_numpy(), counts)
+    # One class alone is not told apart from anything.
+    chain.threshold, chain.held_out = best_threshold(held_out_cells(docs, known, others) if n_clean and n_toxic else {})
+    return chain
 
 
 def scores(text: Column, chain: Chain) -> Column:

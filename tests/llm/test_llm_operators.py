@@ -112,6 +112,32 @@ def test_toxicity_chain_on_unseen_rows(spark):
     assert toxicity.keep_clean(docs.limit(0), none).count() == 0
 
 
+def test_toxicity_threshold_bounds_false_positives(spark):
+    rng = random.Random(8)
+    clean = lambda: " ".join(rng.choice("alpha beta gamma delta omega kappa sigma".split()) + str(rng.randrange(60)) for _ in range(30))
+    # All toxic rows are copies of one text: the models of the other folds cannot know it.
+    rows = [(i, "same hateful lines" if i % 50 == 0 else clean(), "s") for i in range(400)] + [(900, None, "s"), (901, "", "s")]
+    docs = docs_of(spark, rows)
+    known = spark.createDataFrame([(i, int(i % 50 == 0)) for i in range(400)], "doc_id long, toxic long")
+    assert toxicity.keep_clean(docs, toxicity.train(docs, known)).count() == docs.count()
+    # One class alone tells nothing apart.
+    assert toxicity.keep_clean(docs, toxicity.train(docs, known.where("toxic = 1"))).count() == docs.count()
+    # Toxic labels are rare beside the sample: they are all kept, and the threshold is of all labelled rows.
+    rows = [(i, clean() + (" idiot" if i % 75 == 0 else ""), "s") for i in range(3000)] + [(9000, None, "s"), (9001, "", "s")]
+    docs = docs_of(spark, rows)
+    known = spark.createDataFrame([(i, int(i % 75 == 0)) for i in range(3000)], "doc_id long, toxic long")
+    chain = toxicity.train(docs, known, sample=80)
+    got = toxicity.with_probabilities(docs, chain).where("toxic").collect()
+    assert sorted(r.doc_id for r in got) == list(range(0, 3000, 75))
+    assert chain.held_out == {"precision": 1.0, "recall": 1.0}
+
+
+def test_toxicity_cut_needs_precision():
+    cut = lambda *cells: toxicity.best_threshold({c: (n, y) for c, n, y in cells})
+    assert cut((-12_000, 7_999, 1))[0] == 1.0 and cut((5, 0, 9))[0] == 1.0 and cut()[0] == 1.0
+    assert cut((900, 1, 9), (-900, 8_000, 1)) == (pytest.approx(1 / (1 + np.exp(-0.0005))), {"precision": 0.9, "recall": 0.9})
+
+
 def test_mix_reaches_targets(spark):
     rng = random.Random(5)
     rows = [(i, " ".join(["w"] * rng.randrange(1, 60)), rng.choice(["a", "a", "a", "b", "c", None])) for i in range(400)]
