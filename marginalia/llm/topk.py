@@ -9,12 +9,13 @@ can add (product of the remaining norms, Cauchy-Schwarz) reaches the k-th best s
 for that query. Survivors are compacted before the next block. The dimensions are visited
 in the order of the queries' mass, so that bounds get tight early.
 
-Only ``k`` rows per query leave a task; they are merged by one aggregation.
+Only ``k`` rows per query leave a task; they are merged by one ranking.
 
 Defined cases: a vector that is null, or holds a null, NaN or infinite component, takes no
 part, neither as query nor as candidate. Empty vectors score 0. Vectors of different length
-are not compared. Ties go to the smaller id. A query's own row is left out; a repeated id is
-the same row's id and is left out too. Extra columns are ignored. No query or no candidate
+are not compared. Ties go to the smaller id. Rows that have a query's own id are left out. Every other row
+counts: an id that is repeated takes a place for each of its rows, and the rows of a query id that is
+repeated are ranked together. Extra columns are ignored. No query or no candidate
 gives no rows. Scores beyond 64 bits are cut at the ends of that range.
 """
 
@@ -147,8 +148,7 @@ def top_k(
     """(query_id, rank, vec_id, score): the ``k`` highest integer inner products per query.
 
     ``queries`` may grow with the input: its blocks are read one after another, each at most
-    ``QUERY_BLOCK`` rows on the driver. Repeated query ids count once per distinct vector row
-    of that id; of several rows with one id the best score counts.
+    ``QUERY_BLOCK`` rows on the driver. Every pair of a query row and a candidate row counts.
     """
     spark = vectors.sparkSession
     candidates = integer_vectors(vectors, id_col, vector_col, scale)
@@ -170,8 +170,7 @@ def top_k(
     found = block_scan(found)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    each = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
     )

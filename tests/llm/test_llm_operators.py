@@ -404,6 +404,24 @@ def test_topk_matches_brute_force(spark):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_topk_counts_every_repeated_row(spark, tmp_path):
+    import duckdb
+
+    from marginalia.llm.queries import OP10_SQL, op10_exact_topk
+
+    rng = np.random.default_rng(6)
+    data = rng.normal(0, 0.2, (300, 24))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(data)]
+    best = int(np.argsort(-(data @ data[0]))[1])
+    rows += [rows[best]] * 12 + [(best, [x / 2 for x in rows[best][1]])] * 3 + [rows[100], (100, rows[7][1]), rows[0]]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3).write.parquet(str(tmp_path / "embeddings.parquet"))
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+        want = con.execute(OP10_SQL).fetchall()
+    got = [tuple(r) for r in op10_exact_topk(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(want) and len(got) == 30 and [r[2] for r in sorted(got) if r[0] == 0] == [best] * 10
+
+
 @pytest.mark.parametrize("name", [n for n, (_, sql) in QUERIES.items() if sql])
 def test_query_matches_sql(spark, name):
     from checks.compare import compare, open_tables
