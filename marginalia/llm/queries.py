@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from marginalia.llm import chat, decontaminate, jaccard, language_model, licenses, mixing, secrets, token_output, topk, toxicity
+from marginalia.llm import (
+    chat, decontaminate, hard_negatives, jaccard, language_model, licenses, mixing, secrets, spelling, token_counts, token_output, topk, toxicity,
+)
 from marginalia.llm.common import table
 from marginalia.session import materialize, shared_path
 
@@ -118,6 +120,60 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 
+def op11_hard_negatives(spark, sf_dir):
+    """Vectors with an id divisible by 50 as anchors, against all vectors; every seventh id has its label moved on."""
+    label = F.col("label").cast("long")
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(vectors, F.col("id") % 50 == 0)
+
+
+OP11_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT *, row_number() OVER () AS anchor_row FROM v WHERE vec_id % 50 = 0),
+s AS (SELECT anchor_row, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.e, c.e)::BIGINT AS score
+  FROM a JOIN v c ON len(a.e) = len(c.e)),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor_row ORDER BY score DESC, vec_id)::INTEGER AS positive_rank FROM s WHERE same AND vec_id <> anchor_id),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, positive_rank, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_row, positive_rank ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM p JOIN s USING (anchor_row) WHERE positive_rank <= 5 AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, positive_rank, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
+
+def op12_token_counts(spark, sf_dir):
+    """All documents, whole texts."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_spelling_variants(spark, sf_dir):
+    """All words of all documents."""
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+# Words one edit apart share the text without one letter: at the same place, or one is the other without it.
+# The checksum is taken byte by byte with the usual table of the reflected polynomial.
+OP13_SQL = r"""
+WITH RECURSIVE c AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS crc),
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+d AS (SELECT run, count(*) AS n, hex(encode(concat(doc_id, ':', run))) AS bytes FROM r GROUP BY doc_id, run),
+b AS (SELECT run, n, list_transform(range(1, len(bytes) // 2 + 1),
+    lambda i: (instr('0123456789ABCDEF', bytes[2 * i - 1]) - 1) * 16 + instr('0123456789ABCDEF', bytes[2 * i]) - 1) AS bytes FROM d),
+h AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, bytes),
+    lambda x, y: xor(x // 256, crc[xor(x % 256, y) + 1]))) AS h FROM b, c),
+m AS (SELECT CASE WHEN h % 97 = 0 THEN run[:h % len(run)] || run[h % len(run) + 2:] ELSE run END AS word, n FROM h),
+w AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM m WHERE len(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+g AS (SELECT word, n, i, word[:i] || word[i + 2:] AS less FROM (SELECT word, n, unnest(range(len(word))) AS i FROM w)),
+p AS (SELECT a.word, b.word AS other FROM g a JOIN g b ON a.i = b.i AND a.less = b.less AND a.word <> b.word AND len(a.word) = len(b.word)
+  UNION SELECT g.word, w.word FROM g JOIN w ON g.less = w.word UNION SELECT w.word, g.word FROM g JOIN w ON g.less = w.word),
+f AS (SELECT p.word, count(*) AS n_near, max(w.n) AS most, first(p.other ORDER BY w.n DESC, encode(p.other)) AS other FROM p JOIN w ON w.word = p.other GROUP BY p.word),
+o AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN most >= 2 * w.n THEN other END AS form, CASE WHEN most >= 2 * w.n THEN most END AS form_n
+  FROM w LEFT JOIN f USING (word)),
+t AS (SELECT word, word AS at FROM o UNION ALL SELECT t.word, o.form FROM t JOIN o ON o.word = t.at WHERE o.form IS NOT NULL),
+e AS (SELECT t.word, t.at AS root FROM t JOIN o ON o.word = t.at WHERE o.form IS NULL)
+SELECT o.word, n, n_near, form, form_n, root FROM o JOIN e USING (word)"""
+
 QUERIES = {
     "op1_token_output": (op1_token_output, None),
     "op2_chat_format": (op2_chat_format, OP2_SQL),
@@ -129,4 +185,7 @@ QUERIES = {
     "op8_secret_scan": (op8_secret_scan, None),
     "op9_license_scan": (op9_license_scan, None),
     "op10_exact_topk": (op10_exact_topk, OP10_SQL),
+    "op11_hard_negatives": (op11_hard_negatives, OP11_SQL),
+    "op12_token_counts": (op12_token_counts, None),
+    "op13_spelling_variants": (op13_spelling_variants, OP13_SQL),
 }
