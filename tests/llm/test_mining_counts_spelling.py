@@ -160,6 +160,7 @@ def test_spelling_variants_match_brute_force(spark, monkeypatch):
     words = [w.upper() if rng.random() < 0.1 and w.isascii() else w for w in words]
     rows = [(i, rng.choice([" ", "-", "日"]).join(words[i * 20 : i * 20 + 20])) for i in range(len(words) // 20 + 1)]
     rows += [(None, " ".join(words[:300])), (-1, None), (-2, ""), (-3, " ".join(words)), rows[0], rows[0], (9, "x" * 3000)]
+    rows += [(-4, "chainaaa " * 20 + "chainaab " * 8 + "chainabb " * 3)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).withColumns({"word": F.lit(1), "n": F.lit(2)})
     got = spelt(df)
     assert got == spelt_by_hand(rows) and any(r[5] not in (r[0], r[3]) for r in got)
