@@ -36,7 +36,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +52,8 @@ PARTS = 8  # fragments of the verification
 FIRST_HUBS = 16
 COMMON_SAMPLE, COMMON_SHARE = 4_000, 0.005
 BROADCAST_IDS = 1_000_000
+SLICE_BITS = 13
+COUNTER_BITS = 27  # slots of the mark counters
 SKETCH_WORDS = 8  # of 64 bits
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 
@@ -94,7 +95,6 @@ def ngram_set(text: str | None, known: dict, n: int = NGRAM) -> np.ndarray:
     return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
-@lru_cache(None)
 def size_class(n: int, threshold: int = THRESHOLD) -> int:
     """Classes so wide that a set matches sets of its own and the neighbouring classes only."""
     bound, k = 1, 0
@@ -103,7 +103,6 @@ def size_class(n: int, threshold: int = THRESHOLD) -> int:
     return k
 
 
-@lru_cache(None)
 def class_top(k: int, threshold: int = THRESHOLD) -> int:
     bound = 1
     for _ in range(k):
@@ -224,6 +223,65 @@ def _fragments(n: int):
     return run
 
 
+def _counters(bits: int):
+    """Fold marks into counters (none, one, more) by hash; two bit tables per task, in slices of ``1 << SLICE_BITS`` bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, twice = np.zeros(1 << bits >> 3, np.uint8), np.zeros(1 << bits >> 3, np.uint8)
+        for batch in batches:
+            slots, counts = np.unique(_slot(batch.column(0).flatten().to_numpy(zero_copy_only=False), bits), return_counts=True)
+            place, bit = slots >> np.uint64(3), np.uint8(1) << (slots & np.uint64(7)).astype(np.uint8)
+            again = (counts > 1) | ((once[place] & bit) != 0)
+            np.bitwise_or.at(once, place, bit)
+            np.bitwise_or.at(twice, place[again], bit[again])
+        step = 1 << SLICE_BITS
+        for at in range(0, len(once), step):
+            if once[at : at + step].any():
+                yield pa.RecordBatch.from_pydict({"at": pa.array([at // step], pa.int32()), "once": [once[at : at + step].tobytes()], "twice": [twice[at : at + step].tobytes()]})
+
+    return run
+
+
+def _slot(marks: np.ndarray, bits: int) -> np.ndarray:
+    return marks.view(np.uint64) >> np.uint64(64 - bits)
+
+
+def _merge_counters(rows: pa.Table) -> pa.Table:
+    once = twice = None
+    for a, b in zip(rows["once"], rows["twice"]):
+        a, b = np.frombuffer(a.as_py(), np.uint8), np.frombuffer(b.as_py(), np.uint8)
+        once, twice = (a, b) if once is None else (once | a, twice | b | (once & a))
+    return pa.Table.from_pydict({"at": [rows["at"][0].as_py()], "twice": [twice.tobytes()]}, schema=pa.schema([("at", pa.int32()), ("twice", pa.binary())]))
+
+
+def repeated_marks(reps: DataFrame, bits: int = COUNTER_BITS) -> np.ndarray:
+    """A bit per slot, set where two or more marks of ``reps`` fall; its size is fixed, whatever the input.
+
+    A mark of one set alone is of no use, and most are such. Marks that share a slot by chance pass
+    too, so on a table of many marks more pass, up to all of them; none that repeats is ever lost.
+    """
+    parts = reps.select("marks").mapInArrow(_counters(bits), "at int, once binary, twice binary")
+    merged = parts.groupBy("at").applyInArrow(_merge_counters, "at int, twice binary").toArrow()
+    table = np.zeros(1 << bits >> 3, np.uint8)
+    for at, part in zip(merged["at"].to_pylist(), merged["twice"].to_pylist()):
+        table[at << SLICE_BITS : (at << SLICE_BITS) + len(part)] = np.frombuffer(part, np.uint8)
+    return table
+
+
+def _keep_repeated(table, bits: int):
+    """(id, n, marks) with only the marks whose slot holds several."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = batch.column(2)
+            flat = marks.flatten().to_numpy(zero_copy_only=False)
+            slots = _slot(flat, bits)
+            kept = (table.value[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            ends = np.concatenate([[0], np.cumsum(kept)])[np.concatenate([[0], np.cumsum(marks.value_lengths().to_numpy(zero_copy_only=False))])]
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat[kept]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["id", "n", "marks"])
+
+    return run
+
+
 def _linked(overlap: Column, na: Column, nb: Column, threshold: int) -> Column:
     return overlap * 100 >= (na + nb - overlap) * threshold
 
@@ -264,8 +322,12 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
     described = materialize(docs.mapInArrow(_describe(n, threshold, common), fields), "ngram-sets")
     usable = described.where("n > 0 and doc_id is not null")
     classes = materialize(usable.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "set-classes")
-    reps = usable.join(classes.select("same", F.col("rep").alias("doc_id")), ["same", "doc_id"], "left_semi")
-    marks = reps.select(F.col("doc_id").alias("id"), F.col("n"), F.explode("marks").alias("mark"))
+    named = classes.select("same", F.col("rep").alias("doc_id"))
+    # The classes are a few bytes a set, their rows some hundred marks: only beyond the bound are the rows moved.
+    reps = usable.join(F.broadcast(named) if named.count() <= BROADCAST_IDS else named, ["same", "doc_id"], "left_semi")
+    slots = docs.sparkSession.sparkContext.broadcast(repeated_marks(reps))
+    kept = reps.select(F.col("doc_id").alias("id"), "n", "marks").mapInArrow(_keep_repeated(slots, COUNTER_BITS), "id long, n long, marks array<long>")
+    marks = kept.select("id", "n", F.explode("marks").alias("mark"))
     shared = marks.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("mark")
     members = materialize(marks.join(shared, "mark").distinct(), "fragment-members")
     sketches = materialize(
@@ -321,3 +383,19 @@ def _result(described: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataF
     joined = described.select("doc_id", "n", "same").join(known, "same", "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRESHOLD) -> DataFrame:
+    """Of each component the rows with its smallest id; rows equal in id and text stay once, other columns undecided.
+
+    Rows with a null id stay, and so do different texts under one id that stays.
+    """
+    groups = similar_components(docs, n=n, threshold=threshold)
+    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti")
+    repeated = groups.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    single = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    once = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return single.unionAll(once)

@@ -95,7 +95,7 @@ def splitting_tree(quotas: np.ndarray, shards: int, rng: np.random.Generator) ->
 class MixPlan:
     sources: pd.DataFrame  # key, size, target
     draws: pd.DataFrame  # key, cell, draws: list of (epoch, shard, place, cut)
-    cuts: dict[str, tuple[int, int]]  # key -> (hash of the row that is cut, its words)
+    cuts: dict[str, tuple[int, int, int]]  # key -> (hash of the row that is cut, its rows' words in all, its rows)
     seed: int
     shards: int
 
@@ -136,7 +136,7 @@ def plan_mix(
     )
 
 
-def _cuts(rows: DataFrame, edges: dict[str, tuple[int, int]]) -> dict[str, tuple[int, int]]:
+def _cuts(rows: DataFrame, edges: dict[str, tuple[int, int]]) -> dict[str, tuple[int, int, int]]:
     """In the last block of each source: the row hash at which its words are reached."""
     if not edges:
         return {}
@@ -148,11 +148,14 @@ def _cuts(rows: DataFrame, edges: dict[str, tuple[int, int]]) -> dict[str, tuple
     same = inside.groupBy("key", "need", HASH).agg(F.sum(SIZE).alias("words"), F.count("*").alias("n"))
     before = F.sum("words").over(Window.partitionBy("key").orderBy(HASH)) - F.col("words")
     hit = same.withColumn("before", before).where("before < need and before + words >= need")
-    return {r.key: (r[HASH], (r.need - r.before) // r.n) for r in hit.collect()}
+    return {r.key: (r[HASH], r.need - r.before, r.n) for r in hit.collect()}
 
 
-def with_draws(rows: DataFrame, plan: MixPlan) -> DataFrame:
-    """Rows of ``with_sizes`` with ``draws``: array of (epoch, shard, words), empty if not taken.
+def with_draws(rows: DataFrame, plan: MixPlan, into: str = "draws") -> DataFrame:
+    """Rows of ``with_sizes`` with ``into``: array of (epoch, shard, words), empty if not taken.
+
+    Equal rows at a cut share its words: each takes the whole part of the mean, and a seeded draw gives one
+    more to so many that their sum comes near the cut. They are never ranked, whatever their number.
 
     The plan is joined as a broadcast of at most sources x ``CELLS`` rows.
     """
@@ -160,24 +163,26 @@ def with_draws(rows: DataFrame, plan: MixPlan) -> DataFrame:
     schema = "key string, cell int, epoch int, shard int, cut boolean"
     each = spark.createDataFrame(list(plan.draws.itertuples(index=False, name=None)), schema)
     blocks = each.groupBy("key", "cell").agg(F.collect_list(F.struct("epoch", "shard", "cut")).alias("__mix_draws"))
-    edges = spark.createDataFrame([(k, h, w) for k, (h, w) in plan.cuts.items()], "key string, edge long, part long")
+    edges = spark.createDataFrame([(k, h, w // n, (w % n) / n) for k, (h, w, n) in plan.cuts.items()], "key string, edge long, part long, more double")
     known = blocks.join(F.broadcast(edges), "key", "left").select(
         F.col("key").alias("__mix_k"), F.col("cell").alias("__mix_c"), "__mix_draws",
-        F.col("edge").alias("__mix_edge"), F.col("part").alias("__mix_part"),
+        F.col("edge").alias("__mix_edge"), F.col("part").alias("__mix_part"), F.col("more").alias("__mix_more"),
     )
     joined = rows.join(F.broadcast(known), (F.col(KEY) == F.col("__mix_k")) & (_cell() == F.col("__mix_c")), "left")
     size = F.col(SIZE)
+    share = F.col("__mix_part") + (F.rand(plan.seed) < F.col("__mix_more")).cast("long")
+    joined = joined.withColumn("__mix_share", share)
     at_cut = (
         F.when(F.col(HASH) < F.col("__mix_edge"), size)
-        .when(F.col(HASH) == F.col("__mix_edge"), F.least(size, F.col("__mix_part")))
+        .when(F.col(HASH) == F.col("__mix_edge"), F.least(size, F.col("__mix_share")))
         .otherwise(F.lit(0))
     )
     draws = F.transform(
         F.coalesce("__mix_draws", F.array().cast("array<struct<epoch:int,shard:int,cut:boolean>>")),
         lambda d: F.struct(d.epoch.alias("epoch"), d.shard.alias("shard"), F.when(d.cut, at_cut).otherwise(size).alias("words")),
     )
-    return joined.withColumn("draws", F.array_sort(F.filter(draws, lambda d: d.words > 0))).drop(
-        "__mix_k", "__mix_c", "__mix_draws", "__mix_edge", "__mix_part"
+    return joined.withColumn(into, F.array_sort(F.filter(draws, lambda d: d.words > 0))).drop(
+        "__mix_k", "__mix_c", "__mix_draws", "__mix_edge", "__mix_part", "__mix_more", "__mix_share"
     )
 
 
@@ -195,7 +200,7 @@ def mixed(docs: DataFrame, plan: MixPlan) -> DataFrame:
     A row that is cut keeps its first words; ``n_chars``, if there is one, follows the text.
     """
     names = docs.columns
-    rows = with_draws(with_sizes(docs, plan.seed), plan).withColumn("__mix_draw", F.explode("draws"))
+    rows = with_draws(with_sizes(docs, plan.seed), plan, "__mix_taken").withColumn("__mix_draw", F.explode("__mix_taken"))
     pieces = F.regexp_extract_all("text", F.lit(rf"([\x20\x09-\x0D]*{TOKEN})"), F.lit(1))
     first_words = F.array_join(F.slice(pieces, F.lit(1), F.col("__mix_draw.words").cast("int")), "")
     cut = F.col("__mix_draw.words") < F.col(SIZE)

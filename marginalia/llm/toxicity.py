@@ -42,6 +42,7 @@ SAMPLE = 8_000
 FOLDS = 3
 FEATURES = 1_500
 MIN_ROWS = 4
+EMIT_ROWS = 128  # sample rows whose features a task holds at once
 ODDS_LIMIT = 12.0
 MIN_PRECISION = 0.5
 MAX_FALSE = 0.05
@@ -214,8 +215,8 @@ def held_out_cells(docs: DataFrame, known: DataFrame, others: list[Chain]) -> di
     @F.pandas_udf("int")
     def cell(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            found = [features(t) for t in batch]
-            yield pd.Series([int(np.floor(others[text_fold(f)].odds(f)[-1] * CELLS)) for f in found], dtype="int32")
+            # One text's features at a time: those of a whole batch would fill the worker.
+            yield pd.Series([int(np.floor(others[text_fold(f)].odds(f)[-1] * CELLS)) for f in map(features, batch)], dtype="int32")
 
     scored = docs.where("doc_id is not null").select("doc_id", cell("text").alias("cell"))
     # Counted first, so that an id with many rows is no hot key of the join.
@@ -240,10 +241,11 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Chain:
     weak_names = list(CATEGORIES)
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        parts = (batch.iloc[at : at + EMIT_ROWS] for batch in batches for at in range(0, len(batch), EMIT_ROWS))
+        for batch in parts:
             found = [features(t) for t in batch["text"]]
             weak = [[y > 0 and not CATEGORIES[name].isdisjoint(f) for name in weak_names] for y, f in zip(batch["toxic"], found)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"] > 0, "weak": weak, "found": [sorted(f) for f in found],
+            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "toxic": (batch["toxic"] > 0).to_numpy(), "weak": weak, "found": [sorted(f) for f in found],
                                 "fold": [text_fold(f) for f in found]})
 
     data = rows.mapInPandas(extract, "doc_id long, toxic boolean, weak array<boolean>, found array<string>, fold int").toArrow()
