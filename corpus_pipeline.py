@@ -24,20 +24,11 @@ def toxic_documents_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the row with the smallest id stays; a repeated row stays once.
+    """Of each component of near duplicates the row with the smallest id stays; a row repeated in id and text stays once.
 
-    Rows with a null id stay. Empty texts are no duplicates of each other.
+    Rows with a null id stay, and so do different texts under one id. Empty texts are no duplicates of each other.
     """
-    groups = jaccard.similar_components(docs, n=NEAR_WORDS, threshold=NEAR_PERCENT)
-    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    # Rows that repeat an id are told apart by position only.
-    kept = docs.join(gone, "doc_id", "left_anti")
-    repeated = groups.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    single = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    once = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return single.unionAll(once)
+    return jaccard.keep_one(docs, n=NEAR_WORDS, threshold=NEAR_PERCENT)
 
 
 def benchmark_leaks_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
