@@ -1,6 +1,6 @@
 """All registered queries: name -> (query, SQL or None)."""
 
-from checks import curation, drift, evaluation, features, sampling, streams
+from checks import curation, drift, evaluation, features, sampling, sources, streams
 
 QUERIES = {
     **curation.QUERIES,
@@ -8,5 +8,6 @@ QUERIES = {
     **drift.QUERIES,
     **evaluation.QUERIES,
     **features.QUERIES,
+    **sources.QUERIES,
     **streams.QUERIES,
 }

@@ -10,6 +10,7 @@ from marginalia.operators import drift, requests
 from marginalia.streaming import runner
 from marginalia.streaming.scoring import score_requests
 
+
 def start():
     return F.col("window.start").cast("bigint").alias("window_start_s")
 
@@ -35,21 +36,21 @@ def latency_p95(spark, sf_dir):
 
 
 def _event_stream(spark, sf_dir):
-    """The events as a stream of requests with bounded state."""
+    """The events as a stream of requests with bounded state, and what ends it."""
     path = f"{sf_dir.rstrip('/')}/event[s].parquet"
     events = runner.read_stream(spark, path, table(spark, sf_dir, "events").schema)
-    return runner.bounded(events.selectExpr(*[f"{e} AS {c}" for c, e in REQUESTS.items()]))
+    finish = runner.Finish(spark)
+    return runner.bounded(finish.with_end(events.selectExpr(*[f"{e} AS {c}" for c, e in REQUESTS.items()]))), finish
 
 
 def stream_request_rate(spark, sf_dir):
-    """The rate over the stream; windows the watermark has not passed stay open."""
-    rate = requests.request_rate(_event_stream(spark, sf_dir))
-    return runner.drain(rate, "stream-rate").select(start(), "status", "n_requests")
+    events, finish = _event_stream(spark, sf_dir)
+    return runner.drain(requests.request_rate(events), "stream-rate", finish).select(start(), "status", "n_requests")
 
 
 def stream_confidence_histogram(spark, sf_dir):
-    rows = requests.confidence_histogram(_event_stream(spark, sf_dir))
-    return runner.drain(rows, "stream-histogram").select(start(), "le", "n")
+    events, finish = _event_stream(spark, sf_dir)
+    return runner.drain(requests.confidence_histogram(events), "stream-histogram", finish).select(start(), "le", "n")
 
 
 def stream_psi(spark, sf_dir):
@@ -57,8 +58,9 @@ def stream_psi(spark, sf_dir):
     reference = requests_v(spark, sf_dir).where("ts < TIMESTAMP '2024-01-16'")
     binning = drift.reference_binning(reference)
     known = drift.reference_counts(reference, binning)
-    daily = drift.windowed_psi(_event_stream(spark, sf_dir), binning, known, F.window("ts", "1 day"))
-    return runner.drain(daily, "stream-psi").select(
+    events, finish = _event_stream(spark, sf_dir)
+    daily = drift.windowed_psi(events, binning, known, F.window("ts", "1 day"))
+    return runner.drain(daily, "stream-psi", finish).select(
         start(), "n_rows", F.round("psi", 9).alias("psi"), "alert"
     )
 
@@ -99,8 +101,6 @@ QUANTILE = "CASE " + " ".join(
 ) + f" ELSE {BOUNDS[-1]}::DOUBLE END"
 RATE = with_views("requests_v") + "," + WINDOWS + """,
 r AS (SELECT window_start_s, status, count(*) AS n_requests FROM x GROUP BY 1, 2)"""
-# What the watermark has passed once every event is read.
-CLOSED_MS = "(SELECT epoch_ms(max(ts)) - 600000 FROM requests_v)"
 HISTOGRAM = with_views("requests_v") + "," + HOURS + ", b AS (" + _buckets(
     "h", "window_start_s", "confidence_score", requests.CONFIDENCE_BUCKETS
 ) + ")"
@@ -128,11 +128,11 @@ SELECT window_start_s, n AS n_requests, round({QUANTILE}, 9) AS latency FROM c""
     ),
     "stream_request_rate": (
         stream_request_rate,
-        RATE + f" SELECT * FROM r WHERE (window_start_s + 300) * 1000 <= {CLOSED_MS}",
+        RATE + " SELECT * FROM r",
     ),
     "stream_confidence_histogram": (
         stream_confidence_histogram,
-        HISTOGRAM + f" SELECT * FROM b WHERE (window_start_s + 3600) * 1000 <= {CLOSED_MS}",
+        HISTOGRAM + " SELECT * FROM b",
     ),
     "stream_psi": (stream_psi, None),
     "stream_score": (
@@ -148,7 +148,7 @@ def _stream_psi_sql() -> str:
     return (
         "SELECT day_start_s AS window_start_s, n_rows, psi, alert FROM ("
         + drift_queries["psi_by_day"][1]
-        + ") WHERE (day_start_s + 86400) * 1000 <= (SELECT epoch_ms(max(ts)) - 600000 FROM events)"
+        + ")"
     )
 
 

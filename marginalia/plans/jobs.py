@@ -32,14 +32,13 @@ class PrepareParams:
     output: str
     seed: int = split.DEFAULT_SEED
     ratios: tuple[float, float, float] = split.DEFAULT_RATIOS
-    splittable: bool = False
 
 
 def prepare_splits(spark: SparkSession, params: PrepareParams) -> dict:
     """Raw file to published, leakage-free splits; returns the dataset summary."""
     split.check_ratios(params.ratios)
     files.require_distinct_paths(spark, params.raw, params.bronze, params.output)
-    raw = reviews.land_reviews(spark, params.raw, params.bronze, splittable=params.splittable)
+    raw = reviews.land_reviews(spark, params.raw, params.bronze)
     labelled = prepare.prepare_reviews(raw)
     rows = split.grouped_split(labelled, seed=params.seed, ratios=params.ratios)
 

@@ -22,6 +22,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return file_system(spark, path).makeQualified(hadoop_path(spark, path)).toString().rstrip("/")
 
 
+def as_uri(path: str) -> str:
+    """A local path with its scheme spelt in full, as readers outside the JVM want it."""
+    return path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
+
+
 def require_distinct_paths(spark: SparkSession, *paths: str) -> None:
     full = [qualified(spark, p) for p in paths]
     if len(set(full)) != len(full):

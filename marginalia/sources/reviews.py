@@ -5,71 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marginalia.functions.text import strip
 from marginalia.operators.groups import BROADCAST_ROWS
 from marginalia.schemas import ID_COLUMNS, NA_TOKENS, RAW_COLUMNS, ROW_NUMBER, require_columns
 from marginalia.session import materialize
+from marginalia.sources import quoted
 from marginalia.sources.files import data_files, require_utf16_mark
 
-QUOTING = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-NEVER = "\x00\x00"  # a null marker no file contains
 
+def _values(names: list[str], value) -> list[Column]:
+    return [value(F.col("__fields")[i], name) for i, name in enumerate(names)]
 
-def _header(spark: SparkSession, file: str, options: dict) -> list[str]:
-    row = spark.read.options(**options, header="false", multiLine="true").csv(file).first()
-    if row is None:
-        raise ValueError(f"{file} is empty")
-    return [(value or "").removeprefix("﻿") for value in row]
 
-
-def _all_text(names: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
-
-
-def read_raw_reviews(spark: SparkSession, path: str, *, splittable: bool = False) -> DataFrame:
+def read_raw_reviews(spark: SparkSession, path: str) -> DataFrame:
     """Numbered raw reviews of UTF-16LE tab-separated files with a byte order mark.
 
-    A quoted field may hold line breaks, so by default a file is one task and a large
-    input should be many files. ``splittable`` promises that no field has a CRLF in it;
-    then each file is cut into blocks at CRLF and read by many tasks. Every file must
-    carry the header of the first one.
+    Files are cut into blocks and read by many tasks, also where a quoted field holds line
+    breaks (``sources/quoted.py``). Every file must carry the header of the first one, and every
+    record its number of fields.
     """
     files = data_files(spark, path)
     require_utf16_mark(spark, files)
-    options = {"sep": "\t", "encoding": "UTF-16", **QUOTING}
-    names = _header(spark, files[0], options)
+    rows, names = quoted.read_table(spark, files, sep="\t", encoding="UTF-16LE")
     require_columns(names, RAW_COLUMNS)
-    if splittable:
-        options |= {"encoding": "UTF-16LE", "lineSep": "\r\n"}
-    else:
-        options |= {"multiLine": "true"}
-    schema = _all_text(names)
-    scan = spark.read.options(**options, header="true", enforceSchema="false").schema(schema).csv(files)
-    values = [
-        F.when(~F.col(f"`{field}`").isin(*NA_TOKENS), F.col(f"`{field}`")).alias(RAW_COLUMNS.get(name, name))
-        for field, name in zip(schema.names, names)
-    ]
-    return number_rows(scan, values)
-
-
-def number_rows(scan: DataFrame, values: list[Column]) -> DataFrame:
-    """Add the 1-based row number in (file, position) order to a file scan.
-
-    Rows are written once with their place inside their block; block sizes then give each
-    block its first number. Only block sizes are summed up, rows are neither sorted nor
-    moved to one task, and the numbers do not depend on how blocks met tasks.
+    known = lambda field, name: F.when(~field.isin(*NA_TOKENS), field).alias(RAW_COLUMNS.get(name, name))
+    return _numbered(materialize(rows.select("__file", "__block", "__pos", *_values(names, known)), "numbered"))
+
+
+def _numbered(placed: DataFrame) -> DataFrame:
+    """Add the 1-based row number in (file, block, position) order to written rows.
+
+    Block sizes give each block its first number. Only block sizes are summed up, rows are
+    neither sorted nor moved to one task, and the numbers do not depend on how blocks met tasks.
     """
-    placed = materialize(
-        scan.select(
-            F.col("_metadata.file_path").alias("__file"),
-            F.col("_metadata.file_block_start").alias("__block"),
-            F.monotonically_increasing_id().alias("__pos"),
-            *values,
-        ),
-        "numbered",
-    )
     blocks = placed.groupBy("__file", "__block").agg(
         F.count(F.lit(1)).alias("n"), F.min("__pos").alias("first")
     )
@@ -91,24 +60,18 @@ def number_rows(scan: DataFrame, values: list[Column]) -> DataFrame:
     )
 
 
-def land_reviews(spark: SparkSession, source: str, bronze: str, *, splittable: bool = False) -> DataFrame:
+def land_reviews(spark: SparkSession, source: str, bronze: str) -> DataFrame:
     """Read raw files once and keep them as Parquet, the form every later step reads."""
-    read_raw_reviews(spark, source, splittable=splittable).write.mode("errorifexists").parquet(bronze)
+    read_raw_reviews(spark, source).write.mode("errorifexists").parquet(bronze)
     return spark.read.parquet(bronze)
 
 
 def read_scoring_reviews(spark: SparkSession, path: str) -> DataFrame:
     """Numbered rows of UTF-8 CSV files (a byte order mark is fine) with a ``review`` column."""
-    files = data_files(spark, path)
-    options = {"encoding": "UTF-8", "nullValue": NEVER, "emptyValue": "", **QUOTING}
-    names = _header(spark, files[0], options)
+    rows, names = quoted.read_table(spark, data_files(spark, path), sep=",")
     require_columns(names, ["review"])
-    scan = (
-        spark.read.options(**options, header="true", multiLine="true", enforceSchema="false")
-        .schema(_all_text(names))
-        .csv(files)
-    )
-    return number_rows(scan, [F.col(f"`{name}`") for name in names])
+    plain = lambda field, name: field.alias(name)
+    return _numbered(materialize(rows.select("__file", "__block", "__pos", *_values(names, plain)), "numbered"))
 
 
 def assign_row_ids(rows: DataFrame, stem: str, *, first_line: int = 2) -> DataFrame:
@@ -128,12 +91,12 @@ def read_labelled(spark: SparkSession, path: str, *, fmt: str = "parquet") -> Da
     """``review, sentiment`` of a stored split; refuses an empty table and nulls."""
     from marginalia.operators.gates import label_gate, require_pass
 
-    reader = spark.read
     if fmt == "csv":
-        names = _header(spark, data_files(spark, path)[0], {"encoding": "UTF-8", **QUOTING})
+        rows, names = quoted.read_table(spark, data_files(spark, path), sep=",")
         require_columns(names, ["review", "sentiment"])
-        reader = reader.options(header="true", multiLine="true", **QUOTING).schema(_all_text(names))
-    rows = reader.format(fmt).load(path)
+        rows = rows.select(*_values(names, lambda field, name: field.alias(name)))
+    else:
+        rows = spark.read.format(fmt).load(path)
     require_columns(rows.columns, ["review", "sentiment"])
     rows = rows.select("review", "sentiment")
     require_pass(label_gate(rows))
@@ -142,12 +105,7 @@ def read_labelled(spark: SparkSession, path: str, *, fmt: str = "parquet") -> Da
 
 def read_confidences(spark: SparkSession, path: str) -> DataFrame:
     """``source_row_id, confidence_score`` (still text) of a CSV; other columns are not read."""
-    options = {"encoding": "UTF-8", "nullValue": NEVER, "emptyValue": "", **QUOTING}
-    names = _header(spark, data_files(spark, path)[0], options)
+    rows, names = quoted.read_table(spark, data_files(spark, path), sep=",")
     require_columns(names, ["source_row_id", "confidence_score"])
-    return (
-        spark.read.options(**options, header="true", multiLine="true")
-        .schema(_all_text(names))
-        .csv(path)
-        .select(strip(F.col("source_row_id")).alias("source_row_id"), "confidence_score")
-    )
+    own = {name: F.col("__fields")[i] for i, name in enumerate(names)}
+    return rows.select(strip(own["source_row_id"]).alias("source_row_id"), own["confidence_score"].alias("confidence_score"))

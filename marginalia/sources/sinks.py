@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.schemas import ROW_NUMBER
 from marginalia.sources import files
 
+MARK = "\ufeff"
+
 
 def publish(
     df: DataFrame,
@@ -90,18 +93,30 @@ def export_utf16(rows: DataFrame, path: str, names: dict[str, str], *, single_fi
     ordered = rows.orderBy(ROW_NUMBER)
     if single_file:
         ordered = rows.coalesce(1).sortWithinPartitions(ROW_NUMBER)
-    columns = list(names)
-    # The mark is written as the first character of the header.
-    header = ["﻿" + columns[0], *columns[1:]]
-    text = ordered.select(*[F.col(names[c]).alias(h) for c, h in zip(columns, header)])
-    return publish(
-        text, path, fmt="csv",
-        options={
-            "sep": "\t", "header": "true", "encoding": "UTF-16LE", "lineSep": "\r\n",
-            "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "",
-            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
-        },
-    )
+    counted = Observation(f"export-{uuid.uuid4().hex}")
+    ordered = ordered.observe(counted, F.count(F.lit(1)).alias("rows"))
+    header = MARK + "\t".join(_quoted_name(name) for name in names)
+    lines = ordered.select(F.concat_ws("\t", *[_quoted(F.col(c).cast("string")) for c in names.values()]).alias("value"))
+
+    def with_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": [header]})
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
+
+    # Bytes pass through the text writer as they are, line breaks within fields too.
+    text = lines.mapInArrow(with_header, "value string").select(F.encode("value", "UTF-16LE").cast("string").alias("value"))
+    publish(text, path, fmt="text", options={"lineSep": "\r\0\n\0"})
+    return counted.get["rows"]
+
+
+def _quoted(field: Column) -> Column:
+    """A field as it stands in a line; null is empty, quotes come only where they are needed."""
+    inside = F.concat(F.lit('"'), F.replace(field, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(field.rlike(r'[\t\r\n"]'), inside).otherwise(F.coalesce(field, F.lit("")))
+
+
+def _quoted_name(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"' if any(c in name for c in '\t\r\n"') else name
 
 
 def write_audit(audit: DataFrame, path: str) -> int:

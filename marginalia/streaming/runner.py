@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marginalia.session import shared_path
 
 WATERMARK = "10 minutes"
+FAR = "9000-01-01 00:00:00"
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, *, files_per_trigger: int | None = None) -> DataFrame:
@@ -47,9 +48,34 @@ def start_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkp
     return writer.start()
 
 
-def drain(df: DataFrame, purpose: str) -> DataFrame:
+class Finish:
+    """A second source whose one row, far in the future, lets the watermark pass all windows.
+
+    ``with_end`` adds the source to a stream before its watermark. It stays empty until the input has been
+    read; then ``drain`` writes the row and resumes the same query, so no event is late for it
+    and windows that were still open are closed. The row's own windows never close.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, shared_path(spark, "stream-finish")
+        self.schema: T.StructType | None = None
+
+    def with_end(self, events: DataFrame) -> DataFrame:
+        self.schema = T.StructType([T.StructField(f.name, f.dataType) for f in events.schema])
+        self.spark.createDataFrame([], self.schema).write.parquet(self.folder)
+        return events.unionByName(self.spark.readStream.schema(self.schema).parquet(self.folder))
+
+    def close(self) -> None:
+        row = {"ts": F.lit(FAR).cast(self.schema["ts"].dataType)}
+        columns = [row.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in self.schema]
+        self.spark.range(1).select(*columns).write.mode("append").parquet(self.folder)
+
+
+def drain(df: DataFrame, purpose: str, finish: Finish | None = None) -> DataFrame:
     """Run a stream over everything available now and return its result table.
 
+    Without ``finish`` windows that the watermark has not passed stay in the state for the next run.
+
     State partitions are fixed when a stream starts and are not coalesced, so a one-off run
     asks for no more of them than there are cores.
     """
@@ -59,8 +85,10 @@ def drain(df: DataFrame, purpose: str) -> DataFrame:
     partitions = spark.conf.get(setting)
     spark.conf.set(setting, str(min(int(partitions), spark.sparkContext.defaultParallelism)))
     try:
-        query = start(df, f"{folder}/table", f"{folder}/state")
-        query.awaitTermination()
+        start(df, f"{folder}/table", f"{folder}/state").awaitTermination()
+        if finish is not None:
+            finish.close()
+            start(df, f"{folder}/table", f"{folder}/state").awaitTermination()
     finally:
         spark.conf.set(setting, partitions)
     return spark.read.schema(df.schema).parquet(f"{folder}/table")

@@ -158,19 +158,22 @@ def scores(spark, values, start=0):
     return spark.createDataFrame([(str(start + i), float(v)) for i, v in enumerate(values)], "source_row_id string, confidence_score double")
 
 
-@pytest.mark.parametrize("kind", ["uniform", "ties", "wide", "one", "two", "constant", "negative"])
+@pytest.mark.parametrize("kind", ["uniform", "ties", "wide", "tiny", "dense", "one", "two", "constant", "negative"])
 def test_quantiles_equal_a_sorted_array(spark, kind):
     random.seed(3)
     values = {
         "uniform": [random.random() for _ in range(5000)],
         "ties": [random.choice([0.1, 0.2, 0.2, 0.9]) for _ in range(3000)],
         "wide": [random.choice([-1, 1]) * 10 ** random.uniform(-300, 300) for _ in range(2000)],
+        "tiny": [random.choice([-1, 0, 1]) * 5e-324 * random.randrange(1, 1 << 40) for _ in range(2000)],
+        "dense": [1 + 2**-52 * random.randrange(1 << 20) for _ in range(2000)] + [1e308, -1e308],
         "one": [0.3], "two": [0.1, 0.7], "constant": [0.5] * 100,
         "negative": [random.gauss(0, 1) for _ in range(999)],
     }[kind]
     fractions = [i / 10 for i in range(11)] + [0.05, 0.999]
     found, n = quantiles.quantiles(scores(spark, values).repartition(5), "confidence_score", fractions)
     assert n == len(values)
+    assert quantiles.search(scores(spark, values), "confidence_score", fractions=fractions)[2] <= quantiles.MAX_PASSES
     assert np.allclose(found, np.quantile(np.array(values), fractions), rtol=1e-12, atol=0)
 
 

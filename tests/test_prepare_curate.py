@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from marginalia.functions import ratings, text
 from marginalia.functions.sizes import percent, used_size_bytes
 from marginalia.operators import curate, prepare, profile
-from marginalia.operators.groups import attach_group_facts
+from marginalia.operators.groups import attach_group_facts, mark_possible
 from marginalia.schemas import ROW_NUMBER
 from tests_data import THREE11, V2
 
@@ -177,3 +177,25 @@ def test_curation_with_a_hot_text(raw_reviews):
     )
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, forced.collect()))
     assert dict(map(tuple, plain.collect()))["duplicate_normalized_label"] >= 1999
+
+
+def test_rows_without_a_fact_cross_no_exchange(spark, tmp_path):
+    """With the broadcast of facts ruled out, the exchange carries the few rows that may have one."""
+    rows = spark.range(20_000).select(F.col("id").alias(ROW_NUMBER), F.sha2(F.col("id").cast("string"), 256).alias("key"), F.lit("text").alias("review"))
+    facts = rows.where(f"{ROW_NUMBER} % 400 = 7").select("key", F.lit(2).alias("n"), F.col(ROW_NUMBER).alias("first"))
+    facts = facts.unionAll(spark.createDataFrame([(None, 1, 0)], "key string, n int, first long"))
+    facts.write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = attach_group_facts(rows, facts, "key", "n", broadcast_rows=0)
+        joined.write.parquet(str(tmp_path / "joined"))
+        possible = mark_possible(rows, facts, "key").where("__possible")
+        assert 50 <= possible.count() <= 60
+        left, right = joined._jdf.queryExecution().optimizedPlan().toString().split("\n", 1)[0], joined
+        assert left.startswith("Union") and right.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    stored = spark.read.parquet(str(tmp_path / "joined"))
+    assert stored.where("n is not null").count() == 50
+    assert stored.where(f"n is not null and first <> {ROW_NUMBER}").count() == 0

@@ -1,9 +1,11 @@
 """Files in, files out."""
 
+import random
+
 import pytest
 
 from marginalia.schemas import RAW_COLUMNS, ROW_NUMBER
-from marginalia.sources import files, manifest, reviews, sinks
+from marginalia.sources import files, manifest, quoted, reviews, sinks
 
 HEADER = list(RAW_COLUMNS)
 
@@ -32,23 +34,79 @@ def test_reads_marked_utf16_with_missing_tokens_and_quoted_breaks(spark, tmp_pat
     ]
 
 
-def test_splittable_scan_of_many_blocks_gives_the_same_numbers(spark, tmp_path):
+@pytest.fixture
+def small_blocks(spark):
+    def cut(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+    yield cut
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_quoted_line_breaks_over_many_blocks(spark, tmp_path, small_blocks):
+    """Files cut anywhere, also inside quotes, read as in one block."""
+    rng = random.Random(5)
+    want = []
     for part in range(3):
-        write_utf16(
-            tmp_path / f"part-{part}.txt",
-            [row(part * 1000 + i, str(i % 5 + 1), f"نص {part} {i} " + "x" * (i % 50)) for i in range(1000)],
-        )
-    whole = table(reviews.read_raw_reviews(spark, str(tmp_path)))
-    assert [r[0] for r in whole] == list(range(1, 3001))
-    assert [int(r[1]) for r in whole] == [p * 1000 + i for p in range(3) for i in range(1000)]
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    try:
-        cut = reviews.read_raw_reviews(spark, str(tmp_path), splittable=True)
-        assert table(cut) == whole
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+        rows = []
+        for i in range(400):
+            text = "".join(rng.choice(["نص", "x", '""', "\r\n", "\n", "\t", " 5 "]) for _ in range(rng.randrange(1, 60)))
+            rows.append(row(part * 400 + i, str(i % 5 + 1), f'"a{text}"'))
+            want.append((str(part * 400 + i), "a" + text.replace('""', '"')))
+        rows[200] = row(part * 400 + 200, "1", '"' + "long\r\n" * 9000 + '"')
+        want[part * 400 + 200] = (str(part * 400 + 200), "long\r\n" * 9000)
+        write_utf16(tmp_path / f"part-{part}.txt", rows)
+    found = []
+    for size in (1 << 27, 20_000, 3_001):
+        small_blocks(size)
+        found.append(table(reviews.read_raw_reviews(spark, str(tmp_path))))
+    assert found[0] == found[1] == found[2]
+    assert [r[0] for r in found[0]] == list(range(1, 1201))
+    assert [(r[1], r[3]) for r in found[0]] == want
+
+
+def test_records_follow_the_quoting_rules(spark, tmp_path, small_blocks):
+    text = 'a,b\n1,5" wide\n2,"x ""y"" z"tail\n\n3,\n4,""\n5,"one\ntwo\r\n\r\nthree"\r\n6,last'
+    (tmp_path / "t.csv").write_bytes(("\ufeff" + text).encode())
+    want = [["a", "b"], ["1", '5" wide'], ["2", 'x "y" ztail'], ["3", None], ["4", ""], ["5", "one\ntwo\r\n\r\nthree"], ["6", "last"]]
+    for size in (1 << 20, 7, 1):
+        small_blocks(size)
+        records = quoted.read_records(spark, [str(tmp_path / "t.csv")], sep=",")
+        assert [r.fields for r in records.orderBy("block", "place").collect()] == want
+
+
+def test_wrong_field_counts_and_headers_are_refused(spark, tmp_path):
+    bad = tmp_path / "bad.csv"
+    bad.write_text("review,no\na,1\nb,2,3\nc\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="2 records have not 2 fields"):
+        reviews.read_scoring_reviews(spark, str(bad))
+    counts = quoted.field_counts(quoted.read_records(spark, [str(bad)], sep=",")).collect()
+    assert {r.n_fields: r.n for r in counts} == {2: 2, 3: 1, 1: 1}
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "a.csv").write_text("review,no\na,1\n", encoding="utf-8")
+    (tmp_path / "other" / "b.csv").write_text("no,review\n1,a\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="another header"):
+        reviews.read_scoring_reviews(spark, str(tmp_path / "other"))
+    (tmp_path / "none.csv").write_text("", encoding="utf-8")
+    with pytest.raises(ValueError, match="empty"):
+        reviews.read_scoring_reviews(spark, str(tmp_path / "none.csv"))
+
+
+def test_a_sparse_file_over_two_gigabytes_is_hashed_as_a_stream(spark, tmp_path):
+    import hashlib
+
+    large, size = tmp_path / "large.bin", (1 << 31) + 12_345
+    with large.open("wb") as out:
+        out.truncate(size)
+    (tmp_path / "small.bin").write_bytes(b"abc")
+    want, left, zeros = hashlib.sha256(), size, bytes(1 << 24)
+    while left:
+        want.update(zeros[: min(left, len(zeros))])
+        left -= min(left, len(zeros))
+    got = {r.file: (r.bytes, r.sha256) for r in manifest.file_manifest(spark, str(tmp_path)).collect()}
+    assert got == {"large.bin": (size, want.hexdigest()), "small.bin": (3, hashlib.sha256(b"abc").hexdigest())}
 
 
 def test_refuses_a_file_without_mark_or_columns(spark, tmp_path):
