@@ -134,7 +134,7 @@ def fit_link(
         bias = float(np.log(share / (1 - share)))
         return Link({}, [0.0] * before.shape[1], bias), np.full(data.n, bias)
     chosen = select_features(data, inside, y, FEATURES)
-    place = np.full(len(data.names), -1)
+    place = np.full(len(data.names), -1, np.int32)
     place[chosen] = np.arange(len(chosen))
     used = place[data.col] >= 0
     all_row, all_col = data.row[used], place[data.col[used]]
@@ -248,14 +248,19 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Chain:
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "toxic": (batch["toxic"] > 0).to_numpy(), "weak": weak, "found": [sorted(f) for f in found],
                                 "fold": [text_fold(f) for f in found]})
 
-    data = rows.mapInPandas(extract, "doc_id long, toxic boolean, weak array<boolean>, found array<string>, fold int").toArrow()
-    data = data.sort_by("doc_id").combine_chunks()
+    data = rows.mapInPandas(extract, "doc_id long, toxic boolean, weak array<boolean>, found array<string>, fold int")
+    # Sorted by Spark: the driver would hold the features twice.
+    data = data.orderBy("doc_id").toArrow()
     toxic = data["toxic"].to_numpy().astype(bool)
     flags = np.array(data["weak"].to_pylist(), bool).reshape(-1, len(weak_names))
     weak = {name: flags[:, i] for i, name in enumerate(weak_names)}
     found = data["found"].combine_chunks() if data.num_rows else pa.array([], pa.list_(pa.string()))
     counts = np.where(toxic, n_toxic / max(1, take[1]), n_clean / max(1, take[0]))
-    chain, others = fit_chain(Table.of(found), {**weak, FINAL: toxic}, data["fold"].to_numpy(), counts)
+    folds, pairs = data["fold"].to_numpy(), Table.of(found)
+    # The texts of the features go before the fit takes its own memory.
+    del data, found
+    pa.default_memory_pool().release_unused()
+    chain, others = fit_chain(pairs, {**weak, FINAL: toxic}, folds, counts)
     # One class alone is not told apart from anything.
     chain.threshold, chain.held_out = best_threshold(held_out_cells(docs, known, others) if n_clean and n_toxic else {})
     return chain
