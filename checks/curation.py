@@ -12,6 +12,7 @@ from marginalia.functions import ratings, text
 from marginalia.functions.labels import encode_label
 from marginalia.operators import curate, prepare, profile
 from marginalia.schemas import RAW_COLUMNS, ROW_NUMBER
+from marginalia.session import shared_path
 
 COLUMNS = list(RAW_COLUMNS.values())
 RAW_SELECT = ", ".join([ROW_NUMBER, *COLUMNS])
@@ -162,6 +163,27 @@ def version_diff(spark, sf_dir):
     return diff(raw, curate.curate_conflicting(raw)).select("change", ROW_NUMBER, "no")
 
 
+def version_changes(spark, sf_dir):
+    """Repeated rows that change their number between two selections of lineitem."""
+    from marginalia.operators.versions import version_changes as changes
+
+    items = table(spark, sf_dir, "lineitem")
+    kind = ("l_returnflag", "l_linestatus", "l_linenumber")
+    return changes(items.where("l_orderkey % 10 <> 3").select(*kind), items.where("l_orderkey % 7 <> 3").select(*kind))
+
+
+def stored_version_changes(spark, sf_dir):
+    """Two stored versions of the orders, one with a few rows changed."""
+    from marginalia.operators.versions import store_buckets, stored_changes
+
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    status = F.when(F.col("o_orderkey") % 500 == 1, "X").otherwise(F.col("o_orderstatus"))
+    paths = [shared_path(spark, "version") for _ in range(2)]
+    store_buckets(orders, paths[0])
+    store_buckets(orders.withColumn("o_orderstatus", status), paths[1])
+    return stored_changes(spark, *paths)
+
+
 QUERIES = {
     "clean_text": (
         clean_text,
@@ -384,4 +406,15 @@ e AS (SELECT 'exact_duplicates' AS kind, count(*) AS n FROM t WHERE review IS NO
         + """ SELECT 'removed' AS change, source_row_number, no FROM t WHERE normalized IN (
             SELECT normalized FROM t WHERE usable GROUP BY 1 HAVING count(DISTINCT sentiment) > 1)""",
     ),
+    "version_changes": (
+        version_changes,
+        """SELECT CASE WHEN d < 0 THEN 'added' ELSE 'removed' END AS change, l_returnflag, l_linestatus, l_linenumber, abs(d) AS copies FROM (
+            SELECT l_returnflag, l_linestatus, l_linenumber,
+              count(*) FILTER (l_orderkey % 10 <> 3) - count(*) FILTER (l_orderkey % 7 <> 3) AS d FROM lineitem GROUP BY 1, 2, 3) WHERE d <> 0""",
+    ),
+    "stored_version_changes": (
+        stored_version_changes,
+        """SELECT change, o_orderkey, CASE change WHEN 'added' THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_orderpriority, CAST(1 AS BIGINT) AS copies
+          FROM orders, (VALUES ('added'), ('removed')) AS c(change) WHERE o_orderkey % 500 = 1 AND o_orderstatus <> 'X'""",
+    ),
 }

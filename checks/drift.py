@@ -72,6 +72,24 @@ def psi_by_day(spark, sf_dir):
     )
 
 
+def psi_constant(spark, sf_dir):
+    """A reference of one value, of the greatest one too: everything else lies on the other side of its edge."""
+    scores = scores_v(spark, sf_dir)
+    found = [
+        drift.psi(scores.withColumn("confidence_score", F.lit(value)), scores).select(
+            F.lit(value).alias("reference_value"), "reference_rows", "current_rows", F.round("psi", NINE).alias("psi"), "alert")
+        for value in (0.25, 1.0)
+    ]
+    return found[0].unionAll(found[1])
+
+
+def psi_two_values(spark, sf_dir):
+    """A reference of two values is halved between them."""
+    scores = scores_v(spark, sf_dir)
+    two = scores.withColumn("confidence_score", F.when(F.col("source_row_id") % 3 == 0, 0.1).otherwise(0.2))
+    return drift.psi(two, scores).withColumn("psi", F.round("psi", NINE))
+
+
 def drift_report(spark, sf_dir):
     reference, current = cohorts(spark, sf_dir)
     return drift.drift_report(reference, shifted(current)).withColumn("psi", F.round("psi", NINE))
@@ -138,6 +156,13 @@ PLAIN = PSI.format(score="confidence_score")
 SQUARED = PSI.format(score="confidence_score * confidence_score")
 PSI_ROW = " SELECT reference_rows, current_rows, round(psi, 9) AS psi, psi > 0.25 AS alert FROM psi"
 
+# Stability of two bins of n rows each, of which the upper ones hold reference_high and high rows.
+SHARE = "(({0} + 1e-6::DOUBLE) / (n + 2e-6::DOUBLE))"
+TWO_BINS = " + ".join(
+    f"({SHARE.format(c)} - {SHARE.format(r)}) * ln({SHARE.format(c)} / {SHARE.format(r)})"
+    for r, c in (("reference_high", "high"), ("(n - reference_high)", "(n - high)"))
+)
+
 QUERIES = {
     "score_validity": (
         score_validity,
@@ -179,9 +204,24 @@ SELECT CAST(epoch(day) AS BIGINT) AS day_start_s, n_rows,
         drift_report,
         SQUARED
         + """ SELECT 'confidence_score' AS metric, 'reference-quantile bins with epsilon smoothing' AS method,
-            round(psi, 9) AS psi, 0.25::DOUBLE AS threshold, psi > 0.25 AS alert, reference_rows, current_rows
+            round(psi, 9) AS psi, 0.25::DOUBLE AS threshold, 'psi > 0.25' AS alert_rule, psi > 0.25 AS alert, reference_rows, current_rows
           FROM psi""",
     ),
+    "psi_constant": (
+        psi_constant,
+        with_views("scores_v") + f""", c AS (
+            SELECT 0.25::DOUBLE AS reference_value, count(*) AS n, 0 AS reference_high, count(*) FILTER (confidence_score > 0.25) AS high FROM scores_v
+            UNION ALL SELECT 1.0::DOUBLE, count(*), count(*), count(*) FILTER (confidence_score >= 1) FROM scores_v),
+          x AS (SELECT *, {TWO_BINS} AS psi FROM c)
+          SELECT reference_value, n AS reference_rows, n AS current_rows, round(psi, 9) AS psi, psi > 0.25 AS alert FROM x""",
+    ),
+    "psi_two_values": (
+        psi_two_values,
+        with_views("scores_v") + f""", c AS (SELECT count(*) AS n, count(*) FILTER (source_row_id % 3 <> 0) AS reference_high,
+            count(*) FILTER (confidence_score >= (0.1::DOUBLE + 0.2::DOUBLE) / 2) AS high FROM scores_v),
+          x AS (SELECT *, {TWO_BINS} AS psi FROM c)
+          SELECT n AS reference_rows, n AS current_rows, round(psi, 9) AS psi, psi > 0.25 AS alert FROM x""",
+    ),
     "cohort_overlap": (
         cohort_overlap,
         "SELECT count(*) AS shared_ids FROM (SELECT event_id FROM events INTERSECT SELECT o_orderkey * 3 FROM orders)",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.curation import prepared
 from checks.sql import PREPARED, REVIEW_ROWS, clean, strip
 from checks.views import outcomes_v, reviews_v, scores_v, table, with_views
-from marginalia.functions.labels import encode_label
+from marginalia.functions.labels import encode_label, registry_reference, trained_model_version
 from marginalia.functions.sizes import size_bytes
 from marginalia.operators import gates, history, loadtest, metrics, sample, versions
 from marginalia.schemas import RAW_COLUMNS, ROW_NUMBER
@@ -19,6 +19,18 @@ def rounded(df, *columns):
     return df.withColumns({c: F.round(c, 9) for c in columns})
 
 
+def model_versions(spark, sf_dir):
+    """Version texts and what a model URI names, one of four forms of URI per event."""
+    uri = F.expr(URI)
+    return table(spark, sf_dir, "events").select(
+        "event_id", trained_model_version(F.col("event_type"), F.col("user_id")).alias("model_version"),
+        registry_reference(uri)["alias"].alias("alias"), registry_reference(uri)["version"].alias("version"))
+
+
+URI = """CASE event_id % 4 WHEN 0 THEN concat('models:/', event_type, '/', user_id) WHEN 1 THEN concat('models:/', event_type, '@', user_id)
+  WHEN 2 THEN concat('runs:/', user_id, '/', event_type) END"""
+
+
 # --- metrics -------------------------------------------------------------------------
 
 
@@ -567,3 +579,8 @@ def _sample_digest_sql() -> str:
 
 
 QUERIES["sample_digest"] = (sample_digest, _sample_digest_sql())
+QUERIES["model_versions"] = (
+    model_versions,
+    """SELECT event_id, event_type || '-finetuned-seed-' || user_id AS model_version, CASE WHEN event_id % 4 = 1 THEN CAST(user_id AS VARCHAR) END AS alias,
+      CASE event_id % 4 WHEN 0 THEN CAST(user_id AS VARCHAR) WHEN 2 THEN 'runs:/' || user_id || '/' || event_type END AS version FROM events""",
+)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.views import reviews_v, table, with_views
 from marginalia.schemas import RAW_COLUMNS, ROW_NUMBER
 from marginalia.session import shared_path
-from marginalia.sources import files, manifest, quoted, reviews, sinks
+from marginalia.sources import commits, files, manifest, quoted, reviews, sinks
 
 # Texts with separators, quotes and both line ends, so that many records lie over several lines.
 AWKWARD = "concat(review, CASE source_row_number % 5 WHEN 0 THEN concat(chr(13), chr(10), '\"', chr(9)) WHEN 1 THEN concat(chr(10), ', \"\"') ELSE '' END)"
@@ -65,6 +65,18 @@ def record_widths(spark, sf_dir):
     return quoted.field_counts(records).groupBy("n_fields").agg(F.sum("n").alias("n"))
 
 
+def published_versions(spark, sf_dir):
+    """A table published three times, each version made from the one before; all of them stay readable."""
+    path = shared_path(spark, "published")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    commits.publish(events.where("event_type <> 'error'"), path)
+    commits.publish(commits.read(spark, path).where("event_id % 3 <> 0"), path)
+    commits.publish(commits.read(spark, path).unionByName(events.where("event_type = 'error'")), path)
+    parts = [commits.read(spark, path, n).withColumn("version", F.lit(n)) for n in commits.versions(spark, path)]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.groupBy("version", "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
 DOCUMENTS = with_views("reviews_v") + f", a AS (SELECT *, {AWKWARD} AS awkward FROM reviews_v)"
 
 QUERIES = {
@@ -83,5 +95,10 @@ QUERIES = {
         """SELECT part, sum(octet_length(encode(line)))::BIGINT AS bytes, sha256(string_agg(line, '' ORDER BY doc_id)) AS sha256
           FROM (SELECT coalesce(source, 'none') AS part, doc_id, concat_ws(',', doc_id, lang, n_chars) || chr(10) AS line FROM documents) GROUP BY part""",
     ),
+    "published_versions": (
+        published_versions,
+        """SELECT version, event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events, (VALUES (1), (2), (3)) AS v(version)
+          WHERE CASE WHEN event_type = 'error' THEN version = 3 ELSE version = 1 OR event_id % 3 <> 0 END GROUP BY 1, 2""",
+    ),
     "record_widths": (record_widths, DOCUMENTS + " SELECT (2 + source_row_number % 3)::INTEGER AS n_fields, count(*) AS n FROM a GROUP BY 1"),
 }

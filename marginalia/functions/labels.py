@@ -38,3 +38,21 @@ def label_set(mask: Column) -> Column:
 
 def is_conflicting(mask: Column) -> Column:
     return F.bit_count(mask) > 1
+
+
+def trained_model_version(checkpoint: Column, seed: Column) -> Column:
+    """Version text of a model trained from a checkpoint with a seed; null when either is."""
+    return F.concat(checkpoint, F.lit("-finetuned-seed-"), seed.cast("string"))
+
+
+def registry_reference(uri: Column) -> Column:
+    """What a model URI names: ``alias`` after an at sign, else ``version`` after the last slash.
+
+    Only URIs of a registry (``models:/``) are taken apart; any other is its own version.
+    """
+    in_registry = uri.startswith("models:/")
+    by_alias = in_registry & uri.contains("@")
+    return F.struct(
+        F.when(by_alias, F.substring_index(uri, "@", -1)).alias("alias"),
+        F.when(by_alias, F.lit(None)).when(in_registry, F.substring_index(uri, "/", -1)).otherwise(uri).alias("version"),
+    )

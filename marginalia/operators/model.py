@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel, Transformer
@@ -37,12 +38,13 @@ class ModelParams:
     seed: int = 42
 
     def check(self) -> None:
+        """Refuse an unknown kind of model and every number under its least value, all named at once."""
+        least = {"ngram_min": 1, "ngram_max": self.ngram_min, "max_features": 1, "max_iter": 1, "c": math.nextafter(0.0, 1.0)}
+        wrong = [f"{name}={getattr(self, name)}" for name, bound in least.items() if not getattr(self, name) >= bound]
         if self.model_type != MODEL_TYPE:
-            raise ValueError(f"unsupported model type: {self.model_type}")
-        if self.ngram_min < 1 or self.ngram_max < self.ngram_min:
-            raise ValueError("n-gram bounds must satisfy 1 <= ngram_min <= ngram_max")
-        if self.max_features < 1 or self.c <= 0 or self.max_iter < 1:
-            raise ValueError("max_features, C and max_iter must be positive")
+            wrong.append(f"model_type={self.model_type}")
+        if wrong:
+            raise ValueError(f"no model can be fitted with {', '.join(wrong)}")
 
 
 def _term_statement(low: int, high: int) -> str:

@@ -26,7 +26,7 @@ DEFAULT_RATIOS = (0.8, 0.1, 0.1)
 
 def check_ratios(ratios: Sequence[float]) -> None:
     if len(ratios) != len(SPLITS) or min(ratios) <= 0 or not math.isclose(sum(ratios), 1.0):
-        raise ValueError("split ratios must be three positive values that sum to 1")
+        raise ValueError(f"ratios {tuple(ratios)}: three are needed, all positive, and they sum to 1")
 
 
 def allocate(
@@ -123,11 +123,11 @@ def _signatures(groups: DataFrame) -> list[tuple[int, int, int]]:
         F.sum(F.col("n") - F.col("n_negative") - F.col("n_positive")).alias("unlabelled"),
     ).first()
     if not bad["rows"]:
-        raise ValueError("cannot split an empty dataset")
+        raise ValueError("an empty table has no splits")
     if bad["blank"]:
-        raise ValueError("reviews must be nonempty before splitting")
+        raise ValueError(f"{bad['blank']} texts are null or empty; only nonempty ones can be grouped")
     if bad["unlabelled"]:
-        raise ValueError("sentiment must contain only 'negative' and 'positive'")
+        raise ValueError(f"{bad['unlabelled']} rows are labelled neither {TWO_CLASS[0]} nor {TWO_CLASS[1]}")
     counted = groups.groupBy("n_negative", "n_positive").count()
     return [tuple(row) for row in counted.toLocalIterator()]
 

@@ -22,7 +22,7 @@ from marginalia.operators.sample import stratified_subset
 from marginalia.operators.versions import version_record
 from marginalia.schemas import RAW_COLUMNS, ROW_NUMBER
 from marginalia.session import materialize
-from marginalia.sources import files, reviews, sinks
+from marginalia.sources import commits, files, manifest, reviews, sinks
 
 
 @dataclass(frozen=True)
@@ -154,13 +154,17 @@ def score_table(
     *,
     batch_size: int = scoring.DEFAULT_BATCH,
     minimum: int = gates.MINIMUM_REVIEWS,
+    versioned: bool = False,
 ) -> int:
     """Score numbered rows with ids, or leave no output at all.
 
-    The input gate runs before any predictor is loaded.
+    The input gate runs before any predictor is loaded. ``versioned`` makes the result the next version of a
+    table with a log (``sources.commits``), which readers see without a gap; otherwise the folder is replaced.
     """
     gate = gates.require_pass(gates.input_gate(rows, minimum=minimum))
     scored = scoring.score_batches(rows, factory, batch_size=batch_size)
+    if versioned:
+        return commits.publish(scored, output, expected_rows=gate["n_rows"]).rows
     return sinks.publish(scored, output, expected_rows=gate["n_rows"])
 
 
@@ -172,7 +176,8 @@ def compare_confidences(spark: SparkSession, reference: str, current: str, repor
         rows = reviews.read_confidences(spark, path)
         gates.require_pass(gates.confidence_gate(rows))
         sides[name] = rows.withColumn("confidence_score", F.col("confidence_score").cast("double"))
-    found = materialize(drift.drift_report(sides["reference"], sides["current"]), "drift-report")
+    inputs = {"reference": manifest.described_input(spark, reference), "current": manifest.described_input(spark, current)}
+    found = materialize(drift.drift_report(sides["reference"], sides["current"], inputs=inputs), "drift-report")
     sinks.write_report(found, report)
     return found
 

@@ -66,6 +66,16 @@ def stream_digests(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.format("file_digests").option("paths", "\n".join(paths)).load()
 
 
+def described_input(spark: SparkSession, path: str) -> tuple[str, str]:
+    """Name and SHA-256 of a file; of several files the last part of the path and the digest of their digests by name."""
+    listed = file_manifest(spark, path).orderBy("file", "sha256")
+    digests = listed.agg(F.collect_list("sha256").alias("all"), F.min("file").alias("file")).first()
+    if len(digests["all"]) == 1:
+        return digests["file"], digests["all"][0]
+    joined = spark.range(1).select(F.sha2(F.lit(",".join(digests["all"])), 256)).first()[0]
+    return path.rstrip("/").rpartition("/")[2], joined
+
+
 def file_manifest(spark: SparkSession, path: str, *, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
     """Name, bytes and SHA-256 of every file.
 

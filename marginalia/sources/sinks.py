@@ -28,10 +28,12 @@ def publish(
     """Write next to ``path``, check, then rename; readers see all of it or none of it.
 
     Rows are counted while they are written. On any failure the staging folder is removed
-    and an existing result stays in place. Returns the number of rows.
+    and an existing result stays in place. Returns the number of rows. While an existing result is
+    replaced there is a moment without one; ``commits.publish`` has no such gap.
     """
     spark = df.sparkSession
-    parent, _, name = path.rstrip("/").rpartition("/")
+    path = files.qualified(spark, path)
+    parent, _, name = path.rpartition("/")
     token = uuid.uuid4().hex
     staging = f"{parent}/_staging-{name}-{token}"
     observed = Observation(f"publish-{token}")

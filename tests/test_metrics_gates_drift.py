@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from marginalia.functions import labels
 from marginalia.functions.scores import score_problem
 from marginalia.operators import drift, gates, history, loadtest, metrics, quantiles, versions
 from marginalia.plans.jobs import gate_candidate
@@ -216,6 +217,27 @@ def test_psi_refuses(spark):
 def test_alert_is_strict(spark):
     rows = spark.createDataFrame([(0.25,), (0.250001,)], "psi double").select(drift.alert(F.col("psi"))).collect()
     assert [r[0] for r in rows] == [False, True]
+    for bad in (-0.1, math.nan, math.inf, None):
+        with pytest.raises(Exception, match="no stability index"):
+            spark.createDataFrame([(bad,)], "psi double").select(drift.alert(F.col("psi"))).collect()
+    for bad in (-1.0, math.nan, math.inf):
+        with pytest.raises(ValueError, match="threshold"):
+            drift.alert(F.col("psi"), bad)
+
+
+def test_only_edge():
+    assert drift.only_edge(0.25, 0.75) == 0.5
+    assert 0.3 < drift.only_edge(0.3, 0.3) < 0.3 + 1e-15
+    assert 1 - 1e-15 < drift.only_edge(1.0, 1.0) < 1.0
+
+
+def test_model_versions(spark):
+    uris = ["models:/m/7", "models:/m@champion", "models:/m@a@b", "runs:/x/model", "s3://b/models:/m/7", None]
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate(uris)], "i int, uri string").orderBy("i")
+    found = [tuple(r[0]) for r in rows.select(labels.registry_reference(F.col("uri"))).collect()]
+    assert found == [(None, "7"), ("champion", None), ("b", None), (None, "runs:/x/model"), (None, "s3://b/models:/m/7"), (None, None)]
+    text = rows.limit(1).select(labels.trained_model_version(F.lit("base"), F.lit(42)), labels.trained_model_version(F.lit(None), F.lit(1)))
+    assert tuple(text.first()) == ("base-finetuned-seed-42", None)
 
 
 def test_drift_report(spark):
@@ -236,6 +258,9 @@ def test_latest_report(spark):
                 ("confidence_score", 0.37, 0.3, True), ("confidence_score", 0.37, 0.25, False), ("confidence_score", None, 0.25, True)):
         assert latest(*bad) == []
     assert latest() == []
+    tied = spark.createDataFrame([(1, *good), (1, "confidence_score", 0.5, 0.25, True), (None, "confidence_score", 0.9, 0.25, True)],
+                                 "created_at int, metric string, psi double, threshold double, alert boolean")
+    assert [r["psi"] for r in drift.latest_psi(tied).collect()] == [0.5]
 
 
 def test_cohorts(spark):
@@ -309,6 +334,9 @@ def test_versions(spark, tmp_path):
     assert content(rows) != content(rows.fillna(""))
     diff = versions.version_diff(rows, rows.limit(0).union(rows.where("i = 2").limit(1)))
     assert sorted((r["change"], r["i"]) for r in diff.collect()) == [("removed", 1), ("removed", 2)]
+    counted = {(r["change"], r["i"], r["t"]): r["copies"] for r in versions.version_changes(rows, rows.limit(1)).collect()}
+    assert counted == {("removed", 2, None): 2}
+    assert versions.version_changes(rows, same).isEmpty() and versions.version_changes(rows.limit(0), rows.limit(0)).isEmpty()
     path = str(tmp_path / "v1")
     rows.write.parquet(path)
     table = versions.version_record(spark.read.parquet(path), "reviews", "1", path, "abc")
@@ -321,6 +349,29 @@ def test_versions(spark, tmp_path):
         versions.roll_back(table.withColumn("content_hash", F.lit(content(rows))), "reviews", "1")
 
 
+def test_hot_row_stays_one_row(spark):
+    before = spark.range(30_000).select(F.when(F.col("id") < 25_000, 0).otherwise(F.col("id")).alias("a"), F.lit(None).cast("string").alias("t"))
+    after = before.where("a > 0").select("t", "a")
+    assert [tuple(r) for r in versions.version_changes(before, after, broadcast_rows=0).collect()] == [("removed", 0, None, 25_000)]
+    assert versions.version_diff(after, before, broadcast_rows=0).groupBy("change").count().collect()[0]["count"] == 25_000
+
+
+def test_stored_versions_read_only_differing_buckets(spark, tmp_path):
+    rows = spark.range(5_000).select(F.col("id"), F.col("id").cast("string").alias("t")).unionAll(
+        spark.range(3_000).select(F.lit(-1).cast("bigint"), F.lit("copy")))
+    changed = rows.withColumn("t", F.when(F.col("id") == 77, None).otherwise(F.col("t"))).where("id <> 88")
+    for name, df in (("a", rows), ("b", changed), ("c", changed.unionAll(changed.where("id = -1").limit(1)))):
+        versions.store_buckets(df, str(tmp_path / name))
+    def found(a, b):
+        return sorted((r["change"], r["id"], r["t"] or "", r["copies"]) for r in versions.stored_changes(spark, str(tmp_path / a), str(tmp_path / b)).collect())
+    assert found("a", "b") == [("added", 77, "", 1), ("removed", 77, "77", 1), ("removed", 88, "88", 1)]
+    assert found("b", "c") == [("added", -1, "copy", 1)]
+    assert found("a", "a") == []
+    plan = versions.stored_changes(spark, str(tmp_path / "b"), str(tmp_path / "c"))._jdf.queryExecution().executedPlan().toString()
+    # One folder of 256: the filter on it belongs to the scan's partitions.
+    assert plan.count("PartitionFilters: [isnotnull(__bucket") == 2 and " IN " not in plan.split("PartitionFilters")[1].split("]")[0]
+
+
 def test_load_test_rollup(spark):
     requests = spark.createDataFrame(
         [("f", 1, 1, 495, 0, 8.37, 110.0, 190.0, 220.0), ("f", 1, 2, 498, 0, 8.41, 110.0, 180.0, 210.0), ("f", 1, 3, 506, 0, 8.56, 110.0, 170.0, 210.0)],

@@ -10,13 +10,12 @@ from marginalia.operators.groups import attach_group_facts, mark_possible
 from marginalia.schemas import ROW_NUMBER
 from tests_data import THREE11, V2
 
-RAW8 = [
-    (1, "1", "  سيء   جدا "), (2, "2", "سيء جدا"), (3, "4", "جيد!"), (4, "5", "ممتاز"),
-    (5, "3", "محايد"), (6, "invalid", "غير معروف"), (7, None, "نص بلا تقييم"), (8, "5", "   \t  "),
-]
-CONFLICT5 = [
-    (1, "1", "  نص   متعارض "), (2, "4", "نص متعارض"), (3, "1", "نص مكرر ثابت"),
-    (4, "2", " نص   مكرر ثابت "), (5, "5", "إقامة رائعة"),
+# Pool: one text with three labelled rows in different spellings; the others differ in what they lack.
+STAYS = [
+    (1, "5", "great pool"), (2, "4.0", "Great pool"), (3, " 2 ", "pool closed"), (4, "3", "it was fine"),
+    (5, "3", "it was fine"), (6, "7", "seven stars"), (7, "x", "letters"), (8, None, "no stars"), (9, "", "nor here"),
+    (10, "1", "\t"), (11, "5", None), (12, "2", "pool  closed"), (13, "4", "pool closed "), (14, "1", "loud"),
+    (15, "2", "loud\n"),
 ]
 
 
@@ -27,7 +26,7 @@ def one(spark, column, *values):
 
 
 def test_clean_text(spark):
-    assert one(spark, text.clean_text, "  مَرْحَبًا!!!\n   بالعالم  ", None, "  ") == ["مَرْحَبًا!!! بالعالم", "", ""]
+    assert one(spark, text.clean_text, " caf\u0065\u0301,\r\n\tno. 9 ", None, "\n") == ["caf\u0065\u0301, no. 9", "", ""]
     odd = "a b\x0bc\x1cd\x85e f　g"
     assert one(spark, text.clean_text, odd) == ["a b c d e f g"]
     every = "".join(c for c in map(chr, range(0x110000)) if c.isspace())
@@ -69,36 +68,30 @@ def test_sizes(spark):
 
 
 def test_prepare_and_statistics(raw_reviews):
-    raw = raw_reviews(RAW8)
+    raw = raw_reviews(STAYS)
     kept = prepare.prepare_reviews(raw).orderBy(ROW_NUMBER).collect()
-    assert [(r["rating"], r["sentiment"]) for r in kept] == [
-        (1, "negative"), (2, "negative"), (4, "positive"), (5, "positive"),
+    assert [(r[ROW_NUMBER], r["review"], r["sentiment"][:3]) for r in kept] == [
+        (1, "great pool", "pos"), (2, "Great pool", "pos"), (3, "pool closed", "neg"), (12, "pool closed", "neg"),
+        (13, "pool closed", "pos"), (14, "loud", "neg"), (15, "loud", "neg"),
     ]
-    assert kept[0]["review"] == "سيء جدا"
-    assert prepare.preparation_stats(raw).first().asDict() == {
-        "missing_ratings": 1, "invalid_ratings": 1, "neutral_rating_rows": 1, "missing_reviews": 0,
-        "empty_reviews": 1, "whitespace_only_reviews": 1, "duplicate_review_rows": 1,
-        "duplicate_review_groups": 1, "conflicting_sentiment_duplicate_groups": 0,
-        "conflicting_sentiment_duplicate_rows": 0, "excluded_rows": 4,
+    stats = prepare.preparation_stats(raw).first().asDict()
+    expected = {
+        "missing_ratings": 2, "invalid_ratings": 2, "neutral_rating_rows": 2, "missing_reviews": 1, "whitespace_only_reviews": 1,
+        "duplicate_review_groups": 2, "duplicate_review_rows": 3, "conflicting_sentiment_duplicate_groups": 1,
+        "conflicting_sentiment_duplicate_rows": 3, "excluded_rows": 8,
     }
+    assert {name: stats[name] for name in expected} == expected
 
 
 def test_two_class_curation(raw_reviews):
-    raw = raw_reviews(CONFLICT5)
-    kept = curate.curate_conflicting(raw).orderBy(ROW_NUMBER).collect()
-    assert [(r["no"], r["rating"]) for r in kept] == [("3", "1"), ("4", "2"), ("5", "5")]
-    assert kept[1]["review"] == " نص   مكرر ثابت "
+    """A text with both labels goes with all its rows, rows without a label among them."""
+    raw = raw_reviews([*STAYS, (16, None, "pool closed"), (17, "3", " pool closed")])
+    kept = curate.curate_conflicting(raw)
+    assert sorted(int(r["no"]) for r in kept.collect()) == [1, 2, 4, 5, 6, 7, 8, 9, 10, 11, 14, 15]
     counts = {r["metric"]: r["value"] for r in curate.curation_summary(raw).collect()}
-    assert counts == {
-        "source_rows": 5, "conflict_groups": 1, "excluded_rows": 2, "excluded_negative": 1,
-        "excluded_positive": 1, "output_rows": 3, "output_negative": 2, "output_positive": 1,
-        "remaining_conflicting_groups": 0,
-    }
-
-
-def test_conflict_drops_unusable_rows_with_the_same_text(raw_reviews):
-    raw = raw_reviews([*CONFLICT5, (6, "3", "نص متعارض"), (7, None, " نص متعارض"), (8, "3", "other")])
-    assert {r["no"] for r in curate.curate_conflicting(raw).collect()} == {"3", "4", "5", "8"}
+    assert counts["source_rows"] == 17 and counts["output_rows"] == 12 and counts["conflict_groups"] == 1
+    assert counts["source_rows"] - counts["excluded_rows"] == counts["output_rows"]
+    assert counts["remaining_conflicting_groups"] == 0
 
 
 @pytest.mark.parametrize("order,partitions", [(None, None), (list(range(10, -1, -1)), 1), ([5, 0, 9, 3, 7, 1, 10, 2, 8, 4, 6], 7)])
@@ -120,7 +113,7 @@ def test_three_class_curation(raw_reviews, order, partitions):
     assert report["curation", "excluded_rows_total"] == 7 and report["curation", "output_rows"] == 4
     assert report["groups", "remaining_candidate_conflict_groups"] == 0
     curate.check_curated(curate.curated_rows(verdicts, raw.columns), reference)
-    with pytest.raises(RuntimeError, match="conflicting normalized labels"):
+    with pytest.raises(RuntimeError, match="more than one label"):
         curate.check_curated(curate.tag_three_class(raw).where("eligible"), reference)
 
 

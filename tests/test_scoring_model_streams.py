@@ -1,5 +1,6 @@
 """Scoring, the classifier, streams and whole jobs."""
 
+import hashlib
 import json
 import math
 from datetime import datetime, timedelta
@@ -44,11 +45,11 @@ def test_scores_every_row_in_batches(spark, tmp_path):
 
 
 @pytest.mark.parametrize("answer,message", [
-    (lambda t: [], "0 results"), (lambda t: [{"label": "neutral", "confidence": 0.5}] * len(t), "invalid predicted label"),
-    (lambda t: [{"label": "positive", "confidence": 1.5}] * len(t), "invalid confidence"),
-    (lambda t: [{"label": "positive", "confidence": True}] * len(t), "invalid confidence"),
-    (lambda t: [{"label": "positive", "confidence": math.nan}] * len(t), "invalid confidence"),
-    (lambda t: 1 / 0, "inference failed"),
+    (lambda t: [], "0 predictions"), (lambda t: [{"label": "neutral", "confidence": 0.5}] * len(t), "unknown label"),
+    (lambda t: [{"label": "positive", "confidence": 1.5}] * len(t), "unusable score"),
+    (lambda t: [{"label": "positive", "confidence": True}] * len(t), "unusable score"),
+    (lambda t: [{"label": "positive", "confidence": math.nan}] * len(t), "unusable score"),
+    (lambda t: 1 / 0, "predictor failed"),
 ])
 def test_a_failing_predictor_leaves_nothing(spark, tmp_path, answer, message):
     with pytest.raises(Exception, match=message):
@@ -105,9 +106,12 @@ def test_subset_evaluation(spark):
 # --- features and model ---
 
 
-def separable(spark, split=None):
-    data = [(f"{w} تجربة مشتركة {i}", s) for w, s in (("سيء", "negative"), ("ممتاز", "positive")) for i in range(12)]
-    return spark.createDataFrame(data, "review string, sentiment string")
+def separable(spark):
+    """Numbers under 60: multiples of three are praised, others blamed, and each text holds words of its own."""
+    rows = spark.range(60).select(
+        F.concat_ws(" ", F.when(F.col("id") % 3 == 0, "lovely").otherwise("awful"), F.lit("stay"), F.hex("id"), F.format_string("room%03d", "id")).alias("review"),
+        F.when(F.col("id") % 3 == 0, "positive").otherwise("negative").alias("sentiment"))
+    return rows
 
 
 def test_tfidf_by_hand(spark):
@@ -125,9 +129,9 @@ def test_train_save_load_predict(spark, tmp_path):
     fitted = model.train_classifier(separable(spark), model.ModelParams(max_features=50, max_iter=20))
     fitted.write().save(str(tmp_path / "model"))
     loaded = PipelineModel.load(str(tmp_path / "model"))
-    probe = spark.createDataFrame([("سيء تجربة",), ("ممتاز تجربة",)], "review string")
+    probe = spark.createDataFrame([("an awful room",), ("lovely, lovely",)], "review string")
+    assert [r["label"] for r in model.predict(loaded, probe).orderBy("review").collect()] == ["negative", "positive"]
     found = {r["review"]: r for r in model.predict(loaded, probe).collect()}
-    assert found["سيء تجربة"]["label"] == "negative" and found["ممتاز تجربة"]["label"] == "positive"
     assert all(0.5 <= r["confidence"] <= 1 for r in found.values())
 
 
@@ -147,11 +151,9 @@ def test_training_refuses_empty_and_null_rows(spark):
 
 
 def test_from_raw_file_to_gate(spark, tmp_path):
-    words = {"negative": "سيء", "positive": "ممتاز"}
-    lines = ["\t".join(RAW_COLUMNS)]
-    for i in range(80):
-        kind = "negative" if i % 2 else "positive"
-        lines.append("\t".join([str(i), "Hotel", "1" if i % 2 else "5", "Guest", "Room", "1", f"{words[kind]} تجربة {i % 76}"]))
+    praise = [i % 2 == 0 for i in range(80)]
+    records = [(i, "Inn", 5 if good else 1, "Family", "Suite", 3, f"{'lovely' if good else 'awful'} visit {i % 76}") for i, good in enumerate(praise)]
+    lines = ["\t".join(map(str, fields)) for fields in [tuple(RAW_COLUMNS), *records]]
     raw = tmp_path / "raw.txt"
     raw.write_bytes(b"\xff\xfe" + ("\r\n".join(lines) + "\r\n").encode("utf-16-le"))
     params = jobs.PrepareParams(str(raw), str(tmp_path / "bronze"), str(tmp_path / "splits"))
@@ -191,6 +193,11 @@ def test_confidence_files(spark, tmp_path):
         (tmp_path / name).write_text("\n".join(lines))
     found = jobs.compare_confidences(spark, str(tmp_path / "a.csv"), str(tmp_path / "b.csv"), str(tmp_path / "report"))
     assert found.first()["alert"]
+    report = found.first().asDict()
+    for side, name in (("reference", "a.csv"), ("current", "b.csv")):
+        assert report[f"{side}_file"] == name
+        assert report[f"{side}_sha256"] == hashlib.sha256((tmp_path / name).read_bytes()).hexdigest()
+    assert report["alert_rule"] == "psi > 0.25"
     (part,) = [p for p in (tmp_path / "report").iterdir() if p.suffix == ".json"]
     assert "secret" not in part.read_text() and json.loads(part.read_text())["reference_rows"] == 20
     with pytest.raises(ValueError, match="share 1"):

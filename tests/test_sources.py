@@ -1,11 +1,13 @@
 """Files in, files out."""
 
 import random
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
 from marginalia.schemas import RAW_COLUMNS, ROW_NUMBER
-from marginalia.sources import files, manifest, quoted, reviews, sinks
+from marginalia.sources import commits, files, manifest, quoted, reviews, sinks
 
 HEADER = list(RAW_COLUMNS)
 
@@ -238,3 +240,61 @@ def test_load_test_folder(spark, tmp_path):
     (tmp_path / "web-u1-r3_stats.csv").write_text(head + "POST,/predict,1,0,1,1,1,1\n")
     with pytest.raises(RuntimeError, match="run 3 is missing"):
         loadtests.read_requests(spark, str(tmp_path))
+
+
+def test_a_reader_always_finds_a_whole_version(spark, tmp_path):
+    path = str(tmp_path / "table")
+    with pytest.raises(FileNotFoundError):
+        commits.read(spark, path)
+    commits.publish(spark.range(100), path)
+    stop, seen, failed = threading.Event(), set(), []
+
+    def watch():
+        while not stop.is_set():
+            try:
+                seen.add(commits.read(spark, path).count())
+            except Exception as error:  # the point of the test
+                failed.append(error)
+
+    reader = threading.Thread(target=watch)
+    reader.start()
+    for n in range(2, 7):
+        commits.publish(spark.range(100 * n), path)
+    stop.set()
+    reader.join()
+    assert not failed and seen <= {100 * n for n in range(1, 7)}
+    assert commits.versions(spark, path) == [1, 2, 3, 4, 5, 6] and commits.read(spark, path, 2).count() == 200
+    assert commits.retire(spark, path, keep=2) == [1, 2, 3, 4]
+    assert commits.read(spark, path).count() == 600 and commits.versions(spark, path) == [5, 6]
+    with pytest.raises(FileNotFoundError):
+        commits.read(spark, path, 1)
+
+
+def test_of_two_writers_one_wins(spark, tmp_path):
+    path = str(tmp_path / "table with space")
+    commits.publish(spark.range(1), path)
+    with ThreadPoolExecutor(4) as pool:
+        tries = [pool.submit(commits.publish, spark.range(n), path, base=1) for n in (10, 20, 30, 40)]
+    errors = [t.exception() for t in tries]
+    assert errors.count(None) == 1 and all(isinstance(e, commits.CommitConflict) for e in errors if e)
+    assert commits.versions(spark, path) == [1, 2]
+    won = next(t.result() for t in tries if t.exception() is None)
+    assert commits.read(spark, path).count() == won.rows
+    # The rows of those that lost are gone.
+    assert len([p for p in (tmp_path / "table with space").iterdir() if p.name.startswith("data-")]) == 2
+
+
+def test_a_failed_commit_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "table")
+
+    def refuse(written):
+        raise RuntimeError("refused")
+
+    for options in ({"expected_rows": 4}, {"check": refuse}):
+        with pytest.raises(RuntimeError):
+            commits.publish(spark.range(3), path, **options)
+    assert commits.versions(spark, path) == [] and list((tmp_path / "table").iterdir()) == []
+    # A version may be made from the one before.
+    commits.publish(spark.range(3), path)
+    commits.publish(commits.read(spark, path).unionAll(spark.range(2)), path)
+    assert commits.read(spark, path).count() == 5 and commits.entry(spark, path).rows == 5
