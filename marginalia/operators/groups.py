@@ -86,12 +86,12 @@ def _meet(
     # partition, not on the order rows arrive in.
     spread = F.concat_ws("-", F.lit("~"), F.spark_partition_id(), F.xxhash64(*rows.columns))
     tagged = tagged.withColumn(
-        "__key", F.when(F.col(f"__hot_{weight}").isNull(), F.col(key)).otherwise(spread)
+        "__meeting_key", F.when(F.col(f"__hot_{weight}").isNull(), F.col(key)).otherwise(spread)
     )
     cold = facts.where(F.col(weight) <= threshold).select(
-        F.col(key).alias("__key"), *[F.col(c).alias(f"__cold_{c}") for c in fact_columns]
+        F.col(key).alias("__meeting_key"), *[F.col(c).alias(f"__cold_{c}") for c in fact_columns]
     )
-    joined = tagged.join(cold, "__key", "left")
+    joined = tagged.join(cold, "__meeting_key", "left")
     return joined.select(
         *rows.columns,
         *[F.coalesce(f"__hot_{c}", f"__cold_{c}").alias(c) for c in fact_columns],
