@@ -80,9 +80,11 @@ def idf_weights(
         _sized(vocabulary.select("term")), "term", "left_semi"
     )
     frequency = seen.groupBy("term").agg(F.count(F.lit(1)).alias("document_count"))
-    return frequency.withColumn(
-        "idf", F.ln((1 + F.lit(n_docs)) / (1 + F.col("document_count"))) + 1.0
-    )
+    return frequency.withColumn("idf", _smoothed_idf(n_docs))
+
+
+def _smoothed_idf(n_docs: int) -> Column:
+    return F.ln((1 + F.lit(n_docs)) / (1 + F.col("document_count"))) + 1.0
 
 
 def tfidf_weights(
@@ -93,13 +95,23 @@ def tfidf_weights(
     text: str = "text",
     ngram_range=DEFAULT_NGRAMS,
 ) -> DataFrame:
-    """L2-normalised TF-IDF weights ``(doc_id, term, weight)`` over the top ``k`` terms."""
-    vocabulary = materialize(vocabulary_topk(docs, k, text=text, ngram_range=ngram_range), "vocabulary")
-    idf = materialize(idf_weights(docs, vocabulary, text=text, ngram_range=ngram_range), "idf")
-    counts = term_counts(docs, vocabulary, doc_id=doc_id, text=text, ngram_range=ngram_range)
-    weighted = counts.join(_sized(idf.select("term", "idf")), "term").select(
+    """L2-normalised TF-IDF weights ``(doc_id, term, weight)`` over the top ``k`` terms.
+
+    Texts are taken apart once. Their stored term counts give vocabulary, document counts and weights:
+    one aggregate by term, and one exchange by document of vocabulary terms alone.
+    """
+    counts = term_counts(docs, doc_id=doc_id, text=text, ngram_range=ngram_range)
+    counts = materialize(counts, "document-terms")
+    n_docs = docs.count()
+    vocabulary = (
+        counts.groupBy("term")
+        .agg(F.sum("n").alias("term_count"), F.count(F.lit(1)).alias("document_count"))
+        .orderBy(F.desc("term_count"), "term")
+        .limit(k)
+        .select("term", _smoothed_idf(n_docs).alias("idf"))
+    )
+    weighted = counts.join(_sized(materialize(vocabulary, "vocabulary")), "term").select(
         doc_id, "term", (F.col("n") * F.col("idf")).alias("w")
     )
-    # One document per window; its rows are in one partition already.
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(doc_id)))
     return weighted.select(doc_id, "term", (F.col("w") / norm).alias("weight"))
