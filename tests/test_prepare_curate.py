@@ -10,6 +10,7 @@ from marginalia.operators.groups import attach_group_facts, mark_possible
 from marginalia.schemas import ROW_NUMBER
 from tests_data import THREE11, V2
 
+# Duplicates count over all texts, so "it was fine" is one of them, conflicts over usable rows.
 # Pool: one text with three labelled rows in different spellings; the others differ in what they lack.
 STAYS = [
     (1, "5", "great pool"), (2, "4.0", "Great pool"), (3, " 2 ", "pool closed"), (4, "3", "it was fine"),
@@ -77,7 +78,7 @@ def test_prepare_and_statistics(raw_reviews):
     stats = prepare.preparation_stats(raw).first().asDict()
     expected = {
         "missing_ratings": 2, "invalid_ratings": 2, "neutral_rating_rows": 2, "missing_reviews": 1, "whitespace_only_reviews": 1,
-        "duplicate_review_groups": 2, "duplicate_review_rows": 3, "conflicting_sentiment_duplicate_groups": 1,
+        "duplicate_review_groups": 3, "duplicate_review_rows": 4, "empty_reviews": 2, "conflicting_sentiment_duplicate_groups": 1,
         "conflicting_sentiment_duplicate_rows": 3, "excluded_rows": 8,
     }
     assert {name: stats[name] for name in expected} == expected
