@@ -16,6 +16,9 @@ from marginalia.session import materialize
 
 DEFAULT_FEATURES = 30_000
 DEFAULT_NGRAMS = (1, 2)
+# Hash slots that terms are counted in before they are counted as text: at most so many rows
+# of 16 bytes leave a task, and at most so many long values are broadcast.
+SLOTS = 1 << 20
 
 
 def with_terms(docs: DataFrame, text: str = "text", ngram_range: tuple[int, int] = DEFAULT_NGRAMS) -> DataFrame:
@@ -35,15 +38,35 @@ def _one_per_row(docs: DataFrame, terms: str | Column = "terms") -> DataFrame:
 def vocabulary_topk(
     docs: DataFrame, k: int = DEFAULT_FEATURES, *, text: str = "text", ngram_range=DEFAULT_NGRAMS
 ) -> DataFrame:
-    """The ``k`` most frequent terms of the corpus; equal counts go by term.
+    """The ``k`` most frequent terms of the corpus; equal counts go by term."""
+    terms = _one_per_row(with_terms(docs.select(text), text, ngram_range).select("terms"))
+    return most_frequent(terms, k, F.count(F.lit(1)))
+
+
+def most_frequent(rows: DataFrame, k: int, count: Column, *others: Column, slots: int = SLOTS) -> DataFrame:
+    """The ``k`` terms of greatest ``count`` over ``rows``, with the ``others`` aggregated beside it.
 
-    Terms are counted map-side first and the top is taken per partition, not by a full sort.
+    Rare terms never move as text. Terms are first counted by hash slot, and a slot's count is at
+    least that of each of its terms. Only terms of slots that reach a level are counted one by one; if the
+    k-th of these reaches the level too, every term left out has a smaller count. Otherwise the k-th count, which
+    the true one cannot be under, is the level of a second and last round. ``count`` must add up over rows.
     """
     if k < 1:
         raise ValueError("the number of features must be positive")
-    terms = _one_per_row(with_terms(docs.select(text), text, ngram_range).select("terms"))
-    counted = terms.groupBy("term").agg(F.count(F.lit(1)).alias("term_count"))
-    return counted.orderBy(F.desc("term_count"), "term").limit(k)
+    slot = F.pmod(F.xxhash64("term"), F.lit(slots))
+    bounds = materialize(rows.groupBy(slot.alias("__slot")).agg(count.alias("__bound")), "term-slots")
+    greatest = bounds.orderBy(F.desc("__bound")).limit(2 * k)
+    first = greatest.agg(F.count(F.lit(1)).alias("n"), F.min("__bound").alias("least")).first()
+    level = first["least"] if first["n"] == 2 * k else 0
+    while True:
+        likely = bounds.where(F.col("__bound") >= level)
+        counted = rows.join(F.broadcast(likely), slot == F.col("__slot"), "left_semi") if level else rows
+        counted = counted.groupBy("term").agg(count.alias("term_count"), *others)
+        top = materialize(counted.orderBy(F.desc("term_count"), "term").limit(k), "frequent-terms")
+        last = top.agg(F.count(F.lit(1)).alias("n"), F.min("term_count").alias("least")).first()
+        if not level or (last["n"] == k and last["least"] >= level):
+            return top
+        level = last["least"] if last["n"] == k else 0
 
 
 def term_counts(
@@ -98,19 +121,14 @@ def tfidf_weights(
     """L2-normalised TF-IDF weights ``(doc_id, term, weight)`` over the top ``k`` terms.
 
     Texts are taken apart once. Their stored term counts give vocabulary, document counts and weights:
-    one aggregate by term, and one exchange by document of vocabulary terms alone.
+    aggregates of frequent terms, and one exchange by document of vocabulary terms alone.
     """
     counts = term_counts(docs, doc_id=doc_id, text=text, ngram_range=ngram_range)
     counts = materialize(counts, "document-terms")
     n_docs = docs.count()
-    vocabulary = (
-        counts.groupBy("term")
-        .agg(F.sum("n").alias("term_count"), F.count(F.lit(1)).alias("document_count"))
-        .orderBy(F.desc("term_count"), "term")
-        .limit(k)
-        .select("term", _smoothed_idf(n_docs).alias("idf"))
-    )
-    weighted = counts.join(_sized(materialize(vocabulary, "vocabulary")), "term").select(
+    vocabulary = most_frequent(counts, k, F.sum("n"), F.count(F.lit(1)).alias("document_count"))
+    vocabulary = vocabulary.select("term", _smoothed_idf(n_docs).alias("idf"))
+    weighted = counts.join(_sized(vocabulary), "term").select(
         doc_id, "term", (F.col("n") * F.col("idf")).alias("w")
     )
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(doc_id)))

@@ -114,6 +114,35 @@ def separable(spark):
     return rows
 
 
+@pytest.mark.parametrize("slots", [1, 7, 64, 1 << 20])
+def test_frequent_terms_equal_the_full_count_whatever_the_slots(spark, slots):
+    # Eight terms of equal count at the cut, and 3,000 rare ones that crowd the slots.
+    counts = [(f"often{i}", 200 - i // 8) for i in range(40)] + [(f"rare{i}", 1 + i % 3) for i in range(3_000)]
+    rows = spark.createDataFrame(counts, "term string, n bigint").unionAll(spark.createDataFrame([("often39", 3)], "term string, n bigint"))
+    exact = sorted([*counts[:39], ("often39", counts[39][1] + 3), *counts[40:]], key=lambda r: (-r[1], r[0]))
+    for k in (1, 20, 36, 45, 4_000):
+        top = features.most_frequent(rows, k, F.sum("n"), F.count(F.lit(1)).alias("rows"), slots=slots).collect()
+        assert sorted([(r["term"], r["term_count"]) for r in top], key=lambda r: (-r[1], r[0])) == exact[:k]
+        assert all(r["rows"] == 1 + (r["term"] == "often39") for r in top)
+    assert features.most_frequent(rows.limit(0), 3, F.sum("n"), slots=slots).count() == 0
+
+
+def test_rare_terms_are_not_counted_as_text(spark, monkeypatch):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, F.concat(F.lit("t"), F.col("id") % 10)).otherwise(F.col("id").cast("string")).alias("term"))
+    stored, seen = features.materialize, []
+
+    def spy(df, purpose):
+        result = stored(df, purpose)
+        seen.append((purpose, df))
+        return result
+
+    monkeypatch.setattr(features, "materialize", spy)
+    top = features.most_frequent(rows, 2, F.count(F.lit(1)), slots=1 << 16)
+    assert top.count() == 2 and [p for p, _ in seen] == ["term-slots", "frequent-terms"]
+    plan = seen[1][1]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and plan.index("BroadcastHashJoin") > plan.index("HashAggregate")
+
+
 def test_tfidf_by_hand(spark):
     docs = spark.createDataFrame([(1, "aa bb aa"), (2, "bb cc"), (3, "x")], "doc_id int, text string")
     vocabulary = features.vocabulary_topk(docs, 2, ngram_range=(1, 1))
