@@ -4,8 +4,10 @@ A window is ``size`` consecutive words of an item; an item with fewer words is o
 Documents are scanned once and stay in their rows: only windows that hold one of the benchmark's
 anchor words (the longest word of each of its windows) are hashed, and such a window is a
 candidate if its hash is in the set. A candidate is verified by its words, so a hash never
-decides. The sets go with the query as literals, for which the windows are counted first;
-beyond ``SET_LIMIT`` of them the windows of the documents are joined by shuffle instead.
+decides. The sets go with the query as literals, for which the windows are counted first.
+Beyond ``SET_LIMIT`` of them the hashes go as a bit filter of at most ``FILTER_BITS``, every window of a
+document is tried against it in its row, and the windows that pass are verified by a join on their words.
+A fuller filter lets more windows through to the join; it never changes the result.
 
 Defined cases: a null or empty text has no words, and items without words have no window.
 Items that repeat, and documents that repeat, each count as rows of their own; item ids that
@@ -19,10 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.common import words
+from marginalia.operators.groups import BITMAP_BITS, BROADCAST_ROWS, attach_group_facts
 from marginalia.session import materialize
 
 WINDOW = 10
 SET_LIMIT = 20_000
+FILTER_BITS = 1 << 23  # 1 MB
 ROW, FOUND, N_WORDS = "__doc_row", "__found", "__n_words"
 KINDS = "array<struct<at:int,n:int,gram:string>>"
 
@@ -53,7 +57,7 @@ def with_found(docs: DataFrame, known: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` columns, ``N_WORDS`` and ``FOUND``: the verified windows (at, n, gram) of each row."""
     distinct = known.select("n", "anchor", "hash", "gram").distinct()
     if distinct.count() > SET_LIMIT:
-        return _found_by_join(docs, distinct.select("n", "gram"), keep)
+        return _found_by_filter(docs, distinct.select("n", "hash", "gram"), keep)
     sets: dict[int, tuple[set, set, set]] = {}
     for row in distinct.collect():
         for group, value in zip(sets.setdefault(row.n, (set(), set(), set())), (row.anchor, row.hash, row.gram)):
@@ -73,17 +77,49 @@ def with_found(docs: DataFrame, known: DataFrame, keep: list[str]) -> DataFrame:
     return read.select(*keep, F.size("__w").cast("long").alias(N_WORDS), F.concat(*found).alias(FOUND))
 
 
-def _found_by_join(docs: DataFrame, known: DataFrame, keep: list[str]) -> DataFrame:
-    """The same by a shuffle of all windows of the documents, for a benchmark of any size."""
-    rows = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "window-rows").withColumn("__w", words(F.col("text")))
-    lengths = [r.n for r in known.select("n").distinct().collect()]
-    n = F.explode(F.array([F.lit(x) for x in lengths]))
-    at = F.posexplode(F.transform(F.sequence(F.lit(1), F.size("__w") - F.col("n") + 1), lambda i: F.slice("__w", i, F.col("n"))))
-    each = rows.select(ROW, "__w", n.alias("n")).where(F.size("__w") >= F.col("n")).select(ROW, "n", at.alias("at", "g"))
-    real = each.select(ROW, "at", "n", F.array_join("g", " ").alias("gram")).join(known, ["n", "gram"], "left_semi")
-    hits = real.groupBy(ROW).agg(F.collect_list(F.struct("at", "n", "gram")).alias(FOUND))
-    out = rows.withColumn(N_WORDS, F.size("__w").cast("long")).join(hits, ROW, "left")
-    return out.select(*keep, N_WORDS, F.coalesce(FOUND, F.array().cast(KINDS)).alias(FOUND))
+def _hash_filter(known: DataFrame, bits: int) -> bytes:
+    """One bit for the hash of every window; the driver sees at most ``bits / BITMAP_BITS`` parts of 4 kB."""
+    slot = F.pmod(F.col("hash"), F.lit(bits)) + 1
+    parts = known.groupBy(F.bitmap_bucket_number(slot).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bitmap"))
+    size = BITMAP_BITS // 8
+    whole = bytearray(bits // 8)
+    for row in parts.collect():
+        whole[(row.part - 1) * size : row.part * size] = row.bitmap
+    return bytes(whole)
+
+
+def _found_by_filter(docs: DataFrame, known: DataFrame, keep: list[str]) -> DataFrame:
+    """The same for a benchmark of any size: no window of a document moves unless its hash may be known."""
+    rows = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "window-rows")
+    read = rows.select(ROW, words(F.col("text")).alias("__w"))
+    w, lengths = F.col("__w"), sorted(r.n for r in known.select("n").distinct().collect())
+    table = F.lit(_hash_filter(known, FILTER_BITS))
+
+    def may_be_known(c: Column) -> Column:
+        slot = F.pmod(c["hash"], F.lit(FILTER_BITS)).cast("int")
+        byte = F.conv(F.hex(F.substring(table, F.shiftright(slot, 3) + 1, F.lit(1))), 16, 10).cast("int")
+        return F.getbit(byte, slot % 8) == 1
+
+    def passing(n: Column) -> Column:
+        # One expression for all lengths, so that the plan holds the filter once.
+        window = lambda s: F.struct(
+            s.alias("at"), n.alias("n"), F.coalesce(*(F.when(n == k, _hash(w, s, k)) for k in lengths)).alias("hash"))
+        return F.when(F.size(w) >= n, F.filter(F.transform(F.sequence(F.lit(0), F.size(w) - n), window), may_be_known))
+
+    passed = F.flatten(F.array_compact(F.transform(F.array(*map(F.lit, lengths)), passing)))
+    named = F.transform(passed, lambda c: F.struct(
+        c["at"].alias("at"), c["n"].alias("n"), F.array_join(F.slice(w, c["at"] + 1, c["n"]), " ").alias("gram")))
+    likely = read.select(ROW, F.explode(named).alias("c")).select(ROW, "c.at", "c.n", "c.gram")
+    grams = known.select("n", "gram")
+    grams = F.broadcast(grams) if grams.count() <= BROADCAST_ROWS else grams
+    hits = likely.join(grams, ["n", "gram"], "left_semi").groupBy(ROW).agg(
+        F.collect_list(F.struct("at", "n", "gram")).alias(FOUND), F.lit(1).alias("__rows"))
+    # Only rows with a hit leave their place, and only if there are many.
+    met = attach_group_facts(rows, materialize(hits, "window-hits"), ROW, "__rows")
+    return met.select(
+        *keep, F.size(words(F.col("text"))).cast("long").alias(N_WORDS),
+        F.coalesce(F.col(FOUND), F.array().cast(KINDS)).alias(FOUND))
 
 
 def covered(spans: Column) -> Column:

@@ -175,10 +175,13 @@ def _words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
 
 
-@pytest.mark.parametrize("by_join", [False, True])
-def test_decontamination_matches_brute_force(spark, monkeypatch, by_join):
-    if by_join:
+@pytest.mark.parametrize("large", [0, 1 << 15, 1 << 23])
+def test_decontamination_matches_brute_force(spark, monkeypatch, large):
+    if large:
         monkeypatch.setattr(decontaminate, "SET_LIMIT", 0)
+        monkeypatch.setattr(decontaminate, "FILTER_BITS", large)
+    if large == 1 << 15:  # a full filter lets every window through to the join
+        monkeypatch.setattr(decontaminate, "_hash_filter", lambda known, bits: b"\xff" * (bits // 8))
     item = " ".join(f"k{i}" for i in range(14))
     items = [(1, item), (1, item), (22, "Short ITEM here"), (3, None), (4, ""), (5, "Été café")]
     docs = [(1, f"a b {item} c"), (2, f"x {' '.join(item.split()[2:12])} y"), (3, " ".join(item.split()[:9])), (4, "short, item! HERE short item here"),
@@ -201,7 +204,7 @@ def test_decontamination_matches_brute_force(spark, monkeypatch, by_join):
     assert got == sorted(want)
     clean = decontaminate.clean(d, b)
     assert clean.columns == d.columns and sorted(r.doc_id for r in clean.collect()) == [3, 5, 6]
-    if not by_join:
+    if not large:
         spans = {r.doc_id: r.text for r in decontaminate.clean(d, b, spans=True).collect()}
         assert _words(spans[1]) == ["a", "b", "c"] and spans[3] == docs[2][1]
         assert decontaminate.find_hits(d.limit(0), b, keep=["doc_id"]).count() == 0
