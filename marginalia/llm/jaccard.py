@@ -54,6 +54,9 @@ COMMON_SAMPLE, COMMON_SHARE = 4_000, 0.005
 BROADCAST_IDS = 1_000_000
 SLICE_BITS = 13
 COUNTER_BITS = 27  # slots of the mark counters
+COUNTED_MARKS = 1 << 22  # beyond so many the counters would fill, and marks meet in slices of the hash order
+SLICE_MARKS = 1 << 20
+BATCH_ROWS = 1_024  # rows described at a time
 SKETCH_WORDS = 8  # of 64 bits
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 
@@ -73,7 +76,7 @@ class _Words(dict):
     """64-bit hashes of words, kept for a while."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return value
@@ -181,7 +184,7 @@ def common_ngrams(docs: DataFrame, n: int) -> np.ndarray:
 def _describe(n: int, threshold: int, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
-        for batch in batches:
+        for batch in (b.slice(at, BATCH_ROWS) for b in batches for at in range(0, b.num_rows, BATCH_ROWS)):
             ids, sizes, sets, marks, sketches = batch.column(0).to_pylist(), [], [], [], []
             for text in batch.column(1):
                 own = ngram_set(text.as_py(), known, n)
@@ -195,8 +198,8 @@ def _describe(n: int, threshold: int, common):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                 *[pa.array(words[:, i]) for i in range(SKETCH_WORDS)]],
-                names=["doc_id", "n", "same", "marks", *SKETCH],
+                 *[pa.array(words[:, i]) for i in range(SKETCH_WORDS)], batch.column(2)],
+                names=["doc_id", "n", "same", "marks", *SKETCH, "row"],
             )
 
     return run
@@ -205,7 +208,7 @@ def _describe(n: int, threshold: int, common):
 def _fragments(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
-        for batch in batches:
+        for batch in (b.slice(at, BATCH_ROWS) for b in batches for at in range(0, b.num_rows, BATCH_ROWS)):
             ids, parts, held = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 own = ngram_set(text.as_py(), known, n)
@@ -282,6 +285,54 @@ def _keep_repeated(table, bits: int):
     return run
 
 
+def _sliced(bits: int):
+    """Marks packed by slice (their first ``bits`` bits): the next 32 bits, and the row as a block and a 16-bit place in it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, lists = batch.column(0).to_numpy(), batch.column(1)
+            flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            row = np.repeat(rows, lists.value_lengths().to_numpy(zero_copy_only=False))
+            slices, low = (flat >> np.uint64(64 - bits)).astype(np.int64), (flat << np.uint64(bits) >> np.uint64(32)).astype(np.uint32)
+            order = np.lexsort((slices, row >> 16))
+            slices, low, row = slices[order], low[order], row[order]
+            starts = np.flatnonzero(np.concatenate([[True], (np.diff(slices) != 0) | (np.diff(row >> 16) != 0)])) if len(row) else []
+            places = (row & 0xFFFF).astype(np.uint16)
+            ends = [*starts[1:], len(row)] if len(row) else []
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([slices[a] for a in starts], pa.int32()), pa.array([row[a] >> 16 for a in starts], pa.int64()),
+                 pa.array([low[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                 pa.array([places[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())],
+                names=["slice", "block", "low", "place"],
+            )
+
+    return run
+
+
+def _repeated_in_slice(rows: pa.Table) -> pa.Table:
+    """(row, mark) of the marks that several places of one slice hold."""
+    low = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in rows["low"]])
+    row = np.concatenate([(b.as_py() << 16) + np.frombuffer(x.as_py(), np.uint16).astype(np.int64) for b, x in zip(rows["block"], rows["place"])])
+    order = np.argsort(low, kind="stable")
+    low, row = low[order], row[order]
+    same = low[1:] == low[:-1]
+    kept = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    mark = (rows["slice"][0].as_py() << 32) + low[kept].astype(np.int64)
+    return pa.table({"row": pa.array(row[kept], pa.int64()), "mark": pa.array(mark, pa.int64())})
+
+
+def repeated_by_slice(reps: DataFrame, marks: int) -> DataFrame:
+    """(id, n, mark) of the marks that repeat among ``reps``, which holds ``marks`` of them.
+
+    Each mark moves once, packed to six bytes, to its slice of the hash order; there are so many slices that
+    one holds about ``SLICE_MARKS``, so what a task holds and the share of marks that meet by chance
+    (a mark is told by 32 bits in its slice) stay the same on any input.
+    """
+    bits = max(6, (marks // SLICE_MARKS).bit_length())
+    packed = reps.select("row", "marks").mapInArrow(_sliced(bits), "slice int, block long, low binary, place binary")
+    found = packed.groupBy("slice").applyInArrow(_repeated_in_slice, "row long, mark long")
+    return found.join(reps.select("row", F.col("doc_id").alias("id"), "n"), "row").select("id", "n", "mark")
+
+
 def _linked(overlap: Column, na: Column, nb: Column, threshold: int) -> Column:
     return overlap * 100 >= (na + nb - overlap) * threshold
 
@@ -318,16 +369,24 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     common = docs.sparkSession.sparkContext.broadcast(common_ngrams(docs, n))
-    fields = "doc_id long, n long, same binary, marks array<long>, " + ", ".join(f"{c} long" for c in SKETCH)
-    described = materialize(docs.mapInArrow(_describe(n, threshold, common), fields), "ngram-sets")
+    fields = "doc_id long, n long, same binary, marks array<long>, " + ", ".join(f"{c} long" for c in [*SKETCH, "row"])
+    described = materialize(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_describe(n, threshold, common), fields), "ngram-sets")
     usable = described.where("n > 0 and doc_id is not null")
     classes = materialize(usable.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "set-classes")
     named = classes.select("same", F.col("rep").alias("doc_id"))
     # The classes are a few bytes a set, their rows some hundred marks: only beyond the bound are the rows moved.
-    reps = usable.join(F.broadcast(named) if named.count() <= BROADCAST_IDS else named, ["same", "doc_id"], "left_semi")
-    slots = docs.sparkSession.sparkContext.broadcast(repeated_marks(reps))
-    kept = reps.select(F.col("doc_id").alias("id"), "n", "marks").mapInArrow(_keep_repeated(slots, COUNTER_BITS), "id long, n long, marks array<long>")
-    marks = kept.select("id", "n", F.explode("marks").alias("mark"))
+    few = named.count() <= BROADCAST_IDS
+    reps = usable.join(F.broadcast(named) if few else named, ["same", "doc_id"], "left_semi")
+    if not few:
+        # Rows are numbered anew where they lie now, so that those of a block are together.
+        reps = materialize(reps.withColumn("row", F.monotonically_increasing_id()), "set-marks")
+    held = reps.agg(F.sum(F.size("marks"))).first()[0] or 0
+    if held <= COUNTED_MARKS:
+        slots = docs.sparkSession.sparkContext.broadcast(repeated_marks(reps))
+        kept = reps.select(F.col("doc_id").alias("id"), "n", "marks").mapInArrow(_keep_repeated(slots, COUNTER_BITS), "id long, n long, marks array<long>")
+        marks = kept.select("id", "n", F.explode("marks").alias("mark"))
+    else:
+        marks = materialize(repeated_by_slice(reps, held), "repeated-marks")
     shared = marks.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("mark")
     members = materialize(marks.join(shared, "mark").distinct(), "fragment-members")
     sketches = materialize(
