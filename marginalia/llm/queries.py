@@ -96,7 +96,7 @@ def op7_jaccard_join(spark, sf_dir):
 
 
 def op8_secret_scan(spark, sf_dir):
-    """All documents, with a network fitted on findings of a bounded sample of them."""
+    """All documents, with a network fitted on the findings of all of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.find_secrets(docs, secrets.train(docs))
 

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from marginalia.llm import jaccard
+from marginalia.llm import averaging, jaccard, language_model, secrets
 
 
 def test_only_repeated_marks_leave_their_slice(spark):
@@ -32,3 +32,51 @@ def test_components_through_slices(spark, monkeypatch, limit):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in jaccard.similar_components(docs).collect()}
     assert got == {**{i: 0 for i in range(12)}, **{i: i for i in range(20, 42)}, None: None}
+
+
+def test_averaged_rounds_see_every_row(spark):
+    rows = spark.range(0, 1_000, 1, 7).select("id")
+
+    def work(batches, params):
+        ids = [i for b in batches for i in b.column(0).to_pylist()]
+        return {"b": params["b"] + np.mean(ids), "a": params["a"] + len(ids)}, len(ids)
+
+    start = {"a": np.zeros((3, 5_000), np.float32), "b": np.ones(2)}
+    got = averaging.averaged_round(rows, start, work)
+    assert got["a"].shape == (3, 5_000) and got["a"].dtype == np.float32 and np.allclose(got["b"], 1 + 499.5)
+    assert averaging.averaged_round(rows.limit(0), start, work) is start
+
+
+def test_secrets_of_all_documents_are_learnt(spark):
+    """More findings than the 4,000 that training was once cut to, most after the first 12,000 ids."""
+    rows = [(i, "nothing") for i in range(12_000)] + [(i, f"the key is {i:032x}" if i % 2 else f"mail user{i}.name{i}.example-site.org.uk") for i in range(12_000, 18_000)]
+    docs = spark.createDataFrame(rows + [(1, rows[-1][1]), (None, None)], "doc_id long, text string")
+    counts = {r.y: r["count"] for r in secrets.labelled_windows(docs).groupBy("y").count().collect()}
+    assert counts == {1: 3_000, 0: 3_000}
+    net = secrets.train(docs)
+    found = {r.doc_id: r.spans for r in secrets.find_secrets(docs.where("doc_id >= 12000"), net).collect()}
+    assert net.recall >= secrets.RECALL and sum("network" in s for s in found.values()) < 300
+
+
+def test_weights_are_learnt_from_all_documents(spark, monkeypatch):
+    """Without the driver's share of the documents the tasks still learn what follows what."""
+    monkeypatch.setattr(language_model, "START_TOKENS", 0)
+    monkeypatch.setattr(language_model, "TRAIN_BLOCK", 2_000)
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"t{a % 12}" for a in np.cumsum(rng.integers(1, 3, 60)))) for i in range(1_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "doc_id")
+    got = language_model.score_corpus(docs).toPandas()
+    unseen = got[got["held_out"]]
+    assert unseen["score"].sum() > 0.9 * unseen["base_score"].sum()
+    assert sorted(got["score"]) == sorted(language_model.score_corpus(docs).toPandas()["score"])
+
+
+@pytest.mark.parametrize("lanes", [1, 3, 64])
+def test_descent_passes_over_every_token(monkeypatch, lanes):
+    model = language_model.Model({b"": 0, b"a": 1, b"b": 2}, np.array([5.0, 4, 3]), 12, 3, np.zeros(3))
+    model.params = language_model.init_params(model)
+    seen, gradient = [], language_model._output_gradient
+    monkeypatch.setattr(language_model, "_output_gradient", lambda m, h, ids: (seen.extend(ids.tolist()), gradient(m, h, ids))[1])
+    docs = [np.array([1, 2] * (i % 9) + [1, 0], np.int32) for i in range(101)]
+    language_model.Descent(model, 0.01).learn([*docs, docs[0]], 1, lanes)
+    assert sorted(seen) == sorted(np.concatenate([*docs, docs[0]]).tolist())
