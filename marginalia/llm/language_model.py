@@ -11,9 +11,10 @@ class and then the word in it:
   its share of the class's count. A class of the second kind keeps a share for words never seen,
   the share of its words seen once (Good-Turing), as one word, as the base score does.
 
-Weights are fitted on the driver by truncated backpropagation over ``TRAIN_TOKENS`` tokens at most of
-training documents (those with the smallest id hashes), the state being carried from window to
-window. Everything else, that is counts, classes and shares, is of all training documents.
+Weights are fitted by truncated backpropagation, the state being carried from window to window. A first
+pass over ``START_TOKENS`` tokens at most on the driver only gives the tasks a common start. From it every task
+trains on all its training documents, in blocks of ``TRAIN_BLOCK`` tokens, and the mean of
+their weights by tokens is the model. So weights, like counts, classes and shares, are of all training documents.
 
 Scoring runs in tasks over whole documents: texts advance together, the state of each carried
 across windows to its end. Tokens outside the head go to one shuffle on the token, each once per
@@ -35,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginalia.llm.averaging import averaged_round
 from marginalia.llm.common import bounded_sample, byte_tokens
 from marginalia.session import materialize
 
@@ -45,7 +47,9 @@ BANDS = 8
 LOOKS = 20
 EMBED, HIDDEN = 16, 24
 WINDOW = 16
-TRAIN_TOKENS, TRAIN_DOCS, LANES = 400_000, 3_000, 64
+START_TOKENS, START_DOCS, LANES = 400_000, 3_000, 64
+TASK_LANES, TASK_RATE = 512, 0.01
+TRAIN_BLOCK = 1_000_000  # tokens a task trains on at a time
 BLOCK_TOKENS = 3_000_000
 COUNTER_LIMIT = 400_000
 
@@ -199,50 +203,63 @@ def _runs(keys: np.ndarray, values: np.ndarray):
 
 def train(model: Model, docs: list[np.ndarray], *, epochs: int = 2, rate: float = 0.01, seed: int = 11) -> None:
     """Truncated backpropagation: ``LANES`` streams of documents, windows of ``WINDOW`` tokens, states carried on."""
-    p = model.params = init_params(model, seed)
-    rng = np.random.default_rng(seed)
-    m, v, step = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0
-    start = model.head.get(END, -1)
-    for _ in range(epochs):
-        stream = np.concatenate([docs[i] for i in rng.permutation(len(docs))]) if docs else np.zeros(0, np.int32)
-        lanes = min(LANES, max(1, len(stream) // (4 * WINDOW)))
-        length = len(stream) // lanes
-        grid = stream[: lanes * length].reshape(lanes, length)
-        # A token's input is the one before it; a document starts with a zero state after an end.
-        prior = np.concatenate([np.full((lanes, 1), start, grid.dtype), grid[:, :-1]], axis=1)
-        h = np.zeros((lanes, HIDDEN), np.float32)
-        for at in range(0, length - WINDOW + 1, WINDOW):
-            xs, ys = model.inputs(prior[:, at : at + WINDOW]), grid[:, at : at + WINDOW]
-            reset = prior[:, at : at + WINDOW] == start
-            saved, states = [], []
-            for t in range(WINDOW):
-                h = np.where(reset[:, t : t + 1], np.float32(0), h)
-                before = h
-                h, gates = gru_step(p, p["embed"][xs[:, t]], h)
-                saved.append((before, gates)), states.append(h)
-            g, dh_out = _output_gradient(model, np.concatenate(states), ys.T.reshape(-1))
-            g |= {k: np.zeros_like(p[k]) for k in ("embed", "wx", "wh", "b")}
-            dh = np.zeros_like(h)
-            for t in reversed(range(WINDOW)):
-                before, (z, r, n, gh) = saved[t]
-                dh = dh + dh_out[t * lanes : (t + 1) * lanes]
-                dn = dh * (1 - z) * (1 - n * n)
-                dz = dh * (before - n) * z * (1 - z)
-                dr = dn * gh * r * (1 - r)
-                dx, dg = np.concatenate([dz, dr, dn], axis=1), np.concatenate([dz, dr, dn * r], axis=1)
-                g["wx"] += p["embed"][xs[:, t]].T @ dx
-                g["b"] += dx.sum(axis=0)
-                g["wh"] += before.T @ dg
-                np.add.at(g["embed"], xs[:, t], dx @ p["wx"].T)
-                dh = np.where(reset[:, t : t + 1], np.float32(0), dh * z + dg @ p["wh"].T)
-            step += 1
-            norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
-            for k in p:
-                d = g[k] * np.float32(min(1.0, 1.0 / (norm + 1e-9)))
-                m[k] += np.float32(0.1) * (d - m[k])
-                v[k] += np.float32(0.005) * (d * d - v[k])
-                scale = np.float32(rate * np.sqrt(1 - 0.995**step) / (1 - 0.9**step))
-                p[k] -= scale * m[k] / (np.sqrt(v[k]) + np.float32(1e-6))
+    model.params = init_params(model, seed)
+    Descent(model, rate, seed).learn(docs, epochs, LANES)
+
+
+class Descent:
+    """Descent from a model's parameters, which it changes, with moments of its own."""
+
+    def __init__(self, model: Model, rate: float, seed: int = 11):
+        self.model, self.rate, self.rng, self.step = model, rate, np.random.default_rng(seed), 0
+        self.m, self.v = ({k: np.zeros_like(x) for k, x in model.params.items()} for _ in range(2))
+
+    def learn(self, docs: list[np.ndarray], epochs: int, most_lanes: int) -> None:
+        """``epochs`` passes over all tokens of the documents."""
+        model, p, m, v = self.model, self.model.params, self.m, self.v
+        start = model.head.get(END, -1)
+        for _ in range(epochs):
+            stream = np.concatenate([docs[i] for i in self.rng.permutation(len(docs))]) if docs else np.zeros(0, np.int32)
+            while len(stream):  # what the lanes leave over follows in fewer lanes
+                lanes = min(most_lanes, max(1, len(stream) // (4 * WINDOW)))
+                length = len(stream) // lanes
+                length -= length % WINDOW if length > WINDOW else 0
+                grid, stream = stream[: lanes * length].reshape(lanes, length), stream[lanes * length :]
+                # A token's input is the one before it; a document starts with a zero state after an end.
+                prior = np.concatenate([np.full((lanes, 1), start, grid.dtype), grid[:, :-1]], axis=1)
+                h = np.zeros((lanes, HIDDEN), np.float32)
+                for at in range(0, length, WINDOW):
+                    xs, ys = model.inputs(prior[:, at : at + WINDOW]), grid[:, at : at + WINDOW]
+                    reset = prior[:, at : at + WINDOW] == start
+                    saved, states = [], []
+                    for t in range(ys.shape[1]):
+                        h = np.where(reset[:, t : t + 1], np.float32(0), h)
+                        before = h
+                        h, gates = gru_step(p, p["embed"][xs[:, t]], h)
+                        saved.append((before, gates)), states.append(h)
+                    g, dh_out = _output_gradient(model, np.concatenate(states), ys.T.reshape(-1))
+                    g |= {k: np.zeros_like(p[k]) for k in ("embed", "wx", "wh", "b")}
+                    dh = np.zeros_like(h)
+                    for t in reversed(range(ys.shape[1])):
+                        before, (z, r, n, gh) = saved[t]
+                        dh = dh + dh_out[t * lanes : (t + 1) * lanes]
+                        dn = dh * (1 - z) * (1 - n * n)
+                        dz = dh * (before - n) * z * (1 - z)
+                        dr = dn * gh * r * (1 - r)
+                        dx, dg = np.concatenate([dz, dr, dn], axis=1), np.concatenate([dz, dr, dn * r], axis=1)
+                        g["wx"] += p["embed"][xs[:, t]].T @ dx
+                        g["b"] += dx.sum(axis=0)
+                        g["wh"] += before.T @ dg
+                        np.add.at(g["embed"], xs[:, t], dx @ p["wx"].T)
+                        dh = np.where(reset[:, t : t + 1], np.float32(0), dh * z + dg @ p["wh"].T)
+                    self.step += 1
+                    norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
+                    for k in p:
+                        d = g[k] * np.float32(min(1.0, 1.0 / (norm + 1e-9)))
+                        m[k] += np.float32(0.1) * (d - m[k])
+                        v[k] += np.float32(0.005) * (d * d - v[k])
+                        scale = np.float32(self.rate * np.sqrt(1 - 0.995**self.step) / (1 - 0.9**self.step))
+                        p[k] -= scale * m[k] / (np.sqrt(v[k]) + np.float32(1e-6))
 
 
 def _output_gradient(model: Model, h: np.ndarray, ids: np.ndarray):
@@ -268,6 +285,27 @@ def _output_gradient(model: Model, h: np.ndarray, ids: np.ndarray):
     return g, dh
 
 
+def train_on_all(training: DataFrame, model: Model) -> None:
+    """One pass over every row of ``training`` in the tasks, from the model's parameters; the mean of theirs follows."""
+    fixed = {k: v for k, v in model.__dict__.items() if k != "params"}
+    shared = training.sparkSession.sparkContext.broadcast(fixed)
+
+    def work(batches: Iterator[pa.RecordBatch], params: dict) -> tuple[dict, float]:
+        own, docs, size, seen = Model(**shared.value, params=params), [], 0, 0
+        descent = Descent(own, TASK_RATE)
+        for batch in batches:
+            for text in batch.column(0):
+                docs.append(own.ids(byte_tokens(text.as_py())))
+                size += len(docs[-1])
+                if size >= TRAIN_BLOCK:
+                    descent.learn(docs, 1, TASK_LANES)
+                    docs, size, seen = [], 0, seen + size
+        descent.learn(docs, 1, TASK_LANES)
+        return params, seen + size
+
+    model.params = averaged_round(training.select("text"), model.params, work)
+
+
 def score_documents(model: Model, docs: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each document (ids with the end), its state carried through."""
     lengths = np.array([len(d) for d in docs])
@@ -353,13 +391,14 @@ def score_corpus(docs: DataFrame) -> DataFrame:
     training = docs.where(~F.col("held_out"))
     counts = materialize(token_counts(training), "token-counts")
     model = build_model(counts)
-    sample = bounded_sample(training, "doc_id", TRAIN_DOCS).select("text")
+    sample = bounded_sample(training, "doc_id", START_DOCS).select("text")
     texts, size = [], 0
     for row in sample.toLocalIterator():
-        if size < TRAIN_TOKENS:
+        if size < START_TOKENS:
             texts.append(model.ids(byte_tokens(row.text)))
             size += len(texts[-1])
     train(model, texts)
+    train_on_all(training, model)
     shared = spark.sparkContext.broadcast(dict(model.__dict__))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
     scored = materialize(rows.mapInArrow(_scorer(shared), SCORED), "network-scores")
