@@ -19,6 +19,8 @@ DEFAULT_NGRAMS = (1, 2)
 # Hash slots that terms are counted in before they are counted as text: at most so many rows
 # of 16 bytes leave a task, and at most so many long values are broadcast.
 SLOTS = 1 << 20
+# Text of a task that counts all n-grams of its documents: some ten counters to each word.
+COUNTED_BYTES = 8 << 20
 
 
 def with_terms(docs: DataFrame, text: str = "text", ngram_range: tuple[int, int] = DEFAULT_NGRAMS) -> DataFrame:
@@ -78,13 +80,20 @@ def term_counts(
     ngram_range=DEFAULT_NGRAMS,
 ) -> DataFrame:
     """Occurrences of every (vocabulary) term per document."""
-    placed = docs.select(doc_id, text).repartition(doc_id)
+    placed = docs.select(doc_id, text)
+    placed = placed.repartition(_parts(placed, text), doc_id)
     terms = _one_per_row(with_terms(placed, text, ngram_range).select(doc_id, "terms"))
     if vocabulary is not None:
         terms = terms.join(_sized(vocabulary.select("term")), "term", "left_semi")
     return terms.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _parts(docs: DataFrame, text: str) -> int:
+    """Tasks to count terms in. Their number grows with the text, so that what one holds does not."""
+    held = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-held // COUNTED_BYTES))
+
+
 def _sized(vocabulary: DataFrame) -> DataFrame:
     """Broadcast a vocabulary whose counted size allows it."""
     return F.broadcast(vocabulary) if vocabulary.count() <= BROADCAST_ROWS else vocabulary
