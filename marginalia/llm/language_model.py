@@ -17,9 +17,12 @@ trains on all its training documents, in blocks of ``TRAIN_BLOCK`` tokens, and t
 their weights by tokens is the model. So weights, like counts, classes and shares, are of all training documents.
 
 Scoring runs in tasks over whole documents: texts advance together, the state of each carried
-across windows to its end. Tokens outside the head go to one shuffle on the token, each once per
+across windows to its end. The counts of the ``MORE`` next tokens go along. All other tokens go to one shuffle on the token, each once per
 document, to meet their counts; no token there is frequent, so no key is hot.
 
+Lanes and texts that advance together are columns of all arrays, so numpy works along them, and what a step
+of a window needs is small enough for a core's cache.
+
 Defined cases: a null or empty text has its end alone. A null id counts as the text ''. Repeated rows
 are counted and scored as rows of their own. Without training documents all counts are 0 and every
 token is unseen. Extra columns are ignored.
@@ -29,7 +32,9 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
+from functools import cached_property
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +47,8 @@ from marginalia.session import materialize
 
 END = b""  # no token of a text is empty
 HEAD = 32_768
+MORE = 131_072  # tokens beyond the head whose counts go to the tasks
+LOOKS_KEPT = 100_000
 SOFT, CLASS_WORDS = 2_048, 64
 BANDS = 8
 LOOKS = 20
@@ -51,6 +58,9 @@ START_TOKENS, START_DOCS, LANES = 400_000, 3_000, 64
 TASK_LANES, TASK_RATE = 512, 0.01
 TRAIN_BLOCK = 1_000_000  # tokens a task trains on at a time
 BLOCK_TOKENS = 3_000_000
+SCORED_TOKENS = 16_384  # states held at a time
+PIECE = 512  # of which so many meet the classes at a time
+EXP_RANGE = 80  # scores up to it need no shift before ``exp``
 COUNTER_LIMIT = 400_000
 
 
@@ -86,6 +96,21 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
+class _Places(dict):
+    """Places of tokens; look classes as negative numbers for all others, kept up to a bound."""
+
+    def __init__(self, tokens: dict[bytes, int]):
+        super().__init__(tokens)
+        self.tokens = tokens
+
+    def __missing__(self, token: bytes) -> int:
+        if len(self) > len(self.tokens) + LOOKS_KEPT:
+            self.clear()
+            self.update(self.tokens)
+        value = self[token] = -1 - look(token)
+        return value
+
+
 @dataclass
 class Model:
     head: dict[bytes, int]  # token -> place, most frequent first
@@ -97,6 +122,28 @@ class Model:
     look_totals: np.ndarray = field(default_factory=lambda: np.zeros(LOOKS))
     look_unseen: np.ndarray = field(default_factory=lambda: np.full(LOOKS, 0.5))
     params: dict[str, np.ndarray] = field(default_factory=dict)
+    # Counts of frequent tokens beyond the head. To the network they are of their look class.
+    more: dict[bytes, int] = field(default_factory=dict)
+
+    def parts(self) -> dict:
+        return {f.name: getattr(self, f.name) for f in fields(self)}
+
+    @cached_property
+    def _places(self) -> _Places:
+        return _Places(self.head | {token: i for i, token in enumerate(self.more, len(self.head))})
+
+    @cached_property
+    def _ids(self) -> np.ndarray:
+        """Id of each place; negative places are at its end."""
+        more = np.array([-1 - look(token) for token in self.more], np.int32)
+        return np.concatenate([np.arange(len(self.head)), more, np.arange(-LOOKS, 0)]).astype(np.int32)
+
+    def known_logs(self) -> tuple[np.ndarray, np.ndarray]:
+        """By place: log10 of the base share, and of the share in the look class (0 in the head)."""
+        more, looks = np.array(list(self.more.values()), np.float64), -1 - self._ids[len(self.head) : len(self.head) + len(self.more)]
+        base = np.log10((np.concatenate([self.counts, more]) + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
+        share = np.log10(more / self.look_totals[looks] * (1 - self.look_unseen[looks]))
+        return base, np.concatenate([np.zeros(len(self.head)), share])
 
     @property
     def soft(self) -> int:
@@ -110,10 +157,16 @@ class Model:
     def classes(self) -> int:
         return self.soft_classes + BANDS + LOOKS
 
+    def places(self, tokens: list[bytes]) -> np.ndarray:
+        """Places of the tokens and the end, in the head and then in ``more``; look classes as negative numbers."""
+        out = np.empty(len(tokens) + 1, np.int32)
+        out[:-1] = np.fromiter(map(self._places.__getitem__, tokens), np.int32, len(tokens))
+        out[-1] = self.head.get(END, -1)
+        return out
+
     def ids(self, tokens: list[bytes]) -> np.ndarray:
         """Head places; look classes as negative numbers."""
-        get = self.head.get
-        return np.array([p if (p := get(t)) is not None else -1 - look(t) for t in tokens] + [self.head.get(END, -1)], np.int32)
+        return self._ids[self.places(tokens)]
 
     def class_of(self, ids: np.ndarray) -> np.ndarray:
         band = self.soft_classes + (np.maximum(ids, 0) - self.soft) * BANDS // max(1, len(self.head) - self.soft)
@@ -136,17 +189,13 @@ def build_model(counts: DataFrame) -> Model:
     for r in rest.groupBy(look_column(F.col("token")).alias("k")).agg(F.sum("c").alias("n"), F.count_if(F.col("c") == 1).alias("ones")).collect():
         model.look_totals[r.k] = r.n
         model.look_unseen[r.k] = (r.ones + 0.5) / (r.n + 1.0)
-    places = np.arange(len(top))
-    own = model.class_of(places)
+    model.more = _frequent(rest, MORE)
+    own = model.class_of(np.arange(len(top)))
     sums = np.bincount(own, weights=model.counts, minlength=model.classes)
     model.band_logs = np.log(model.counts / sums[own]) if len(top) else np.zeros(0)
     return model
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
-
-
 def init_params(model: Model, seed: int = 11) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     shape = {
@@ -168,37 +217,76 @@ def init_params(model: Model, seed: int = 11) -> dict[str, np.ndarray]:
     return p
 
 
-def gru_step(p: dict, x: np.ndarray, h: np.ndarray):
-    gx, gh = x @ p["wx"] + p["b"], h @ p["wh"]
-    z = _sigmoid(gx[:, :HIDDEN] + gh[:, :HIDDEN])
-    r = _sigmoid(gx[:, HIDDEN : 2 * HIDDEN] + gh[:, HIDDEN : 2 * HIDDEN])
-    n = np.tanh(gx[:, 2 * HIDDEN :] + r * gh[:, 2 * HIDDEN :])
-    return (1 - z) * n + z * h, (z, r, n, gh[:, 2 * HIDDEN :])
+def _gates(p: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights of input and state and biases, a row per gate sum; those of z and r halved, as ``gru_step`` takes them."""
+    half = np.repeat(np.array([0.5, 0.5, 1], np.float32), HIDDEN)[:, None]
+    return p["wx"].T * half, p["wh"].T * half, p["b"][:, None] * half
+
+
+def _frequent(counts: DataFrame, n: int) -> dict[bytes, int]:
+    """Counts of at most ``n`` tokens, all those that reach some count."""
+    level = None
+    for r in counts.groupBy("c").agg(F.count("*").alias("k")).where("c > 1").orderBy(F.desc("c")).limit(n).collect():
+        n -= r.k
+        if n < 0:
+            break
+        level = r.c
+    if level is None:
+        return {}
+    found = counts.where(F.col("c") >= level).select("token", "c").toArrow()
+    return dict(zip(found["token"].to_pylist(), found["c"].to_pylist()))
+
+
+def _columns(rows: int, n: int) -> np.ndarray:
+    """Room for ``n`` columns. Rows are a little longer, as rows of a round length would share few lines of the cache."""
+    return np.empty((rows, n + 16), np.float32)[:, :n]
+
+
+def gru_step(gx: np.ndarray, gh: np.ndarray, before: np.ndarray, zr: np.ndarray, n: np.ndarray, after: np.ndarray) -> None:
+    """One step of all lanes, which are columns, from the gate sums of inputs and states; fills the last three."""
+    np.add(gx[: 2 * HIDDEN], gh[: 2 * HIDDEN], out=zr)
+    np.tanh(zr, out=zr)  # the logistic function, of twice the sum
+    zr += 1
+    zr *= np.float32(0.5)
+    np.multiply(zr[HIDDEN:], gh[2 * HIDDEN :], out=n)
+    n += gx[2 * HIDDEN :]
+    np.tanh(n, out=n)
+    np.subtract(before, n, out=after)
+    after *= zr[:HIDDEN]
+    after += n
 
 
 def log_probs(model: Model, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Natural log probability of each token after its state; look tokens give their class alone."""
-    p, cls = model.params, model.class_of(ids)
-    scores = h @ p["cls"] + p["cls_b"]
-    scores -= scores.max(axis=1, keepdims=True)
-    out = scores[np.arange(len(ids)), cls] - np.log(np.exp(scores).sum(axis=1))
-    out = out.astype(np.float64)
-    soft = np.flatnonzero((ids >= 0) & (ids < model.soft))
-    order = soft[np.argsort(cls[soft], kind="stable")]
-    for c, own in zip(*_runs(cls[order], order)):
-        word = h[own] @ p["out"][c] + p["out_b"][c]
-        word -= word.max(axis=1, keepdims=True)
-        out[own] += word[np.arange(len(own)), ids[own] % CLASS_WORDS] - np.log(np.exp(word).sum(axis=1))
+    """Natural log probability of each token after its state, a column of ``h`` over a row of ones; look tokens give their class alone."""
+    cls, ((wc, wo), small) = model.class_of(ids), _output_weights(model.params)
+    out = np.empty(len(ids))
+    for at in range(0, len(ids), PIECE):
+        out[at : at + PIECE] = _log_shares(wc.T @ h[:, at : at + PIECE], cls[at : at + PIECE], small)
+    order, runs = _soft_runs(model, ids, cls)
+    own, places, found = h[:, order], ids[order] % CLASS_WORDS, np.empty(len(order), np.float32)
+    for c, a, b in runs:
+        found[a:b] = _log_shares(wo[c].T @ own[:, a:b], places[a:b], small)
+    out[order] += found
     band = np.flatnonzero(ids >= model.soft)
     out[band] += model.band_logs[ids[band]]
     return out
 
 
-def _runs(keys: np.ndarray, values: np.ndarray):
-    if not len(keys):
-        return [], []
-    cuts = np.flatnonzero(np.diff(keys)) + 1
-    return keys[np.concatenate([[0], cuts])], np.split(values, cuts)
+def _log_shares(scores: np.ndarray, wanted: np.ndarray, small: bool) -> np.ndarray:
+    """Log softmax at ``wanted`` of each column; uses the scores up."""
+    if not small:
+        scores -= scores.max(axis=0)
+    at = scores[wanted, np.arange(len(wanted))]
+    return at - np.log(_exp(scores, True).sum(axis=0))
+
+
+def _soft_runs(model: Model, ids: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Places of the soft words by class, and (class, from, to) of each class there."""
+    soft = np.flatnonzero((ids >= 0) & (ids < model.soft))
+    own = cls[soft].astype(np.uint8 if model.classes < 256 else np.int64)
+    order = np.argsort(own, kind="stable")
+    ends = np.cumsum(np.bincount(own, minlength=1)).tolist()
+    return soft[order], [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
 
 
 def train(model: Model, docs: list[np.ndarray], *, epochs: int = 2, rate: float = 0.01, seed: int = 11) -> None:
@@ -213,11 +301,11 @@ class Descent:
     def __init__(self, model: Model, rate: float, seed: int = 11):
         self.model, self.rate, self.rng, self.step = model, rate, np.random.default_rng(seed), 0
         self.m, self.v = ({k: np.zeros_like(x) for k, x in model.params.items()} for _ in range(2))
+        self.scratch: list[np.ndarray] | None = None
 
     def learn(self, docs: list[np.ndarray], epochs: int, most_lanes: int) -> None:
         """``epochs`` passes over all tokens of the documents."""
-        model, p, m, v = self.model, self.model.params, self.m, self.v
-        start = model.head.get(END, -1)
+        start = self.model.head.get(END, -1)
         for _ in range(epochs):
             stream = np.concatenate([docs[i] for i in self.rng.permutation(len(docs))]) if docs else np.zeros(0, np.int32)
             while len(stream):  # what the lanes leave over follows in fewer lanes
@@ -227,67 +315,131 @@ class Descent:
                 grid, stream = stream[: lanes * length].reshape(lanes, length), stream[lanes * length :]
                 # A token's input is the one before it; a document starts with a zero state after an end.
                 prior = np.concatenate([np.full((lanes, 1), start, grid.dtype), grid[:, :-1]], axis=1)
-                h = np.zeros((lanes, HIDDEN), np.float32)
+                h = np.zeros((HIDDEN, lanes), np.float32)
                 for at in range(0, length, WINDOW):
-                    xs, ys = model.inputs(prior[:, at : at + WINDOW]), grid[:, at : at + WINDOW]
-                    reset = prior[:, at : at + WINDOW] == start
-                    saved, states = [], []
-                    for t in range(ys.shape[1]):
-                        h = np.where(reset[:, t : t + 1], np.float32(0), h)
-                        before = h
-                        h, gates = gru_step(p, p["embed"][xs[:, t]], h)
-                        saved.append((before, gates)), states.append(h)
-                    g, dh_out = _output_gradient(model, np.concatenate(states), ys.T.reshape(-1))
-                    g |= {k: np.zeros_like(p[k]) for k in ("embed", "wx", "wh", "b")}
-                    dh = np.zeros_like(h)
-                    for t in reversed(range(ys.shape[1])):
-                        before, (z, r, n, gh) = saved[t]
-                        dh = dh + dh_out[t * lanes : (t + 1) * lanes]
-                        dn = dh * (1 - z) * (1 - n * n)
-                        dz = dh * (before - n) * z * (1 - z)
-                        dr = dn * gh * r * (1 - r)
-                        dx, dg = np.concatenate([dz, dr, dn], axis=1), np.concatenate([dz, dr, dn * r], axis=1)
-                        g["wx"] += p["embed"][xs[:, t]].T @ dx
-                        g["b"] += dx.sum(axis=0)
-                        g["wh"] += before.T @ dg
-                        np.add.at(g["embed"], xs[:, t], dx @ p["wx"].T)
-                        dh = np.where(reset[:, t : t + 1], np.float32(0), dh * z + dg @ p["wh"].T)
-                    self.step += 1
-                    norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
-                    for k in p:
-                        d = g[k] * np.float32(min(1.0, 1.0 / (norm + 1e-9)))
-                        m[k] += np.float32(0.1) * (d - m[k])
-                        v[k] += np.float32(0.005) * (d * d - v[k])
-                        scale = np.float32(self.rate * np.sqrt(1 - 0.995**self.step) / (1 - 0.9**self.step))
-                        p[k] -= scale * m[k] / (np.sqrt(v[k]) + np.float32(1e-6))
+                    h = self._window(prior[:, at : at + WINDOW].T, grid[:, at : at + WINDOW].T, h, start)
+
+    def _window(self, prior: np.ndarray, ys: np.ndarray, h: np.ndarray, start: int) -> np.ndarray:
+        """One step of descent on a window (a row per step, a column per lane); the state after it."""
+        p, (steps, lanes) = self.model.params, ys.shape
+        if self.scratch is None or self.scratch[0].shape[1:] != ys.shape:
+            self.scratch = [_columns(HIDDEN + 1, steps * lanes).reshape(-1, steps, lanes), np.empty((EMBED, steps, lanes), np.float32)] + [
+                np.empty((steps, k * HIDDEN, lanes), np.float32) for k in (2, 1, 1, 1)] + [np.empty((k * HIDDEN, lanes), np.float32) for k in (3, 3, 4, 1, 1, 1)]
+        states, dx, zr, n, befores, of_state, gx, gh, back, dh, kept, left = self.scratch
+        states[HIDDEN] = 1  # stands for the biases
+        xs, keep = self.model.inputs(prior.ravel()), (prior != start).astype(np.float32)
+        x, (wx, wh, b) = p["embed"][xs].reshape(steps, lanes, EMBED), _gates(p)
+        for t in range(steps):
+            np.matmul(wx, x[t].T, out=gx)
+            np.add(gx, b, out=gx)
+            np.multiply(h, keep[t], out=befores[t])
+            np.matmul(wh, befores[t], out=gh)
+            of_state[t] = gh[2 * HIDDEN :]
+            h = states[:HIDDEN, t]
+            gru_step(gx, gh, befores[t], zr[t], n[t], h)
+        h = h.copy()
+        g, dh_out = _output_gradient(self.model, states.reshape(HIDDEN + 1, -1), ys.ravel())
+        dh_out = dh_out.reshape(HIDDEN, steps, lanes)
+        # Gate sums of the input have the gradients n, z, r, those of the state z, r, n * r.
+        dn, dz, dr, dnr = back.reshape(4, HIDDEN, lanes)
+        to_input, to_state, wx = back[: 3 * HIDDEN], back[HIDDEN:], np.roll(p["wx"], HIDDEN, axis=1)
+        g |= {k: np.zeros_like(p[k]) for k in ("wx", "wh", "b")}
+        dh[:] = 0
+        for t in reversed(range(steps)):
+            z, r, now = zr[t, :HIDDEN], zr[t, HIDDEN:], n[t]
+            dh += dh_out[:, t]
+            np.multiply(dh, z, out=kept)
+            dh -= kept
+            np.multiply(now, now, out=left)
+            np.subtract(1, left, out=left)
+            np.multiply(dh, left, out=dn)
+            np.subtract(befores[t], now, out=dz)
+            dz *= kept
+            np.subtract(1, z, out=left)
+            dz *= left
+            np.multiply(dn, r, out=dnr)
+            np.subtract(1, r, out=dr)
+            dr *= dnr
+            dr *= of_state[t]
+            g["wx"] += (to_input @ x[t]).T
+            g["b"] += to_input.sum(axis=1)
+            g["wh"] += befores[t] @ to_state.T
+            dx[:, t] = wx @ to_input
+            np.matmul(p["wh"], to_state, out=dh)
+            dh += kept
+            dh *= keep[t]
+        g["wx"], g["b"] = np.roll(g["wx"], -HIDDEN, axis=1), np.roll(g["b"], -HIDDEN)
+        g["embed"] = np.stack([np.bincount(xs, row, len(p["embed"])) for row in dx.reshape(EMBED, -1)], axis=1).astype(np.float32)
+        self._descend(g)
+        return h
+
+    def _descend(self, g: dict[str, np.ndarray]) -> None:
+        self.step += 1
+        p, m, v = self.model.params, self.m, self.v
+        norm = np.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
+        clip = np.float32(min(1.0, 1.0 / (norm + 1e-9)))
+        scale = np.float32(self.rate * np.sqrt(1 - 0.995**self.step) / (1 - 0.9**self.step))
+        for k in p:
+            d = g[k] * clip
+            m[k] += np.float32(0.1) * (d - m[k])
+            d *= d
+            d -= v[k]
+            d *= np.float32(0.005)
+            v[k] += d
+            np.sqrt(v[k], out=d)
+            d += np.float32(1e-6)
+            np.divide(m[k], d, out=d)
+            d *= scale
+            p[k] -= d
 
 
 def _output_gradient(model: Model, h: np.ndarray, ids: np.ndarray):
-    """Gradients of the mean negative log probability for the output weights and the states."""
+    """Gradients of the mean negative log probability for the output weights and the states, which are columns over a row of ones."""
     p, cls, n = model.params, model.class_of(ids), np.float32(len(ids))
-    s = h @ p["cls"] + p["cls_b"]
-    s = np.exp(s - s.max(axis=1, keepdims=True))
-    s /= s.sum(axis=1, keepdims=True)
-    s[np.arange(len(ids)), cls] -= 1
-    s /= n
-    g = {"cls": h.T @ s, "cls_b": s.sum(axis=0), "out": np.zeros_like(p["out"]), "out_b": np.zeros_like(p["out_b"])}
-    dh = s @ p["cls"].T
-    soft = np.flatnonzero((ids >= 0) & (ids < model.soft))
-    order = soft[np.argsort(cls[soft], kind="stable")]
-    for c, own in zip(*_runs(cls[order], order)):
-        w = h[own] @ p["out"][c] + p["out_b"][c]
-        w = np.exp(w - w.max(axis=1, keepdims=True))
-        w /= w.sum(axis=1, keepdims=True)
-        w[np.arange(len(own)), ids[own] % CLASS_WORDS] -= 1
-        w /= n
-        g["out"][c], g["out_b"][c] = h[own].T @ w, w.sum(axis=0)
-        dh[own] += w @ p["out"][c].T
-    return g, dh
+    (wc, wo), small = _output_weights(p)
+    d_cls, d_out = np.zeros_like(wc), np.zeros_like(wo)
+    dh = _columns(HIDDEN, len(ids))
+    for at in range(0, len(ids), PIECE):
+        part = h[:, at : at + PIECE]
+        s = wc.T @ part
+        _softmax_error(s, cls[at : at + PIECE], n, small)
+        d_cls += part @ s.T
+        np.matmul(p["cls"], s, out=dh[:, at : at + PIECE])
+    order, runs = _soft_runs(model, ids, cls)
+    own, places = h[:, order], ids[order] % CLASS_WORDS
+    d_own = np.empty((HIDDEN, len(order)), np.float32)
+    for c, a, b in runs:
+        w = wo[c].T @ own[:, a:b]
+        _softmax_error(w, places[a:b], n, small)
+        np.matmul(own[:, a:b], w.T, out=d_out[c])
+        np.matmul(p["out"][c], w, out=d_own[:, a:b])
+    dh[:, order] += d_own
+    return {"cls": d_cls[:HIDDEN], "cls_b": d_cls[HIDDEN], "out": d_out[:, :HIDDEN], "out_b": d_out[:, HIDDEN]}, dh
+
+
+def _output_weights(p: dict) -> tuple[tuple[np.ndarray, np.ndarray], bool]:
+    """Output weights over their biases, for states over a row of ones, and whether no score can leave the range of ``exp``."""
+    both = np.concatenate([p["cls"], p["cls_b"][None]]), np.concatenate([p["out"], p["out_b"][:, None]], axis=1)
+    return both, all(float(np.abs(x).sum(axis=-2).max(initial=0)) < EXP_RANGE for x in both)
+
+
+def _exp(scores: np.ndarray, small: bool) -> np.ndarray:
+    """In place, up to a factor for each column where scores are not ``small``."""
+    if not small:
+        scores -= scores.max(axis=0)
+    return np.exp(scores, out=scores)
+
+
+def _softmax_error(scores: np.ndarray, wanted: np.ndarray, n: np.float32, small: bool) -> None:
+    """Scores by column become (softmax - one at ``wanted``) / ``n``, in place."""
+    _exp(scores, small)
+    scores *= 1 / (n * scores.sum(axis=0))
+    scores[wanted, np.arange(len(wanted))] -= 1 / n
 
 
 def train_on_all(training: DataFrame, model: Model) -> None:
     """One pass over every row of ``training`` in the tasks, from the model's parameters; the mean of theirs follows."""
-    fixed = {k: v for k, v in model.__dict__.items() if k != "params"}
+    fixed = {k: v for k, v in model.parts().items() if k not in ("params", "more")}
     shared = training.sparkSession.sparkContext.broadcast(fixed)
 
     def work(batches: Iterator[pa.RecordBatch], params: dict) -> tuple[dict, float]:
@@ -319,49 +471,50 @@ def score_documents(model: Model, docs: list[np.ndarray]) -> np.ndarray:
     steps = np.empty(starts[-1], np.int32)
     for k, i in enumerate(order):
         steps[starts[: sizes[k]] + k] = docs[i]
-    p, h = model.params, np.zeros((len(docs), HIDDEN), np.float32)
-    prior = np.full(len(docs), model.head.get(END, -1), np.int32)
-    table = p["embed"] @ p["wx"] + p["b"]
-    held, at = [], 0
-    for t in range(len(active)):
-        n = active[t]
-        gx, gh = table[model.inputs(prior[:n])], h[:n] @ p["wh"]
-        zr = _sigmoid(gx[:, : 2 * HIDDEN] + gh[:, : 2 * HIDDEN])
-        z = zr[:, :HIDDEN]
-        new = np.tanh(gx[:, 2 * HIDDEN :] + zr[:, HIDDEN:] * gh[:, 2 * HIDDEN :])
-        h = new + z * (h[:n] - new)
-        ids = steps[starts[t] : starts[t + 1]]
-        held.append(h)
-        prior = ids
-        if starts[t + 1] - starts[at] >= 65_536 or t == len(active) - 1:
-            logs = log_probs(model, np.concatenate(held), steps[starts[at] : starts[t + 1]])
-            places = np.concatenate([np.arange(active[s]) for s in range(at, t + 1)])
-            out += np.bincount(places, weights=logs, minlength=len(docs))
-            held, at = [], t + 1
+    p, h, (wx, wh, b) = model.params, np.zeros((HIDDEN, len(docs)), np.float32), _gates(model.params)
+    # A step's inputs are the tokens of the step before; the first are ends.
+    inputs = model.inputs(np.concatenate([np.full(len(docs), model.head.get(END, -1), np.int32), steps]))
+    before, at = starts[:1].tolist() + (starts[:-1] + len(docs)).tolist(), 0
+    while at < len(active):
+        # Steps of about SCORED_TOKENS tokens, one at least.
+        end = max(at + 1, int(np.searchsorted(starts, starts[at] + SCORED_TOKENS, side="right")) - 1)
+        own = np.concatenate([inputs[before[t] : before[t] + active[t]] for t in range(at, end)])
+        gx = np.matmul(wx, p["embed"][own].T, out=_columns(3 * HIDDEN, len(own)))
+        gx += b
+        states, offsets = _columns(HIDDEN + 1, len(own)), (starts[at : end + 1] - starts[at]).tolist()
+        states[HIDDEN] = 1
+        for a, z in zip(offsets, offsets[1:]):
+            last, h = h[:, : z - a], states[:HIDDEN, a:z]
+            zr, n = np.empty((2 * HIDDEN, z - a), np.float32), np.empty((HIDDEN, z - a), np.float32)
+            gru_step(gx[:, a:z], wh @ last, last, zr, n, h)
+        logs = log_probs(model, states, steps[starts[at] : starts[end]])
+        places = np.concatenate([np.arange(active[t]) for t in range(at, end)])
+        out += np.bincount(places, weights=logs, minlength=len(docs))
+        at = end
     result = np.empty(len(docs))
     result[order] = out
     return result
 
 
-SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, n_head long, base_head double, "
+SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, n_near long, base_near double, "
           "net double, tail_tokens array<binary>, tail_counts array<int>")
 
 
 def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = Model(**shared.value)
-        spread = model.total + 0.5 * (model.distinct + 1)
-        base = np.log10((model.counts + 0.5) / spread) if spread and len(model.counts) else np.zeros(0)
+        base, share = model.known_logs()
 
         def flush():
-            nets = score_documents(model, [r[3] for r in rows]) / np.log(10)
+            nets = score_documents(model, [model._ids[r[3]] for r in rows]) / np.log(10)
             n = [len(r[3]) for r in rows]
-            head = [r[3][r[3] >= 0] for r in rows]
+            known = [r[3][r[3] >= 0] for r in rows]
+            nets += [float(share[x].sum()) for x in known]
             tails = [r[4] for r in rows]
             batch = pa.RecordBatch.from_arrays([
                 pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                pa.array([r[2] for r in rows], pa.bool_()), pa.array(n, pa.int64()), pa.array([len(x) for x in head], pa.int64()),
-                pa.array([float(base[x].sum()) for x in head], pa.float64()), pa.array(nets, pa.float64()),
+                pa.array([r[2] for r in rows], pa.bool_()), pa.array(n, pa.int64()), pa.array([len(x) for x in known], pa.int64()),
+                pa.array([float(base[x].sum()) for x in known], pa.float64()), pa.array(nets, pa.float64()),
                 pa.array([list(x) for x in tails], pa.list_(pa.binary())), pa.array([list(x.values()) for x in tails], pa.list_(pa.int32())),
             ], names=[x.split()[0] for x in SCORED.split(", ")])
             rows.clear()
@@ -371,10 +524,10 @@ def _scorer(shared):
         for batch in batches:
             for row, doc_id, out, text in zip(*(batch.column(i) for i in range(4))):
                 tokens = byte_tokens(text.as_py())
-                ids = model.ids(tokens)
-                tail = Counter(t for t, i in zip(tokens, ids.tolist()) if i < 0)
-                rows.append((row.as_py(), doc_id.as_py(), out.as_py(), ids, tail))
-                size += len(ids)
+                places = model.places(tokens)
+                tail = Counter(compress(tokens, (places < 0).tolist()))
+                rows.append((row.as_py(), doc_id.as_py(), out.as_py(), places, tail))
+                size += len(places)
                 if size >= BLOCK_TOKENS:
                     yield flush()
                     size = 0
@@ -399,13 +552,13 @@ def score_corpus(docs: DataFrame) -> DataFrame:
             size += len(texts[-1])
     train(model, texts)
     train_on_all(training, model)
-    shared = spark.sparkContext.broadcast(dict(model.__dict__))
+    shared = spark.sparkContext.broadcast(model.parts())
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
     scored = materialize(rows.mapInArrow(_scorer(shared), SCORED), "network-scores")
     spread = float(model.total + 0.5 * (model.distinct + 1))
     tail = scored.select("row", F.explode(F.arrays_zip("tail_tokens", "tail_counts")).alias("t")).select(
         "row", F.col("t.tail_tokens").alias("token"), F.col("t.tail_counts").alias("k"))
-    met = tail.join(counts, "token", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    met = tail.join(counts.hint("shuffle_hash"), "token", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     totals, unseen = (F.array(*(F.lit(float(x)) for x in a)) for a in (model.look_totals, model.look_unseen))
     place = look_column(F.col("token"))
     gap = F.get(unseen, place)
@@ -416,8 +569,8 @@ def score_corpus(docs: DataFrame) -> DataFrame:
     )
     zero = F.lit(0.0)
     return scored.drop("tail_tokens", "tail_counts").join(sums, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_head") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base_head") + F.coalesce("base", zero)).alias("base_score"),
+        "doc_id", "held_out", "n_tokens", (F.col("n_near") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base_near") + F.coalesce("base", zero)).alias("base_score"),
         (F.col("net") + F.coalesce("own", zero)).alias("score"),
     )
 

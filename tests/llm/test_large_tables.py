@@ -80,3 +80,30 @@ def test_descent_passes_over_every_token(monkeypatch, lanes):
     docs = [np.array([1, 2] * (i % 9) + [1, 0], np.int32) for i in range(101)]
     language_model.Descent(model, 0.01).learn([*docs, docs[0]], 1, lanes)
     assert sorted(seen) == sorted(np.concatenate([*docs, docs[0]]).tolist())
+
+
+def test_counts_beyond_the_head_give_the_same_scores_in_tasks_and_in_the_shuffle(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i * k % 37}" for k in range(1, 30)) + f" only{i}") for i in range(60)] + [(None, None), (61, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(language_model, "HEAD", 12)
+    monkeypatch.setattr(language_model, "START_TOKENS", 0)
+    found = []
+    for more in (0, 9, 100_000):
+        monkeypatch.setattr(language_model, "MORE", more)
+        found.append(language_model.score_corpus(docs).toPandas().sort_values(["doc_id", "n_tokens"]))
+    for other in found[1:]:
+        assert list(other["n_known"]) == list(found[0]["n_known"])
+        assert np.allclose(other["base_score"], found[0]["base_score"]) and np.allclose(other["score"], found[0]["score"])
+
+
+def test_scores_beyond_the_range_of_exp_are_shifted():
+    model = language_model.Model({b"": 0, b"a": 1, b"b": 2}, np.array([5.0, 4, 3]), 12, 3, np.zeros(3))
+    model.params = language_model.init_params(model)
+    docs = [np.array([1, 2, 1, 0], np.int32), np.array([2, -1, 0], np.int32)]
+    plain = language_model.score_documents(model, docs)
+    for k in ("cls_b", "out_b"):
+        model.params[k] += 500
+    assert np.allclose(language_model.score_documents(model, docs), plain, atol=1e-2)
+    descent = language_model.Descent(model, 0.01)
+    descent.learn(docs * 20, 1, 4)
+    assert all(np.isfinite(x).all() for x in model.params.values())
