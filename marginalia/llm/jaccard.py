@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from marginalia.llm.common import bounded_sample, byte_tokens
 from marginalia.llm.components import connected_components, merged_components
-from marginalia.session import materialize
+from marginalia.session import batches_of, materialize
 
 NGRAM = 3
 THRESHOLD = 90  # of 100
@@ -57,6 +57,7 @@ COUNTER_BITS = 27  # slots of the mark counters
 COUNTED_MARKS = 1 << 22  # beyond so many the counters would fill, and marks meet in slices of the hash order
 SLICE_MARKS = 1 << 20
 BATCH_ROWS = 1_024  # rows described at a time
+BATCH_BYTES = 4 << 20  # of texts or marks that go to a task's Python worker at once
 SKETCH_WORDS = 8  # of 64 bits
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 
@@ -288,7 +289,7 @@ def _keep_repeated(table, bits: int):
 def _sliced(bits: int):
     """Marks packed by slice (their first ``bits`` bits): the next 32 bits, and the row as a block and a 16-bit place in it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, BATCH_ROWS) for b in batches for at in range(0, b.num_rows, BATCH_ROWS)):
             rows, lists = batch.column(0).to_numpy(), batch.column(1)
             flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             row = np.repeat(rows, lists.value_lengths().to_numpy(zero_copy_only=False))
@@ -346,7 +347,8 @@ def verify(pairs: DataFrame, docs: DataFrame, *, n: int = NGRAM, threshold: int
     if needed.count() <= BROADCAST_IDS:
         needed = F.broadcast(needed)
     texts = docs.join(needed, docs["doc_id"] == needed["id"], "left_semi")
-    pieces = materialize(texts.mapInArrow(_fragments(n), "id long, part int, held array<long>"), "fragments")
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        pieces = materialize(texts.mapInArrow(_fragments(n), "id long, part int, held array<long>"), "fragments")
     left = pieces.select(F.col("id").alias("u"), "part", F.col("held").alias("a"))
     right = pieces.select(F.col("id").alias("v"), "part", F.col("held").alias("b"))
     # A hub's side repeats for all its pairs; the join splits it when it is large.
@@ -370,7 +372,8 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     common = docs.sparkSession.sparkContext.broadcast(common_ngrams(docs, n))
     fields = "doc_id long, n long, same binary, marks array<long>, " + ", ".join(f"{c} long" for c in [*SKETCH, "row"])
-    described = materialize(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_describe(n, threshold, common), fields), "ngram-sets")
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        described = materialize(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_describe(n, threshold, common), fields), "ngram-sets")
     usable = described.where("n > 0 and doc_id is not null")
     classes = materialize(usable.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "set-classes")
     named = classes.select("same", F.col("rep").alias("doc_id"))
@@ -386,7 +389,8 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
         kept = reps.select(F.col("doc_id").alias("id"), "n", "marks").mapInArrow(_keep_repeated(slots, COUNTER_BITS), "id long, n long, marks array<long>")
         marks = kept.select("id", "n", F.explode("marks").alias("mark"))
     else:
-        marks = materialize(repeated_by_slice(reps, held), "repeated-marks")
+        with batches_of(docs.sparkSession, BATCH_BYTES):
+            marks = materialize(repeated_by_slice(reps, held), "repeated-marks")
     shared = marks.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("mark")
     members = materialize(marks.join(shared, "mark").distinct(), "fragment-members")
     sketches = materialize(

@@ -8,11 +8,14 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def build_session(
@@ -76,6 +79,21 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """What is run inside gives Python workers Arrow batches of about ``size`` bytes at most.
+
+    Spark's own bound is a number of rows and 64 MB: a batch of whole texts would be held that large by
+    the JVM, outside its heap, and by the worker, in every task.
+    """
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers, once per Spark context."""
     context = spark.sparkContext

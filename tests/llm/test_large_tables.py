@@ -1,6 +1,9 @@
 """Steps whose cost has to stay in proportion to the rows."""
 
+import tempfile
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marginalia.llm import averaging, jaccard, language_model, secrets
@@ -107,3 +110,35 @@ def test_scores_beyond_the_range_of_exp_are_shifted():
     descent = language_model.Descent(model, 0.01)
     descent.learn(docs * 20, 1, 4)
     assert all(np.isfinite(x).all() for x in model.params.values())
+
+
+def test_tasks_of_the_similarity_join_are_given_small_batches(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"w{i} " * 400) for i in range(2_000)], "doc_id long, text string").coalesce(1)
+    folder, describe, setting = tempfile.mkdtemp(), jaccard._describe, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def noting(*args):
+        run = describe(*args)
+
+        def inner(batches):
+            def seen():
+                for b in batches:
+                    with open(f"{folder}/sizes", "a") as f:
+                        f.write(f"{b.nbytes}\n")
+                    yield b
+
+            return run(seen())
+
+        return inner
+
+    monkeypatch.setattr(jaccard, "_describe", noting)
+    monkeypatch.setattr(jaccard, "BATCH_BYTES", 1 << 17)
+    before = spark.conf.get(setting)
+    assert jaccard.similar_components(docs).count() == 2_000 and spark.conf.get(setting) == before
+    sizes = [int(x) for x in open(f"{folder}/sizes")]
+    assert sum(sizes) > 3_000_000 and max(sizes) < 300_000
+
+
+def test_marks_are_packed_for_a_bounded_number_of_rows():
+    marks = pa.array([[i * 7919 * 2**30, 5] for i in range(5_000)], pa.list_(pa.int64()))
+    packed = list(jaccard._sliced(6)(iter([pa.RecordBatch.from_arrays([pa.array(range(5_000)), marks], names=["row", "marks"])])))
+    assert len(packed) == 5 and sum(len(x.as_py()) for b in packed for x in b.column(3)) == 2 * 2 * 5_000
