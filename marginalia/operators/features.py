@@ -19,6 +19,8 @@ DEFAULT_NGRAMS = (1, 2)
 # Hash slots that terms are counted in before they are counted as text: at most so many rows
 # of 16 bytes leave a task, and at most so many long values are broadcast.
 SLOTS = 1 << 20
+# Words that n-grams are made of, for each term wanted; beyond, so many words are equal that they exclude little.
+WORDS_KEPT = 4
 # Text of a task that counts all n-grams of its documents: some ten counters to each word.
 COUNTED_BYTES = 8 << 20
 
@@ -40,13 +42,41 @@ def _one_per_row(docs: DataFrame, terms: str | Column = "terms") -> DataFrame:
 def vocabulary_topk(
     docs: DataFrame, k: int = DEFAULT_FEATURES, *, text: str = "text", ngram_range=DEFAULT_NGRAMS
 ) -> DataFrame:
-    """The ``k`` most frequent terms of the corpus; equal counts go by term."""
+    """The ``k`` most frequent terms of the corpus; equal counts go by term.
+
+    An n-gram is no more frequent than any of its words. So where single words are terms, the k-th word's count
+    is a level that no term of the result is under, and longer terms are made and counted only of words that reach it.
+    """
+    low, high = ngram_range
+    count = F.count(F.lit(1))
+    if low == 1 and high > 1:
+        words = _one_per_row(with_terms(docs.select(text), text, (1, 1)).select("terms"))
+        frequent = most_frequent(words, k, count, ties=True)
+        if k <= frequent.count() <= WORDS_KEPT * k:
+            longer = [_counted_ngrams(docs, n, frequent, text) for n in range(2, high + 1)]
+            for counted in longer:
+                frequent = frequent.unionByName(counted)
+            return materialize(frequent.orderBy(F.desc("term_count"), "term").limit(k), "frequent-terms")
     terms = _one_per_row(with_terms(docs.select(text), text, ngram_range).select("terms"))
-    return most_frequent(terms, k, F.count(F.lit(1)))
+    return most_frequent(terms, k, count)
+
+
+def _counted_ngrams(docs: DataFrame, n: int, words: DataFrame, text: str) -> DataFrame:
+    """Counts of the n-grams whose words are all in ``words``."""
+    names = [f"__{i}" for i in range(n)]
+    rows = with_terms(docs.select(text), text, (1, 1)).select("terms")
+    length = F.greatest(F.size("terms") - (n - 1), F.lit(0))
+    placed = F.arrays_zip(*[F.slice("terms", i + 1, length).alias(name) for i, name in enumerate(names)])
+    rows = _one_per_row(rows, placed).select(*[F.col("term")[name].alias(name) for name in names])
+    for name in names:
+        rows = rows.join(F.broadcast(words.select(F.col("term").alias(name))), name, "left_semi")
+    counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("term_count"))
+    return counted.select(F.concat_ws(" ", *names).alias("term"), "term_count")
 
 
-def most_frequent(rows: DataFrame, k: int, count: Column, *others: Column, slots: int = SLOTS) -> DataFrame:
-    """The ``k`` terms of greatest ``count`` over ``rows``, with the ``others`` aggregated beside it.
+def most_frequent(rows: DataFrame, k: int, count: Column, *others: Column, slots: int = SLOTS, ties: bool = False) -> DataFrame:
+    """The ``k`` terms of greatest ``count`` over ``rows``, with the ``others`` aggregated beside it;
+    with ``ties`` also those that equal the last.
 
     Rare terms never move as text. Terms are first counted by hash slot, and a slot's count is at
     least that of each of its terms. Only terms of slots that reach a level are counted one by one; if the
@@ -64,10 +94,12 @@ def most_frequent(rows: DataFrame, k: int, count: Column, *others: Column, slots
         likely = bounds.where(F.col("__bound") >= level)
         counted = rows.join(F.broadcast(likely), slot == F.col("__slot"), "left_semi") if level else rows
         counted = counted.groupBy("term").agg(count.alias("term_count"), *others)
+        if ties:
+            counted = materialize(counted, "likely-terms")
         top = materialize(counted.orderBy(F.desc("term_count"), "term").limit(k), "frequent-terms")
         last = top.agg(F.count(F.lit(1)).alias("n"), F.min("term_count").alias("least")).first()
         if not level or (last["n"] == k and last["least"] >= level):
-            return top
+            return counted.where(F.col("term_count") >= last["least"]) if ties and last["n"] == k else top
         level = last["least"] if last["n"] == k else 0
 
 
