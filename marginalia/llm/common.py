@@ -54,3 +54,10 @@ def process_cache() -> dict:
     import types
 
     return sys.modules.setdefault("_marginalia_process_cache", types.ModuleType("cache")).__dict__
+
+
+def drop_process_cache() -> None:
+    """Let go of tables that earlier operators left in this worker, which Spark uses again for other stages."""
+    cache = process_cache()
+    for key in [k for k in cache if isinstance(k, tuple)]:
+        del cache[key]

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import bounded_sample, byte_tokens
+from marginalia.llm.common import bounded_sample, byte_tokens, drop_process_cache
 from marginalia.llm.components import connected_components, merged_components
 from marginalia.session import batches_of, materialize
 
@@ -58,6 +58,7 @@ COUNTED_MARKS = 1 << 22  # beyond so many the counters would fill, and marks mee
 SLICE_MARKS = 1 << 20
 BATCH_ROWS = 1_024  # rows described at a time
 BATCH_BYTES = 4 << 20  # of texts or marks that go to a task's Python worker at once
+KEPT_WORDS = 50_000
 SKETCH_WORDS = 8  # of 64 bits
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 
@@ -77,7 +78,7 @@ class _Words(dict):
     """64-bit hashes of words, kept for a while."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) >= KEPT_WORDS:
             self.clear()
         value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return value
@@ -184,6 +185,7 @@ def common_ngrams(docs: DataFrame, n: int) -> np.ndarray:
 
 def _describe(n: int, threshold: int, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_process_cache()
         known = _Words()
         for batch in (b.slice(at, BATCH_ROWS) for b in batches for at in range(0, b.num_rows, BATCH_ROWS)):
             ids, sizes, sets, marks, sketches = batch.column(0).to_pylist(), [], [], [], []
@@ -208,6 +210,7 @@ def _describe(n: int, threshold: int, common):
 
 def _fragments(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_process_cache()
         known = _Words()
         for batch in (b.slice(at, BATCH_ROWS) for b in batches for at in range(0, b.num_rows, BATCH_ROWS)):
             ids, parts, held = [], [], []

@@ -29,10 +29,12 @@ from pyspark.sql import Window
 
 from marginalia.llm import dac
 from marginalia.llm.common import process_cache
+from marginalia.session import batches_of
 
 SEGMENT_IDS = 1 << 16
 CHUNK_BITS = 8
 CACHE = 1_000_000
+BATCH_BYTES, BATCH_CHARS = 4 << 20, 1_000_000  # of texts that go to a Python worker, and are encoded, at once
 LEVEL = "n long, chunks binary, bitmap binary, ranks binary"
 SEGMENTS = f"part int, segment int, start_in_part long, n_ids long, doc_ids array<long>, n_tokens array<long>, levels array<struct<{LEVEL.replace(' ', ':').replace(',:', ',')}>>"
 
@@ -117,7 +119,7 @@ def encoder_of(path: str) -> Encoder:
     return cache["encoder", path]
 
 
-def _batches(rows: Iterator[pa.RecordBatch], chars: int = 4_000_000) -> Iterator[tuple[list, list[str]]]:
+def _batches(rows: Iterator[pa.RecordBatch], chars: int = BATCH_CHARS) -> Iterator[tuple[list, list[str]]]:
     """(ids, texts) in order, cut where the texts reach ``chars``."""
     ids, texts, size = [], [], 0
     for batch in rows:
@@ -172,7 +174,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, *, end_id: int, par
     placed = rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
     fields = SEGMENTS.split(", ", 1)[1]
     segments = placed.select("doc_id", "text").mapInArrow(_writer(tokenizer, end_id), fields)
-    segments.withColumn("part", F.spark_partition_id()).write.parquet(path)
+    with batches_of(spark, BATCH_BYTES):
+        segments.withColumn("part", F.spark_partition_id()).write.parquet(path)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:

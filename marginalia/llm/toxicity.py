@@ -31,12 +31,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.session import materialize
+from marginalia.llm.common import drop_process_cache
+from marginalia.session import batches_of, materialize
 
 SAMPLE = 8_000
 FOLDS = 3
@@ -47,6 +47,7 @@ ODDS_LIMIT = 12.0
 MIN_PRECISION = 0.5
 MAX_FALSE = 0.05
 CELLS = 1_000  # cells of log-odds per unit
+BATCH_BYTES = 4 << 20  # of texts that go to a Python worker at once
 # Weak labels of the earlier categories among texts labelled toxic.
 CATEGORIES = {
     "insult": frozenset(("idiot", "moron", "clown", "loser", "scum", "fool", "imbecile", "jerk", "dumb")),
@@ -212,18 +213,21 @@ def best_threshold(cells: dict[int, tuple[int, int]]) -> tuple[float, dict[str,
 
 def held_out_cells(docs: DataFrame, known: DataFrame, others: list[Chain]) -> dict[int, tuple[int, int]]:
     """Clean and toxic rows by cell of log-odds, over all labelled rows of ``docs``, each by the chain of its fold."""
-    @F.pandas_udf("int")
-    def cell(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("int")
+    def cell(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        drop_process_cache()
         for batch in texts:
             # One text's features at a time: those of a whole batch would fill the worker.
-            yield pd.Series([int(np.floor(others[text_fold(f)].odds(f)[-1] * CELLS)) for f in map(features, batch)], dtype="int32")
+            found = (features(t.as_py()) for t in batch)
+            yield pa.array([int(np.floor(others[text_fold(f)].odds(f)[-1] * CELLS)) for f in found], pa.int32())
 
     scored = docs.where("doc_id is not null").select("doc_id", cell("text").alias("cell"))
     # Counted first, so that an id with many rows is no hot key of the join.
     met = scored.groupBy("doc_id", "cell").agg(F.count("*").alias("n")).join(known, "doc_id")
     seen = met.groupBy("cell").agg(
         F.sum(F.when(F.col("toxic") > 0, 0).otherwise(F.col("n"))).alias("clean"), F.sum(F.when(F.col("toxic") > 0, F.col("n")).otherwise(0)).alias("toxic"))
-    return {r.cell: (r.clean, r.toxic) for r in seen.collect()}
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        return {r.cell: (r.clean, r.toxic) for r in seen.collect()}
 
 
 def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Chain:
@@ -240,15 +244,18 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Chain:
 
     weak_names = list(CATEGORIES)
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = (batch.iloc[at : at + EMIT_ROWS] for batch in batches for at in range(0, len(batch), EMIT_ROWS))
-        for batch in parts:
-            found = [features(t) for t in batch["text"]]
-            weak = [[y > 0 and not CATEGORIES[name].isdisjoint(f) for name in weak_names] for y, f in zip(batch["toxic"], found)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "toxic": (batch["toxic"] > 0).to_numpy(), "weak": weak, "found": [sorted(f) for f in found],
-                                "fold": [text_fold(f) for f in found]})
-
-    data = rows.mapInPandas(extract, "doc_id long, toxic boolean, weak array<boolean>, found array<string>, fold int")
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(at, EMIT_ROWS) for b in batches for at in range(0, b.num_rows, EMIT_ROWS)):
+            toxic = [y > 0 for y in batch.column("toxic").to_pylist()]
+            found = [features(t.as_py()) for t in batch.column("text")]
+            weak = [[y and not CATEGORIES[name].isdisjoint(f) for name in weak_names] for y, f in zip(toxic, found)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").cast(pa.int64()), pa.array(toxic, pa.bool_()), pa.array(weak, pa.list_(pa.bool_())),
+                 pa.array([sorted(f) for f in found], pa.list_(pa.string())), pa.array([text_fold(f) for f in found], pa.int32())],
+                names=["doc_id", "toxic", "weak", "found", "fold"],
+            )
+
+    data = rows.mapInArrow(extract, "doc_id long, toxic boolean, weak array<boolean>, found array<string>, fold int")
     # Sorted by Spark: the driver would hold the features twice.
     data = data.orderBy("doc_id").toArrow()
     toxic = data["toxic"].to_numpy().astype(bool)
@@ -268,10 +275,11 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Chain:
 
 def scores(text: Column, chain: Chain) -> Column:
     """Array of the chain's probabilities, in the order of its categories."""
-    @F.pandas_udf("array<double>")
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        drop_process_cache()
         for batch in texts:
-            yield pd.Series([chain.probabilities(t) for t in batch])
+            yield pa.array([chain.probabilities(t.as_py()) for t in batch], pa.list_(pa.float64()))
 
     return score(text)
 
@@ -284,5 +292,7 @@ def with_probabilities(docs: DataFrame, chain: Chain) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, chain: Chain) -> DataFrame:
-    """The rows that are not toxic, columns as they were."""
-    return docs.where(~F.coalesce(scores(F.col("text"), chain)[len(chain.names) - 1] >= chain.threshold, F.lit(False)))
+    """The rows that are not toxic, columns as they were. They are written here, while the size of batches is bounded."""
+    kept = docs.where(~F.coalesce(scores(F.col("text"), chain)[len(chain.names) - 1] >= chain.threshold, F.lit(False)))
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        return materialize(kept, "clean-documents")
