@@ -16,8 +16,9 @@ pass over ``START_TOKENS`` tokens at most on the driver only gives the tasks a c
 trains on all its training documents, in blocks of ``TRAIN_BLOCK`` tokens, and the mean of
 their weights by tokens is the model. So weights, like counts, classes and shares, are of all training documents.
 
+Texts are taken apart twice, for the counts and then for ids of two bytes a token, which training and scoring read.
 Scoring runs in tasks over whole documents: texts advance together, the state of each carried
-across windows to its end. The counts of the ``MORE`` next tokens go along. All other tokens go to one shuffle on the token, each once per
+across windows to its end. The counts of the ``MORE`` next tokens meet the texts with the ids. All other tokens go to one shuffle on the token, each once per
 document, to meet their counts; no token there is frequent, so no key is hot.
 
 Lanes and texts that advance together are columns of all arrays, so numpy works along them, and what a step
@@ -30,20 +31,19 @@ token is unseen. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field, fields
 from functools import cached_property
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.averaging import averaged_round
 from marginalia.llm.common import bounded_sample, byte_tokens
-from marginalia.session import materialize
+from marginalia.session import batches_of, materialize
 
 END = b""  # no token of a text is empty
 HEAD = 32_768
@@ -61,7 +61,11 @@ BLOCK_TOKENS = 3_000_000
 SCORED_TOKENS = 16_384  # states held at a time
 PIECE = 512  # of which so many meet the classes at a time
 EXP_RANGE = 80  # scores up to it need no shift before ``exp``
+SCORED_LANES = 1_024  # texts that advance together
+SCORED_ROWS = 256
 COUNTER_LIMIT = 400_000
+BATCH_BYTES = 4 << 20  # of texts that go to a task's Python worker at once
+STORED = np.dtype("<i2" if HEAD <= 1 << 15 else "<i4")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -75,23 +79,46 @@ def look(token: bytes) -> int:
     return size * 4 + 2 * (not token.isascii()) + (not (97 <= last <= 122 or last > 127))
 
 
+def text_tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of all texts, as ``byte_tokens`` has them, and how many are each text's."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = pc.ascii_split_whitespace(texts)
+    # An empty text has one empty piece.
+    some = pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0
+    flat = words.filter(pa.array(some)).flatten()
+    return flat.cast(pa.binary()), np.where(some, words.value_lengths().to_numpy(zero_copy_only=False), 0).astype(np.int64)
+
+
+def looks(tokens: pa.Array) -> np.ndarray:
+    """``look`` of each token of a binary array."""
+    if not len(tokens):
+        return np.zeros(0, np.int64)
+    _, offsets, data = tokens.buffers()
+    at = np.frombuffer(offsets, np.int32)[tokens.offset : tokens.offset + len(tokens) + 1]
+    high = np.frombuffer(data, np.uint8)[at[0] : at[-1]]
+    at, last = at - at[0], high[at[1:] - at[0] - 1]
+    beyond = np.concatenate([[0], np.cumsum(high > 127)])[at]
+    letter = ((last >= 97) & (last <= 122)) | (last > 127)
+    return np.minimum(np.diff(at) // 4, 4) * 4 + 2 * (np.diff(beyond) > 0) + ~letter
+
+
 def token_counts(docs: DataFrame) -> DataFrame:
     """(token, c): counts of all tokens of all rows, ends included, added up in the tasks first."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush():
-            own = list(counts.items())
-            counts.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in own], pa.binary()), pa.array([v for _, v in own], pa.int64())], names=["token", "c"])
-
-        counts: Counter = Counter()
+        held, size, rows = [], 0, 0
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(byte_tokens(text.as_py()))
-                counts[END] += 1
-                if len(counts) > COUNTER_LIMIT:
-                    yield flush()
-        yield flush()
+            found = pc.value_counts(text_tokens(batch.column(0))[0])
+            held.append(pa.table([found.field(0), found.field(1)], names=["token", "c"]))
+            size, rows = size + len(found), rows + batch.num_rows
+            if size > COUNTER_LIMIT:
+                held = [pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("c", "sum")]).rename_columns(["token", "c"])]
+                size = held[0].num_rows
+                if size > COUNTER_LIMIT // 2:
+                    yield from held[0].to_batches()
+                    held, size = [], 0
+        for rest in held:
+            yield from rest.to_batches()
+        yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([rows], pa.int64())], names=["token", "c"])
 
     return docs.select("text").mapInArrow(count, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
@@ -169,13 +196,25 @@ class Model:
         return self._ids[self.places(tokens)]
 
     def class_of(self, ids: np.ndarray) -> np.ndarray:
+        return self._classes[ids]
+
+    @cached_property
+    def _classes(self) -> np.ndarray:
+        """Class of each id; negative ids are at its end."""
+        ids = np.concatenate([np.arange(len(self.head)), np.arange(-LOOKS, 0)])
         band = self.soft_classes + (np.maximum(ids, 0) - self.soft) * BANDS // max(1, len(self.head) - self.soft)
         out = np.where(ids < self.soft, ids // CLASS_WORDS, np.minimum(band, self.soft_classes + BANDS - 1))
         return np.where(ids < 0, self.soft_classes + BANDS - 1 - ids, out)
 
     def inputs(self, ids: np.ndarray) -> np.ndarray:
         """Rows of the input embedding: soft words have their own, other tokens that of their class."""
-        return np.where((ids >= 0) & (ids < self.soft), ids, self.soft + self.class_of(ids))
+        return self._inputs[ids]
+
+    @cached_property
+    def _inputs(self) -> np.ndarray:
+        own = self.soft + self._classes
+        own[: self.soft] = np.arange(self.soft)
+        return own
 
 
 def build_model(counts: DataFrame) -> Model:
@@ -218,9 +257,9 @@ def init_params(model: Model, seed: int = 11) -> dict[str, np.ndarray]:
 
 
 def _gates(p: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights of input and state and biases, a row per gate sum; those of z and r halved, as ``gru_step`` takes them."""
-    half = np.repeat(np.array([0.5, 0.5, 1], np.float32), HIDDEN)[:, None]
-    return p["wx"].T * half, p["wh"].T * half, p["b"][:, None] * half
+    """Weights of input and state and biases, a row per gate sum; signs and factors as ``gru_step`` takes them."""
+    scale = np.repeat(np.array([-1, -1, 2], np.float32), HIDDEN)[:, None]
+    return p["wx"].T * scale, p["wh"].T * scale, p["b"][:, None] * scale
 
 
 def _frequent(counts: DataFrame, n: int) -> dict[bytes, int]:
@@ -245,12 +284,16 @@ def _columns(rows: int, n: int) -> np.ndarray:
 def gru_step(gx: np.ndarray, gh: np.ndarray, before: np.ndarray, zr: np.ndarray, n: np.ndarray, after: np.ndarray) -> None:
     """One step of all lanes, which are columns, from the gate sums of inputs and states; fills the last three."""
     np.add(gx[: 2 * HIDDEN], gh[: 2 * HIDDEN], out=zr)
-    np.tanh(zr, out=zr)  # the logistic function, of twice the sum
-    zr += 1
-    zr *= np.float32(0.5)
-    np.multiply(zr[HIDDEN:], gh[2 * HIDDEN :], out=n)
-    n += gx[2 * HIDDEN :]
-    np.tanh(n, out=n)
+    with np.errstate(over="ignore"):  # 1 / infinity is the 0 it stands for
+        np.exp(zr, out=zr)  # the logistic function, of the negative sum
+        zr += 1
+        np.divide(1, zr, out=zr)
+        np.multiply(zr[HIDDEN:], gh[2 * HIDDEN :], out=n)
+        n += gx[2 * HIDDEN :]
+        np.exp(n, out=n)  # the hyperbolic tangent, of twice the sum
+    n += 1
+    np.divide(-2, n, out=n)
+    n += 1
     np.subtract(before, n, out=after)
     after *= zr[:HIDDEN]
     after += n
@@ -334,7 +377,7 @@ class Descent:
             np.add(gx, b, out=gx)
             np.multiply(h, keep[t], out=befores[t])
             np.matmul(wh, befores[t], out=gh)
-            of_state[t] = gh[2 * HIDDEN :]
+            np.multiply(gh[2 * HIDDEN :], np.float32(0.5), out=of_state[t])
             h = states[:HIDDEN, t]
             gru_step(gx, gh, befores[t], zr[t], n[t], h)
         h = h.copy()
@@ -438,7 +481,7 @@ def _softmax_error(scores: np.ndarray, wanted: np.ndarray, n: np.float32, small:
 
 
 def train_on_all(training: DataFrame, model: Model) -> None:
-    """One pass over every row of ``training`` in the tasks, from the model's parameters; the mean of theirs follows."""
+    """One pass over every row of ``training`` (``ids``) in the tasks, from the model's parameters; the mean of theirs follows."""
     fixed = {k: v for k, v in model.parts().items() if k not in ("params", "more")}
     shared = training.sparkSession.sparkContext.broadcast(fixed)
 
@@ -446,31 +489,37 @@ def train_on_all(training: DataFrame, model: Model) -> None:
         own, docs, size, seen = Model(**shared.value, params=params), [], 0, 0
         descent = Descent(own, TASK_RATE)
         for batch in batches:
-            for text in batch.column(0):
-                docs.append(own.ids(byte_tokens(text.as_py())))
-                size += len(docs[-1])
+            for ids in _ids_held(batch.column(0)):
+                docs.append(ids)
+                size += len(ids)
                 if size >= TRAIN_BLOCK:
                     descent.learn(docs, 1, TASK_LANES)
                     docs, size, seen = [], 0, seen + size
         descent.learn(docs, 1, TASK_LANES)
         return params, seen + size
 
-    model.params = averaged_round(training.select("text"), model.params, work)
+    model.params = averaged_round(training.select("ids"), model.params, work)
 
 
 def score_documents(model: Model, docs: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each document (ids with the end), its state carried through."""
-    lengths = np.array([len(d) for d in docs])
-    order = np.argsort(-lengths, kind="stable")
-    out, sizes = np.zeros(len(docs)), lengths[order]
-    if not len(docs):
-        return out
+    order = np.argsort([-len(d) for d in docs], kind="stable")
+    out = np.zeros(len(docs))
+    for at in range(0, len(docs), SCORED_LANES):
+        own = order[at : at + SCORED_LANES]
+        out[own] = _score_together(model, [docs[i] for i in own])
+    return out
+
+
+def _score_together(model: Model, docs: list[np.ndarray]) -> np.ndarray:
+    """``score_documents`` of documents in falling order of length, so few that the cache holds a step of all."""
+    out, sizes = np.zeros(len(docs)), np.array([len(d) for d in docs])
     # Step t of all documents lies together, longest document first.
     active = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
     starts = np.concatenate([[0], np.cumsum(active)])
     steps = np.empty(starts[-1], np.int32)
-    for k, i in enumerate(order):
-        steps[starts[: sizes[k]] + k] = docs[i]
+    for k, ids in enumerate(docs):
+        steps[starts[: sizes[k]] + k] = ids
     p, h, (wx, wh, b) = model.params, np.zeros((HIDDEN, len(docs)), np.float32), _gates(model.params)
     # A step's inputs are the tokens of the step before; the first are ends.
     inputs = model.inputs(np.concatenate([np.full(len(docs), model.head.get(END, -1), np.int32), steps]))
@@ -491,46 +540,74 @@ def score_documents(model: Model, docs: list[np.ndarray]) -> np.ndarray:
         places = np.concatenate([np.arange(active[t]) for t in range(at, end)])
         out += np.bincount(places, weights=logs, minlength=len(docs))
         at = end
-    result = np.empty(len(docs))
-    result[order] = out
-    return result
+    return out
 
 
-SCORED = ("row long, doc_id long, held_out boolean, n_tokens long, n_near long, base_near double, "
-          "net double, tail_tokens array<binary>, tail_counts array<int>")
+PLACED = ("row long, doc_id long, held_out boolean, n_tokens long, n_near long, base_near double, near double, "
+          "ids binary, tail_tokens array<binary>, tail_counts array<int>")
+SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_near long, base_near double, net double"
 
 
-def _scorer(shared):
+def _placed(shared):
+    """Per text its ids, the logs of the tokens whose counts are at hand, and the other tokens with their numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = Model(**shared.value)
         base, share = model.known_logs()
+        known = pa.array([*model.head, *model.more], pa.binary())
+        ids_of, end = model._ids.astype(STORED), model.head.get(END, -1)
+        for batch in batches:
+            tokens, sizes = text_tokens(batch.column(3))
+            n, doc = len(sizes), np.repeat(np.arange(len(sizes)), sizes)
+            places = pc.index_in(tokens, value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)
+            near = places >= 0
+            far = tokens.filter(pa.array(~near)).dictionary_encode()
+            code, width = far.indices.to_numpy(zero_copy_only=False).astype(np.int64), max(1, len(far.dictionary))
+            ids = np.empty(len(doc) + n, STORED)
+            ends = np.cumsum(sizes + 1)
+            inner = np.ones(len(ids), bool)
+            inner[ends - 1] = False
+            own = ids_of[places]
+            own[~near] = -1 - looks(far.dictionary)[code]
+            ids[inner], ids[ends - 1] = own, end
+            # Each far token once per text.
+            pairs, times = np.unique(doc[~near] * width + code, return_counts=True)
+            cuts = pa.array(np.searchsorted(pairs, np.arange(n + 1) * width), pa.int32())
+            sums = [np.bincount(doc[near], table[places[near]], n) + (table[end] if end >= 0 else 0) for table in (base, share)]
+            offsets = np.concatenate([[0], ends * ids.itemsize]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([
+                *[batch.column(i) for i in range(3)], pa.array(sizes + 1, pa.int64()),
+                pa.array(np.bincount(doc[near], minlength=n) + (end >= 0), pa.int64()), *map(pa.array, sums),
+                pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(ids)]),
+                pa.ListArray.from_arrays(cuts, far.dictionary.take(pa.array(pairs % width))),
+                pa.ListArray.from_arrays(cuts, pa.array(times, pa.int32())),
+            ], names=[x.split()[0] for x in PLACED.split(", ")])
+
+    return run
+
+
+def _ids_held(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), STORED).astype(np.int32) for x in column]
+
+
+def _scorer(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = Model(**shared.value)
 
         def flush():
-            nets = score_documents(model, [model._ids[r[3]] for r in rows]) / np.log(10)
-            n = [len(r[3]) for r in rows]
-            known = [r[3][r[3] >= 0] for r in rows]
-            nets += [float(share[x].sum()) for x in known]
-            tails = [r[4] for r in rows]
-            batch = pa.RecordBatch.from_arrays([
-                pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                pa.array([r[2] for r in rows], pa.bool_()), pa.array(n, pa.int64()), pa.array([len(x) for x in known], pa.int64()),
-                pa.array([float(base[x].sum()) for x in known], pa.float64()), pa.array(nets, pa.float64()),
-                pa.array([list(x) for x in tails], pa.list_(pa.binary())), pa.array([list(x.values()) for x in tails], pa.list_(pa.int32())),
-            ], names=[x.split()[0] for x in SCORED.split(", ")])
-            rows.clear()
-            return batch
-
-        rows, size = [], 0
-        for batch in batches:
-            for row, doc_id, out, text in zip(*(batch.column(i) for i in range(4))):
-                tokens = byte_tokens(text.as_py())
-                places = model.places(tokens)
-                tail = Counter(compress(tokens, (places < 0).tolist()))
-                rows.append((row.as_py(), doc_id.as_py(), out.as_py(), places, tail))
-                size += len(places)
-                if size >= BLOCK_TOKENS:
-                    yield flush()
-                    size = 0
+            held = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+            nets = score_documents(model, docs) / np.log(10) + held.column("near").to_numpy()
+            rows.clear(), docs.clear()
+            names = [x.split()[0] for x in SCORED.split(", ")]
+            return pa.RecordBatch.from_arrays([*[held.column(x) for x in names[:-1]], pa.array(nets)], names=names)
+
+        rows, docs, size = [], [], 0
+        for batch in (b.slice(at, SCORED_ROWS) for b in batches for at in range(0, b.num_rows, SCORED_ROWS)):
+            docs += _ids_held(batch.column("ids"))
+            rows.append(batch.drop_columns(["ids"]))
+            size += sum(map(len, docs[len(docs) - batch.num_rows :]))
+            if size >= BLOCK_TOKENS:
+                yield flush()
+                size = 0
         if rows:
             yield flush()
 
@@ -542,7 +619,8 @@ def score_corpus(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
     training = docs.where(~F.col("held_out"))
-    counts = materialize(token_counts(training), "token-counts")
+    with batches_of(spark, BATCH_BYTES):
+        counts = materialize(token_counts(training), "token-counts")
     model = build_model(counts)
     sample = bounded_sample(training, "doc_id", START_DOCS).select("text")
     texts, size = [], 0
@@ -551,12 +629,15 @@ def score_corpus(docs: DataFrame) -> DataFrame:
             texts.append(model.ids(byte_tokens(row.text)))
             size += len(texts[-1])
     train(model, texts)
-    train_on_all(training, model)
-    shared = spark.sparkContext.broadcast(model.parts())
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
-    scored = materialize(rows.mapInArrow(_scorer(shared), SCORED), "network-scores")
+    with batches_of(spark, BATCH_BYTES):
+        placed = materialize(rows.mapInArrow(_placed(spark.sparkContext.broadcast(model.parts())), PLACED), "token-places")
+    train_on_all(placed.where(~F.col("held_out")), model)
+    shared = spark.sparkContext.broadcast({k: v for k, v in model.parts().items() if k != "more"})
+    own = placed.select("row", "doc_id", "held_out", "n_tokens", "n_near", "base_near", "near", "ids")
+    scored = materialize(own.mapInArrow(_scorer(shared), SCORED), "network-scores")
     spread = float(model.total + 0.5 * (model.distinct + 1))
-    tail = scored.select("row", F.explode(F.arrays_zip("tail_tokens", "tail_counts")).alias("t")).select(
+    tail = placed.select("row", F.explode(F.arrays_zip("tail_tokens", "tail_counts")).alias("t")).select(
         "row", F.col("t.tail_tokens").alias("token"), F.col("t.tail_counts").alias("k"))
     met = tail.join(counts.hint("shuffle_hash"), "token", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     totals, unseen = (F.array(*(F.lit(float(x)) for x in a)) for a in (model.look_totals, model.look_unseen))
@@ -568,7 +649,7 @@ def score_corpus(docs: DataFrame) -> DataFrame:
         F.sum(F.col("k") * F.log10((F.col("c") + 0.5) / spread)).alias("base"), F.sum(F.col("k") * share).alias("own"),
     )
     zero = F.lit(0.0)
-    return scored.drop("tail_tokens", "tail_counts").join(sums, "row", "left").select(
+    return scored.join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_near") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base_near") + F.coalesce("base", zero)).alias("base_score"),
         (F.col("net") + F.coalesce("own", zero)).alias("score"),
