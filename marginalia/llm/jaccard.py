@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from marginalia.llm.common import bounded_sample, byte_tokens, drop_process_cache
 from marginalia.llm.components import connected_components, merged_components
-from marginalia.session import batches_of, materialize
+from marginalia.session import batches_of, discard, materialize
 
 NGRAM = 3
 THRESHOLD = 90  # of 100
@@ -342,22 +342,27 @@ def _linked(overlap: Column, na: Column, nb: Column, threshold: int) -> Column:
 
 
 def verify(pairs: DataFrame, docs: DataFrame, *, n: int = NGRAM, threshold: int = THRESHOLD) -> DataFrame:
-    """(u, v): of the pairs (u, v, nu, nv) those that are similar enough. ``docs`` has one text per id.
+    """(u, v): of the pairs (u, v, nu, nv) those that are similar enough, stored. ``docs`` has one text per id.
 
     Only sets of documents in some pair are built. Overlaps are counted in each fragment and summed.
+    Each side moves the sets that it has in some pair.
     """
-    needed = materialize(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "paired-ids")
-    if needed.count() <= BROADCAST_IDS:
-        needed = F.broadcast(needed)
-    texts = docs.join(needed, docs["doc_id"] == needed["id"], "left_semi")
+    def known(side: DataFrame) -> DataFrame:
+        return F.broadcast(side) if side.count() <= BROADCAST_IDS else side
+
+    sides = [materialize(pairs.select(c).distinct(), "paired-ids") for c in "uv"]
+    needed = materialize(sides[0].unionAll(sides[1]).distinct().toDF("id"), "paired-ids")
+    texts = docs.join(known(needed), F.col("doc_id") == F.col("id"), "left_semi")
     with batches_of(docs.sparkSession, BATCH_BYTES):
         pieces = materialize(texts.mapInArrow(_fragments(n), "id long, part int, held array<long>"), "fragments")
-    left = pieces.select(F.col("id").alias("u"), "part", F.col("held").alias("a"))
-    right = pieces.select(F.col("id").alias("v"), "part", F.col("held").alias("b"))
+    left = pieces.select(F.col("id").alias("u"), "part", F.col("held").alias("a")).join(known(sides[0]), "u", "left_semi")
+    right = pieces.select(F.col("id").alias("v"), "part", F.col("held").alias("b")).join(known(sides[1]), "v", "left_semi")
     # A hub's side repeats for all its pairs; the join splits it when it is large.
     both = pairs.join(left, "u").join(right, ["v", "part"])
     counted = both.groupBy("u", "v", "nu", "nv").agg(F.sum(F.size(F.array_intersect("a", "b"))).alias("overlap"))
-    return counted.where(_linked(F.col("overlap"), F.col("nu"), F.col("nv"), threshold)).select("u", "v")
+    links = materialize(counted.where(_linked(F.col("overlap"), F.col("nu"), F.col("nv"), threshold)).select("u", "v"), "links")
+    discard(pieces, needed, *sides)
+    return links
 
 
 def _may_link(threshold: int) -> Column:
@@ -379,13 +384,18 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
         described = materialize(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_describe(n, threshold, common), fields), "ngram-sets")
     usable = described.where("n > 0 and doc_id is not null")
     classes = materialize(usable.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "set-classes")
-    named = classes.select("same", F.col("rep").alias("doc_id"))
-    # The classes are a few bytes a set, their rows some hundred marks: only beyond the bound are the rows moved.
-    few = named.count() <= BROADCAST_IDS
-    reps = usable.join(F.broadcast(named) if few else named, ["same", "doc_id"], "left_semi")
-    if not few:
+    names, stored = materialize(described.select("doc_id", "n", "same"), "set-names"), [described]
+    # Classes of several rows are a few bytes each, a set's marks some hundred: only beyond the bound are the rows moved.
+    copied = classes.where("rows > 1").select("same", "rep")
+    if copied.count() <= BROADCAST_IDS:
+        reps = usable.join(F.broadcast(copied), "same", "left").where("rep is null or rep = doc_id")
+    else:
+        named = classes.select("same", F.col("rep").alias("doc_id"))
         # Rows are numbered anew where they lie now, so that those of a block are together.
-        reps = materialize(reps.withColumn("row", F.monotonically_increasing_id()), "set-marks")
+        reps = usable.join(named, ["same", "doc_id"], "left_semi").withColumn("row", F.monotonically_increasing_id())
+        reps = materialize(reps, "set-marks")
+        discard(stored.pop())
+        stored.append(reps)
     held = reps.agg(F.sum(F.size("marks"))).first()[0] or 0
     if held <= COUNTED_MARKS:
         slots = docs.sparkSession.sparkContext.broadcast(repeated_marks(reps))
@@ -394,14 +404,16 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
     else:
         with batches_of(docs.sparkSession, BATCH_BYTES):
             marks = materialize(repeated_by_slice(reps, held), "repeated-marks")
+        stored.append(marks)
     shared = marks.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("mark")
     members = materialize(marks.join(shared, "mark").distinct(), "fragment-members")
     sketches = materialize(
         reps.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), *SKETCH),
         "sketches",
     )
+    discard(*stored)
     texts = docs.where("doc_id is not null")
-    if not described.groupBy("doc_id").count().where("count > 1").isEmpty():
+    if not names.groupBy("doc_id").count().where("count > 1").isEmpty():
         texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
 
     def sized(pairs: DataFrame) -> DataFrame:
@@ -411,7 +423,7 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
     hubs = members.groupBy("mark").agg(F.min(F.struct("id", "n")).alias("hub"))
     first = members.join(hubs, "mark").where("hub.id <> id").groupBy("id", "n").agg(F.min("hub").alias("hub"))
     pairs = materialize(sized(first.select(F.col("hub.id").alias("u"), F.col("id").alias("v"), F.col("hub.n").alias("nu"), F.col("n").alias("nv"))), "pairs")
-    links = materialize(verify(pairs, texts, n=n, threshold=threshold), "links")
+    links = verify(pairs, texts, n=n, threshold=threshold)
     tried, done, many = pairs.select("u", "v"), 0, FIRST_HUBS
     nodes = connected_components(links)
     while True:
@@ -435,18 +447,20 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
         )
         new = materialize(sized(new).join(tried, ["u", "v"], "left_anti"), "pairs")
         if not new.isEmpty():
-            found = materialize(verify(new, texts, n=n, threshold=threshold), "links")
+            found = verify(new, texts, n=n, threshold=threshold)
             tried = tried.unionAll(new.select("u", "v"))
             if not found.isEmpty():
                 nodes = merged_components(nodes, found)
+        discard(left)
         done, many = done + many, many * 4
-    return _result(described, classes, nodes)
+    discard(left, members, sketches)
+    return _result(names, classes, nodes)
 
 
-def _result(described: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+def _result(names: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     named = classes.join(nodes.withColumnRenamed("node", "rep"), "rep", "left")
     known = named.select("same", F.coalesce("component", "rep").alias("component_id"))
-    joined = described.select("doc_id", "n", "same").join(known, "same", "left")
+    joined = names.join(known, "same", "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
 
@@ -457,7 +471,9 @@ def keep_one(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRESHOLD) ->
     Rows with a null id stay, and so do different texts under one id that stays.
     """
     groups = similar_components(docs, n=n, threshold=threshold)
-    gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
+    gone = materialize(groups.where("component_id <> doc_id").select("doc_id").distinct(), "ids-that-go")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)  # no text is moved
     kept = docs.join(gone, "doc_id", "left_anti")
     repeated = groups.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
     if repeated.isEmpty():

@@ -9,13 +9,14 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(
@@ -73,25 +74,41 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
 
     Parquet rather than an RDD checkpoint, so that later readers still prune columns
     and the planner knows the real size. Survives the loss of any executor.
+    The shuffle files that the rows came from go as soon as the rows are written.
     """
     path = shared_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with _setting(df.sparkSession, CLEANUP_SETTING, "true"):
+        df.write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._marginalia_path = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these tables. No DataFrame that is still to be run may read them."""
+    for df in stored:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df._marginalia_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager
-def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def batches_of(spark: SparkSession, size: int) -> AbstractContextManager[None]:
     """What is run inside gives Python workers Arrow batches of about ``size`` bytes at most.
 
     Spark's own bound is a number of rows and 64 MB: a batch of whole texts would be held that large by
     the JVM, outside its heap, and by the worker, in every task.
     """
-    before = spark.conf.get(BATCH_SETTING)
-    spark.conf.set(BATCH_SETTING, str(size))
-    try:
-        yield
-    finally:
-        spark.conf.set(BATCH_SETTING, before)
+    return _setting(spark, BATCH_SETTING, str(size))
 
 
 def ship_package(spark: SparkSession) -> None:
