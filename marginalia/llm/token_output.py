@@ -33,7 +33,7 @@ from marginalia.session import batches_of
 
 SEGMENT_IDS = 1 << 16
 CHUNK_BITS = 8
-CACHE = 1_000_000
+CACHE = 200_000  # pieces; a million take 125 MB more in a worker and no less time
 BATCH_BYTES, BATCH_CHARS = 4 << 20, 1_000_000  # of texts that go to a Python worker, and are encoded, at once
 LEVEL = "n long, chunks binary, bitmap binary, ranks binary"
 SEGMENTS = f"part int, segment int, start_in_part long, n_ids long, doc_ids array<long>, n_tokens array<long>, levels array<struct<{LEVEL.replace(' ', ':').replace(',:', ',')}>>"

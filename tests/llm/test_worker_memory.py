@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 import pyarrow as pa
 
 from marginalia.llm import jaccard, token_output, toxicity
@@ -27,6 +28,14 @@ def test_encoded_batches_are_small():
     assert max(sum(map(len, own)) for _, own in got) <= 1_000_000 + 10_000
 
 
+def test_table_of_pieces_is_small():
+    encoder = token_output.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for at in range(0, 300_000, 25_000):
+        text = " ".join(f"{i:x}" for i in range(at, at + 25_000))
+        assert encoder.texts([text]) == [encoder.whole([text])[0].tobytes()]
+    assert 100_000 < len(encoder.known) <= 200_000
+
+
 def test_clean_documents_are_written_in_bounded_batches(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a clean text", None, "", "an idiot text"])], "doc_id long, text string")
     chain = toxicity.Chain(["toxic"], [toxicity.Link({"idiot": 9.0}, [], -3.0)], 0.5, {})
