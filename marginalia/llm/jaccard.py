@@ -11,20 +11,28 @@ passages) are left out of the cut wherever what is left fills more than ``d`` fr
 that is little else adds fragments of all its n-grams. So no link is lost, and a common passage alone makes
 no candidates.
 
+There are more fragments than differences, so linked sets share not one fragment but a number that
+follows from their sizes. A set with fewer repeated fragments than that has no partner and is
+dropped. Of the others each set leaves out its most frequent fragments, one less than
+the number: among those that two linked sets share, the rarest one stays on both sides. So a passage
+or a few n-grams that unlike documents have in common by chance, which grow faster than the documents,
+make no candidates where the rest of the set is its own.
+
 Equal sets are one node from the start. Within a fragment that many sets share, not all
-pairs are looked at: each set is compared with the smallest one it shares a fragment with
-(the hub). Pairs already connected need no comparison; fragments whose sets are all connected are
+pairs are looked at: each set is compared with one of the smallest sets of its fragments
+(the hub), that of most of them. Pairs already connected need no comparison; fragments whose sets are all connected are
 finished. In what is left over, further hubs are taken, four times as many in each round, until
 every pair of differing components in every fragment has been compared. So the components
 are those of all links.
 
-The rounds after the first keep, of the pairs that share a fragment, those whose parity sketches
+All rounds keep, of the pairs that share a fragment, those whose parity sketches
 agree well enough: a sketch has one bit per bucket of hashes, set when the set holds an odd number
 of them, so two sketches never differ in more bits than the sets differ in n-grams. A pair over the
 bound of the threshold cannot be linked, and is not made. Near copies that differ in more than
 that are told apart inside the join in this way, without a row for each pair.
 
-Pairs are verified exactly: overlaps are counted fragment by fragment and summed per pair.
+Pairs are verified exactly: overlaps are counted fragment by fragment and summed per pair. What is
+stored and moved for it is bounded by a share of all sets: more pairs are verified in several passes.
 
 Defined cases: a null text, or one without words, has an empty set and is linked with nothing.
 With fewer than ``n`` words the whole sequence is the one element. An id names one text: repeated
@@ -36,6 +44,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +60,8 @@ THRESHOLD = 90  # of 100
 PARTS = 8  # fragments of the verification
 FIRST_HUBS = 16
 COMMON_SAMPLE, COMMON_SHARE = 4_000, 0.005
+PASS_SHARE, PASS_LEAST = 0.2, 1 << 23  # n-grams of the pairs verified at a time: a share of those of all sets, or so many
+KIND_BIT, KINDS, NEED_BITS = 34, 4, 15  # where a mark tells its cut, cuts with a need, bits of a need
 BROADCAST_IDS = 1_000_000
 SLICE_BITS = 13
 COUNTER_BITS = 27  # slots of the mark counters
@@ -61,6 +72,7 @@ BATCH_BYTES = 4 << 20  # of texts or marks that go to a task's Python worker at
 KEPT_WORDS = 50_000
 SKETCH_WORDS = 8  # of 64 bits
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
+CANDIDATE = "row long, id long, n long, needs long, marks array<long>"
 
 
 # Odd multipliers for the places of an n-gram.
@@ -131,10 +143,25 @@ def signatures(own: np.ndarray, common: np.ndarray | None = None, threshold: int
     fragments than two similar sets can differ in. Sets where it does not add fragments of the
     whole set, and their empty ones if need be. Any choice of ``common`` gives the same links.
     """
+    return signatures_and_needs(own, common, threshold)[0]
+
+
+def _of_kind(marks: np.ndarray, kind: int) -> np.ndarray:
+    return marks & ~np.uint64(7 << KIND_BIT) | np.uint64(kind << KIND_BIT)
+
+
+def signatures_and_needs(own: np.ndarray, common: np.ndarray | None, threshold: int) -> tuple[np.ndarray, int]:
+    """The set's ``signatures``, and how many of each cut every linked set with that cut shares at least.
+
+    Three bits of a digest tell the cut: fragments without common n-grams (0), of the whole set (2) or
+    empty ones (4), plus the parity of the level, which differs between a set's two levels. A fragment is
+    the same in both sets unless they differ in one of its n-grams, so all filled ones but as many as the
+    sets can differ in are shared. The needs of the first ``KINDS`` cuts are packed, 0 for none known.
+    """
     n = len(own)
     if n == 0:
-        return np.empty(0, np.int64)
-    k, out = size_class(n, threshold), []
+        return np.empty(0, np.int64), 0
+    k, out, needs = size_class(n, threshold), [], 0
     with np.errstate(over="ignore"):
         mixed = (own ^ (own >> np.uint64(29))) * _FACTORS[1]
     rare = np.ones(n, bool)
@@ -144,18 +171,23 @@ def signatures(own: np.ndarray, common: np.ndarray | None = None, threshold: int
         differ = class_top(level, threshold) * (100 - threshold) // threshold if level >= 0 else 0
         if differ == 0:
             continue  # no two different sets this small are similar
+        # Linked sets with this level have as many n-grams as the class above it allows, and differ from this one in so many.
+        apart = min(n * (100 - threshold) // threshold, (n + class_top(level + 1, threshold)) * (100 - threshold) // (100 + threshold))
+        need, kind = lambda held: max(0, min(len(held) - apart, (1 << NEED_BITS) - 1)), level & 1
         # More fragments than can differ, with room for those that stay empty.
         room = max(0.05, 16 * np.exp(-threshold / (100 - threshold)))
         cuts = differ + 2 + int(differ * room)
         held, marks = _cut(own[rare], mixed[rare], cuts, 4 * level)
-        out.append(marks)
+        out.append(_of_kind(marks, kind))
+        needs |= need(held) << kind * NEED_BITS
         if len(held) <= differ:
             held, marks = _cut(own, mixed, cuts, 4 * level + 1)
-            out.append(marks)
+            out.append(_of_kind(marks, kind + 2))
+            needs |= need(held) << (kind + 2) * NEED_BITS
             if len(held) <= differ:
                 empty = np.setdiff1d(np.arange(cuts, dtype=np.uint64), held)
-                out.append(_mix(_mix(empty) + np.uint64(4 * level + 2)))
-    return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
+                out.append(_of_kind(_mix(_mix(empty) + np.uint64(4 * level + 2)), kind + 4))
+    return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64), needs
 
 
 def parity_sketch(own: np.ndarray) -> np.ndarray:
@@ -188,21 +220,22 @@ def _describe(n: int, threshold: int, common):
         drop_process_cache()
         known = _Words()
         for batch in (b.slice(at, BATCH_ROWS) for b in batches for at in range(0, b.num_rows, BATCH_ROWS)):
-            ids, sizes, sets, marks, sketches = batch.column(0).to_pylist(), [], [], [], []
+            ids, sizes, sets, marks, needs, sketches = batch.column(0).to_pylist(), [], [], [], [], []
             for text in batch.column(1):
                 own = ngram_set(text.as_py(), known, n)
                 sizes.append(len(own))
                 sets.append(hashlib.md5(own.tobytes()).digest())
-                marks.append(signatures(own, common.value, threshold))
+                held, need = signatures_and_needs(own, common.value, threshold)
+                marks.append(held), needs.append(need)
                 sketches.append(parity_sketch(own))
             words = np.array(sketches, np.int64).reshape(-1, SKETCH_WORDS)
             offsets = np.concatenate([[0], np.cumsum([len(m) for m in marks])]).astype(np.int32)
             flat = np.concatenate(marks) if marks else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(needs, pa.int64()),
                  *[pa.array(words[:, i]) for i in range(SKETCH_WORDS)], batch.column(2)],
-                names=["doc_id", "n", "same", "marks", *SKETCH, "row"],
+                names=["doc_id", "n", "same", "marks", "needs", *SKETCH, "row"],
             )
 
     return run
@@ -275,20 +308,49 @@ def repeated_marks(reps: DataFrame, bits: int = COUNTER_BITS) -> np.ndarray:
 
 
 def _keep_repeated(table, bits: int):
-    """(id, n, marks) with only the marks whose slot holds several."""
+    """The rows, whose last column is ``marks``, with only the marks whose slot holds several."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = batch.column(2)
+            marks = batch.column("marks")
             flat = marks.flatten().to_numpy(zero_copy_only=False)
             slots = _slot(flat, bits)
             kept = (table.value[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8)) & 1 == 1
             ends = np.concatenate([[0], np.cumsum(kept)])[np.concatenate([[0], np.cumsum(marks.value_lengths().to_numpy(zero_copy_only=False))])]
             lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat[kept]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["id", "n", "marks"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=batch.schema.names)
 
     return run
 
 
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, whose last column is ``marks``, without the cuts in which the set has fewer marks than it needs.
+
+    Marks that come with their ``count`` lose, in each cut, the most frequent ones, one less than the need.
+    """
+    for batch in batches:
+        lists, needs = batch.column("marks"), batch.column("needs").to_numpy(zero_copy_only=False)
+        flat, counts = lists.flatten(), None
+        if pa.types.is_struct(flat.type):
+            flat, counts = (flat.field(x).to_numpy(zero_copy_only=False) for x in ("mark", "count"))
+        else:
+            flat = flat.to_numpy(zero_copy_only=False)
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        row, kind = np.repeat(np.arange(len(sizes)), sizes), flat >> KIND_BIT & 7
+        need = np.where(kind < KINDS, needs[row] >> kind * NEED_BITS * (kind < KINDS) & (1 << NEED_BITS) - 1, 0)
+        cut = row * 8 + kind
+        there = np.bincount(cut, minlength=len(sizes) * 8)
+        kept = there[cut] >= need
+        if counts is not None:
+            order = np.lexsort((flat, counts, cut))
+            place = np.empty(len(flat), np.int64)
+            place[order] = np.arange(len(flat)) - (np.cumsum(there) - there)[cut[order]]
+            kept &= place <= there[cut] - np.maximum(need, 1)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(row[kept], minlength=len(sizes)))])
+        out = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat[kept]))
+        out = pa.RecordBatch.from_arrays([*batch.columns[:-1], out], names=batch.schema.names)
+        yield out.filter(pa.array(np.diff(ends) > 0))
+
+
 def _sliced(bits: int):
     """Marks packed by slice (their first ``bits`` bits): the next 32 bits, and the row as a block and a 16-bit place in it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,41 +374,70 @@ def _sliced(bits: int):
     return run
 
 
-def _repeated_in_slice(rows: pa.Table) -> pa.Table:
+def _repeated_in_slice(bits: int):
     """(row, mark) of the marks that several places of one slice hold."""
-    low = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in rows["low"]])
-    row = np.concatenate([(b.as_py() << 16) + np.frombuffer(x.as_py(), np.uint16).astype(np.int64) for b, x in zip(rows["block"], rows["place"])])
-    order = np.argsort(low, kind="stable")
-    low, row = low[order], row[order]
-    same = low[1:] == low[:-1]
-    kept = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-    mark = (rows["slice"][0].as_py() << 32) + low[kept].astype(np.int64)
-    return pa.table({"row": pa.array(row[kept], pa.int64()), "mark": pa.array(mark, pa.int64())})
+    def run(rows: pa.Table) -> pa.Table:
+        low = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in rows["low"]])
+        row = np.concatenate([(b.as_py() << 16) + np.frombuffer(x.as_py(), np.uint16).astype(np.int64) for b, x in zip(rows["block"], rows["place"])])
+        order = np.argsort(low, kind="stable")
+        low, row = low[order], row[order]
+        same = low[1:] == low[:-1]
+        kept = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+        mark = np.uint64(rows["slice"][0].as_py() << 64 - bits) | low[kept].astype(np.uint64) << np.uint64(32 - bits)
+        return pa.table({"row": pa.array(row[kept], pa.int64()), "mark": pa.array(mark.view(np.int64))})
+
+    return run
 
 
 def repeated_by_slice(reps: DataFrame, marks: int) -> DataFrame:
-    """(id, n, mark) of the marks that repeat among ``reps``, which holds ``marks`` of them.
+    """A row for each mark that repeats among ``reps``, which holds ``marks`` of them, with the other columns and the id.
 
     Each mark moves once, packed to six bytes, to its slice of the hash order; there are so many slices that
     one holds about ``SLICE_MARKS``, so what a task holds and the share of marks that meet by chance
-    (a mark is told by 32 bits in its slice) stay the same on any input.
+    (a mark is told by 32 bits in its slice) stay the same on any input. The bits below are lost.
     """
     bits = max(6, (marks // SLICE_MARKS).bit_length())
     packed = reps.select("row", "marks").mapInArrow(_sliced(bits), "slice int, block long, low binary, place binary")
-    found = packed.groupBy("slice").applyInArrow(_repeated_in_slice, "row long, mark long")
-    return found.join(reps.select("row", F.col("doc_id").alias("id"), "n"), "row").select("id", "n", "mark")
+    found = packed.groupBy("slice").applyInArrow(_repeated_in_slice(bits), "row long, mark long")
+    return found.join(reps.drop("marks").withColumnRenamed("doc_id", "id"), "row")
+
+
+def shared_marks(repeated: DataFrame) -> DataFrame:
+    """(id, n, mark): marks in which linked sets meet, of the (row, id, n, needs, marks) that are left."""
+    flat = repeated.select("row", "id", "n", "needs", F.explode("marks").alias("mark"))
+    counts = flat.groupBy("mark").agg(F.count("*").alias("count"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+    counted = flat.join(counts.where("lo <> hi").select("mark", "count"), "mark")
+    sets = counted.groupBy("row", "id", "n", "needs").agg(F.collect_list(F.struct("mark", "count")).alias("marks"))
+    kept = materialize(sets.mapInArrow(_candidates, CANDIDATE).select("id", "n", F.explode("marks").alias("mark")).distinct(), "kept-marks")
+    shared = kept.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("mark")
+    members = materialize(kept.join(shared, "mark"), "fragment-members")
+    discard(kept)
+    return members
 
 
 def _linked(overlap: Column, na: Column, nb: Column, threshold: int) -> Column:
     return overlap * 100 >= (na + nb - overlap) * threshold
 
 
-def verify(pairs: DataFrame, docs: DataFrame, *, n: int = NGRAM, threshold: int = THRESHOLD) -> DataFrame:
+def verify(pairs: DataFrame, docs: DataFrame, *, n: int = NGRAM, threshold: int = THRESHOLD, at_once: int | None = None) -> DataFrame:
     """(u, v): of the pairs (u, v, nu, nv) those that are similar enough, stored. ``docs`` has one text per id.
 
     Only sets of documents in some pair are built. Overlaps are counted in each fragment and summed.
-    Each side moves the sets that it has in some pair.
+    Each side moves the sets that it has in some pair. Pairs of more than ``at_once`` n-grams in all are
+    verified one part after the other, and so are those of more ids than are broadcast.
     """
+    many, grams = pairs.agg(F.count("*"), F.sum(F.col("nu") + F.col("nv"))).first()
+    passes = max(1, -(-(grams or 0) // at_once) if at_once else 1, -(-2 * many // BROADCAST_IDS) if BROADCAST_IDS else 1)
+    if passes == 1:
+        return _verified(pairs, docs, n, threshold)
+    part = F.pmod(F.xxhash64("v"), F.lit(passes))
+    found = [_verified(pairs.where(part == i), docs, n, threshold) for i in range(passes)]
+    links = materialize(reduce(DataFrame.unionAll, found), "links")
+    discard(*found)
+    return links
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, threshold: int) -> DataFrame:
     def known(side: DataFrame) -> DataFrame:
         return F.broadcast(side) if side.count() <= BROADCAST_IDS else side
 
@@ -379,7 +470,7 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     common = docs.sparkSession.sparkContext.broadcast(common_ngrams(docs, n))
-    fields = "doc_id long, n long, same binary, marks array<long>, " + ", ".join(f"{c} long" for c in [*SKETCH, "row"])
+    fields = "doc_id long, n long, same binary, marks array<long>, needs long, " + ", ".join(f"{c} long" for c in [*SKETCH, "row"])
     with batches_of(docs.sparkSession, BATCH_BYTES):
         described = materialize(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_describe(n, threshold, common), fields), "ngram-sets")
     usable = described.where("n > 0 and doc_id is not null")
@@ -396,17 +487,17 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
         reps = materialize(reps, "set-marks")
         discard(stored.pop())
         stored.append(reps)
-    held = reps.agg(F.sum(F.size("marks"))).first()[0] or 0
+    held, grams = (x or 0 for x in reps.agg(F.sum(F.size("marks")), F.sum("n")).first())
+    at_once = max(PASS_LEAST, int(grams * PASS_SHARE))
+    sets = reps.select("row", "doc_id", "n", "needs", "marks")
     if held <= COUNTED_MARKS:
         slots = docs.sparkSession.sparkContext.broadcast(repeated_marks(reps))
-        kept = reps.select(F.col("doc_id").alias("id"), "n", "marks").mapInArrow(_keep_repeated(slots, COUNTER_BITS), "id long, n long, marks array<long>")
-        marks = kept.select("id", "n", F.explode("marks").alias("mark"))
+        kept = sets.withColumnRenamed("doc_id", "id").mapInArrow(_keep_repeated(slots, COUNTER_BITS), CANDIDATE)
     else:
-        with batches_of(docs.sparkSession, BATCH_BYTES):
-            marks = materialize(repeated_by_slice(reps, held), "repeated-marks")
-        stored.append(marks)
-    shared = marks.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("mark")
-    members = materialize(marks.join(shared, "mark").distinct(), "fragment-members")
+        kept = repeated_by_slice(sets, held).groupBy("row", "id", "n", "needs").agg(F.collect_list("mark").alias("marks"))
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        stored.append(materialize(kept.mapInArrow(_candidates, CANDIDATE), "repeated-marks"))
+        members = shared_marks(stored[-1])
     sketches = materialize(
         reps.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), *SKETCH),
         "sketches",
@@ -419,11 +510,15 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
     def sized(pairs: DataFrame) -> DataFrame:
         return pairs.where(_near(F.col("nu"), F.col("nv"), threshold) & (F.col("u") < F.col("v"))).distinct()
 
-    # First each set against the one smallest set that it shares a fragment with.
+    # First each set against one of the smallest sets of its fragments, that of most of them.
     hubs = members.groupBy("mark").agg(F.min(F.struct("id", "n")).alias("hub"))
-    first = members.join(hubs, "mark").where("hub.id <> id").groupBy("id", "n").agg(F.min("hub").alias("hub"))
-    pairs = materialize(sized(first.select(F.col("hub.id").alias("u"), F.col("id").alias("v"), F.col("hub.n").alias("nu"), F.col("n").alias("nv"))), "pairs")
-    links = verify(pairs, texts, n=n, threshold=threshold)
+    met = members.join(hubs, "mark").where("hub.id <> id").groupBy("id", "n", "hub").agg(F.count("*").alias("both"))
+    first = met.groupBy("id", "n").agg(F.max_by("hub", F.struct("both", -F.col("hub.id"))).alias("hub")).select(
+        "id", "n", F.col("hub.id").alias("h"), F.col("hub.n").alias("hn"))
+    of_hubs = sketches.select(F.col("id").alias("h"), *[F.col(c).alias(f"h{c}") for c in SKETCH])
+    first = first.join(sketches, "id").join(of_hubs, "h").where(_may_link(threshold))
+    pairs = materialize(sized(first.select(F.col("h").alias("u"), F.col("id").alias("v"), F.col("hn").alias("nu"), F.col("n").alias("nv"))), "pairs")
+    links = verify(pairs, texts, n=n, threshold=threshold, at_once=at_once)
     tried, done, many = pairs.select("u", "v"), 0, FIRST_HUBS
     nodes = connected_components(links)
     while True:
@@ -447,7 +542,7 @@ def similar_components(docs: DataFrame, *, n: int = NGRAM, threshold: int = THRE
         )
         new = materialize(sized(new).join(tried, ["u", "v"], "left_anti"), "pairs")
         if not new.isEmpty():
-            found = verify(new, texts, n=n, threshold=threshold)
+            found = verify(new, texts, n=n, threshold=threshold, at_once=at_once)
             tried = tried.unionAll(new.select("u", "v"))
             if not found.isEmpty():
                 nodes = merged_components(nodes, found)
