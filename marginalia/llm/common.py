@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,3 +65,10 @@ def drop_process_cache() -> None:
     cache = process_cache()
     for key in [k for k in cache if isinstance(k, tuple)]:
         del cache[key]
+
+
+def return_free_memory() -> None:
+    """Give the system back what Arrow and the C library hold of freed memory, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, TypeError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)

@@ -60,7 +60,7 @@ THRESHOLD = 90  # of 100
 PARTS = 8  # fragments of the verification
 FIRST_HUBS = 16
 COMMON_SAMPLE, COMMON_SHARE = 4_000, 0.005
-PASS_SHARE, PASS_LEAST = 0.2, 1 << 23  # n-grams of the pairs verified at a time: a share of those of all sets, or so many
+PASS_SHARE, PASS_LEAST = 0.4, 1 << 23  # n-grams of the pairs verified at a time: a share of those of all sets, or so many
 KIND_BIT, KINDS, NEED_BITS = 34, 4, 15  # where a mark tells its cut, cuts with a need, bits of a need
 BROADCAST_IDS = 1_000_000
 SLICE_BITS = 13
@@ -408,11 +408,7 @@ def shared_marks(repeated: DataFrame) -> DataFrame:
     counts = flat.groupBy("mark").agg(F.count("*").alias("count"), F.min("id").alias("lo"), F.max("id").alias("hi"))
     counted = flat.join(counts.where("lo <> hi").select("mark", "count"), "mark")
     sets = counted.groupBy("row", "id", "n", "needs").agg(F.collect_list(F.struct("mark", "count")).alias("marks"))
-    kept = materialize(sets.mapInArrow(_candidates, CANDIDATE).select("id", "n", F.explode("marks").alias("mark")).distinct(), "kept-marks")
-    shared = kept.groupBy("mark").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("mark")
-    members = materialize(kept.join(shared, "mark"), "fragment-members")
-    discard(kept)
-    return members
+    return materialize(sets.mapInArrow(_candidates, CANDIDATE).select("id", "n", F.explode("marks").alias("mark")).distinct(), "fragment-members")
 
 
 def _linked(overlap: Column, na: Column, nb: Column, threshold: int) -> Column:
@@ -438,21 +434,20 @@ def verify(pairs: DataFrame, docs: DataFrame, *, n: int = NGRAM, threshold: int
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, n: int, threshold: int) -> DataFrame:
-    def known(side: DataFrame) -> DataFrame:
-        return F.broadcast(side) if side.count() <= BROADCAST_IDS else side
-
-    sides = [materialize(pairs.select(c).distinct(), "paired-ids") for c in "uv"]
-    needed = materialize(sides[0].unionAll(sides[1]).distinct().toDF("id"), "paired-ids")
-    texts = docs.join(known(needed), F.col("doc_id") == F.col("id"), "left_semi")
+    ends = [pairs.select(F.col(c).alias("id"), *[F.lit(c == x).alias(f"is_{x}") for x in "uv"]) for c in "uv"]
+    needed = materialize(ends[0].unionAll(ends[1]).groupBy("id").agg(F.max("is_u").alias("is_u"), F.max("is_v").alias("is_v")), "paired-ids")
+    few = needed.count() <= BROADCAST_IDS
+    known = lambda ids: F.broadcast(ids) if few else ids
+    texts = docs.join(known(needed.select("id")), F.col("doc_id") == F.col("id"), "left_semi")
     with batches_of(docs.sparkSession, BATCH_BYTES):
         pieces = materialize(texts.mapInArrow(_fragments(n), "id long, part int, held array<long>"), "fragments")
-    left = pieces.select(F.col("id").alias("u"), "part", F.col("held").alias("a")).join(known(sides[0]), "u", "left_semi")
-    right = pieces.select(F.col("id").alias("v"), "part", F.col("held").alias("b")).join(known(sides[1]), "v", "left_semi")
+    left = pieces.select(F.col("id").alias("u"), "part", F.col("held").alias("a")).join(known(needed.where("is_u").select(F.col("id").alias("u"))), "u", "left_semi")
+    right = pieces.select(F.col("id").alias("v"), "part", F.col("held").alias("b")).join(known(needed.where("is_v").select(F.col("id").alias("v"))), "v", "left_semi")
     # A hub's side repeats for all its pairs; the join splits it when it is large.
     both = pairs.join(left, "u").join(right, ["v", "part"])
     counted = both.groupBy("u", "v", "nu", "nv").agg(F.sum(F.size(F.array_intersect("a", "b"))).alias("overlap"))
     links = materialize(counted.where(_linked(F.col("overlap"), F.col("nu"), F.col("nv"), threshold)).select("u", "v"), "links")
-    discard(pieces, needed, *sides)
+    discard(pieces, needed)
     return links
 
 

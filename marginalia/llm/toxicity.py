@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.common import drop_process_cache
+from marginalia.llm.common import drop_process_cache, return_free_memory
 from marginalia.session import batches_of, materialize
 
 SAMPLE = 8_000
@@ -268,6 +268,9 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Chain:
     del data, found
     pa.default_memory_pool().release_unused()
     chain, others = fit_chain(pairs, {**weak, FINAL: toxic}, folds, counts)
+    # Nor does the driver hold on to what the fit took while other stages run.
+    del pairs
+    return_free_memory()
     # One class alone is not told apart from anything.
     chain.threshold, chain.held_out = best_threshold(held_out_cells(docs, known, others) if n_clean and n_toxic else {})
     return chain

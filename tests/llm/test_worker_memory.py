@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
 from marginalia.llm import jaccard, token_output, toxicity
-from marginalia.llm.common import drop_process_cache, process_cache
+from marginalia.llm.common import drop_process_cache, process_cache, return_free_memory
 from marginalia.session import BATCH_SETTING
 
 
@@ -45,3 +49,12 @@ def test_clean_documents_are_written_in_bounded_batches(spark):
     assert kept.columns == docs.columns and spark.conf.get(BATCH_SETTING) == before
     # No worker runs outside the bound any more.
     assert "Python" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_freed_memory_goes_back_to_the_system():
+    held = lambda: int(re.search(r"Pss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1])
+    blocks = [np.ones(12_000) for _ in range(1_000)]
+    full, pinned = held(), blocks[::50]
+    del blocks
+    return_free_memory()
+    assert full - held() > 60_000 and sum(len(x) for x in pinned) == 240_000
